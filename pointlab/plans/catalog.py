@@ -1,0 +1,587 @@
+"""Every operator as a query over the given tables, with SQL that must give the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pointlab.operators import clean, features, forest, report, sampling, scoring, taskmetrics, transformers
+from pointlab.plans.jobs import search_forest
+from pointlab.schema import CLASS_MAPPING, CLASS_NAMES, FEATURE_COLUMNS, SPLITS
+from pointlab.session import scratch_path
+from pointlab.sources import legend, read_points, read_splits, sample_files, tag_splits, write_points
+from pointlab.sources.points import in_split, union_splits
+from pointlab.sources.testviews import CODES_BY_PART, lineitem, points_view, staged_points
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+
+# ---------------------------------------------------------------- SQL building blocks
+
+_codes = " ".join(f"when {i} then {code}" for i, code in enumerate(CODES_BY_PART))
+_POINTS = f"""points as (
+  select l_orderkey*10 + l_linenumber as point_id,
+    list_value(l_extendedprice, cast(l_orderkey as double), l_quantity*10.0 + l_discount*100.0) as xyz,
+    cast(l_partkey*37 % 3000 as int) as Intensity,
+    cast(case l_partkey % 12 {_codes} end as int) as Classification,
+    cast(case when l_partkey % 50 = 0 then 0 else (l_suppkey+1)*500 % 65536 end as int) as Red,
+    cast((l_partkey % 12)*4096 + l_quantity*16 as int) as Green,
+    cast(l_linenumber*8000 as int) as Blue,
+    cast(case when l_partkey % 50 = 0 then 0 else l_quantity*1024 end as int) as Infrared,
+    case when l_orderkey % 10 < 8 then 'train' when l_orderkey % 10 = 8 then 'val' else 'test' end as split
+  from lineitem)"""
+
+_classes = " ".join(f"when {code} then {cls}" for code, cls in CLASS_MAPPING.items())
+_REMAPPED = f"""remapped as (
+  select point_id, xyz, xyz[1] as x, xyz[2] as y, xyz[3] as z, Intensity,
+    cast(case Classification {_classes} end as int) as Classification,
+    Red, Green, Blue, Infrared, split
+  from points)"""
+
+_FEATURES = """features as (
+  select point_id, x, y, z - min(z) over (partition by split) as z_norm, Intensity, Classification,
+    Red, Green, Blue, Infrared,
+    case when Infrared + Red <> 0
+      then (cast(Infrared as double) - Red) / (cast(Infrared as double) + Red) end as NDVI,
+    split
+  from remapped)"""
+
+_names = ", ".join(f"({cls}, '{name}')" for cls, name in CLASS_NAMES.items())
+_LEGEND = f"legend as (select * from (values {_names}) as t(Classification, Description))"
+
+_key_parts = [f"cast(cast(floor(xyz[{axis}]*1000 + 0.5) as bigint) as varchar)" for axis in (1, 2, 3)]
+_key_parts += [
+    f"coalesce(cast({c} as varchar), '')"
+    for c in ("Intensity", "Classification", "Red", "Green", "Blue", "Infrared")
+]
+_KEY = f"md5(concat_ws('|', {', '.join(_key_parts)}))"
+
+_FINAL = "x, y, z_norm, Intensity, Classification, Red, Green, Blue, Infrared, NDVI"
+
+
+def _with(*ctes: str) -> str:
+    return "with " + ",\n".join(ctes) + "\n"
+
+
+# ---------------------------------------------------------------- queries
+
+_queries: dict[str, Query] = {}
+_oracles: dict[str, str] = {}
+
+
+def _register(sql: str | None = None):
+    def add(query: Query) -> Query:
+        _queries[query.__name__] = query
+        if sql is not None:
+            _oracles[query.__name__] = sql
+        return query
+
+    return add
+
+
+def _remapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.remap_classes(points_view(spark, sf_dir))
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.build_features(points_view(spark, sf_dir), keep=("point_id",))
+
+
+# Sources and sinks
+
+
+@_register(_with(_POINTS) + """select split, xyz[1] as x, xyz[2] as y, xyz[3] as z, Intensity, Classification,
+  Red, Green, Blue, Infrared from points""")
+def scan_points(spark, sf_dir):
+    """Many Parquet paths as one contract-checked table, each row tagged from its file's path."""
+    root = staged_points(spark, sf_dir)
+    return features.split_xyz(tag_splits(spark, *[f"{root}/split={s}" for s in SPLITS])).drop("xyz")
+
+
+@_register(_with(_POINTS) + "select split, count(*) as n from points group by split")
+def split_counts(spark, sf_dir):
+    """Rows per split, the split read from file paths under one folder."""
+    return report.class_counts(tag_splits(spark, staged_points(spark, sf_dir)), ["split"])
+
+
+@_register(_with(_POINTS) + "select split, Classification, count(*) as n from points group by split, Classification")
+def split_by_position(spark, sf_dir):
+    """Exactly three paths in the order train, val, test."""
+    root = staged_points(spark, sf_dir)
+    return report.class_counts(read_splits(spark, [f"{root}/split={s}" for s in SPLITS]), ["split", "Classification"])
+
+
+@_register(_with(_POINTS) + "select Classification, count(*) as n from points where split = 'test' group by Classification")
+def glob_scan(spark, sf_dir):
+    """Files picked by a path pattern."""
+    return report.class_counts(read_points(spark, f"{staged_points(spark, sf_dir)}/split=te*/*.parquet"))
+
+
+@_register()
+def file_sample(spark, sf_dir):
+    """Rows per split and class in a quarter of the files of each split."""
+    root = staged_points(spark, sf_dir)
+    sampled = union_splits({s: sample_files(spark, f"{root}/split={s}", "0.25") for s in SPLITS})
+    return report.class_counts(sampled, ["split", "Classification"])
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + f"select point_id, split, {_FINAL} from features")
+def save_reload(spark, sf_dir):
+    """The feature table written one folder per split, and read back."""
+    path = scratch_path(spark, "features")
+    write_points(_features(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@_register(_with(_LEGEND) + "select cast(Classification as int) as Classification, Description, count(point_class) as n_points "
+           "from legend left join (select * from (" + _with(_POINTS, _REMAPPED)
+           + "select Classification as point_class from remapped)) on Classification = point_class "
+           "group by Classification, Description")
+def class_legend(spark, sf_dir):
+    """The literal legend, with the points of each of its classes."""
+    counts = report.class_counts(_remapped(spark, sf_dir))
+    return legend(spark).join(counts, "Classification", "left").select(
+        "Classification", "Description", F.coalesce("n", F.lit(0)).alias("n_points")
+    )
+
+
+# Projections and scalar functions
+
+
+@_register(_with(_POINTS) + "select point_id, Intensity, split, xyz[1] as x, xyz[2] as y, xyz[3] as z, "
+           "xyz[4] as beyond from points")
+def xyz_split(spark, sf_dir):
+    """Coordinates out of the array; an index past its end is NULL."""
+    points = features.split_xyz(points_view(spark, sf_dir))
+    return points.select("point_id", "Intensity", "split", "x", "y", "z", F.get("xyz", F.lit(3)).alias("beyond"))
+
+
+@_register(_with(_POINTS, _REMAPPED) + "select point_id, Intensity, Classification from remapped")
+def remap_classes(spark, sf_dir):
+    """Raw codes to land-cover classes."""
+    return _remapped(spark, sf_dir).select("point_id", "Intensity", "Classification")
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + "select point_id, Red, Infrared, NDVI from features")
+def ndvi(spark, sf_dir):
+    """Vegetation index."""
+    return features.add_ndvi(points_view(spark, sf_dir)).select("point_id", "Red", "Infrared", "NDVI")
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + f"select point_id, split, {_FINAL} from features")
+def feature_table(spark, sf_dir):
+    """All ten final columns, height normalised within each split."""
+    return _features(spark, sf_dir)
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + f"""select point_id, split,
+  {', '.join(f'coalesce({c}, 0) as {c}' for c in FEATURE_COLUMNS)}, Classification from features""")
+def impute_features(spark, sf_dir):
+    """Zero for missing feature values."""
+    return clean.impute_features(_features(spark, sf_dir))
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + """select split, Classification, count(*) as n_rows,
+  count(*) filter (where NDVI is not null) as n_valid,
+  count(*) filter (where NDVI is not null and Classification is not null) as n_trainable
+  from features group by split, Classification""")
+def valid_rows(spark, sf_dir):
+    """Rows with all features, and with a class too, per split and class."""
+    table = _features(spark, sf_dir)
+    valid = clean.row_is_valid(table)
+    return table.groupBy("split", "Classification").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(valid).alias("n_valid"),
+        F.count_if(valid & F.col("Classification").isNotNull()).alias("n_trainable"),
+    )
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES)
+           + f"select point_id, split, {_FINAL} from features where NDVI is not null")
+def drop_invalid(spark, sf_dir):
+    """Only rows with all features."""
+    return clean.drop_invalid(_features(spark, sf_dir))
+
+
+# Aggregates and reports
+
+
+@_register(_with(_POINTS) + "select Classification, count(*) as n from points group by Classification")
+def raw_class_counts(spark, sf_dir):
+    """Rows per raw code."""
+    return report.class_counts(points_view(spark, sf_dir))
+
+
+_SHARES = """select split, Classification, count(*) / sum(count(*)) over (partition by split) * 100 as percentage
+  from {table} group by split, Classification"""
+
+
+@_register(_with(_POINTS, _REMAPPED) + _SHARES.format(table="remapped"))
+def class_distribution(spark, sf_dir):
+    """Class shares per split."""
+    return report.class_distribution(_remapped(spark, sf_dir), by=["split"])
+
+
+@_register(_with(_POINTS) + _SHARES.format(table="points"))
+def raw_distribution(spark, sf_dir):
+    """Raw code shares per split."""
+    return report.class_distribution(points_view(spark, sf_dir), by=["split"])
+
+
+@_register(_with(_POINTS, _REMAPPED, _LEGEND) + """select r.Classification, Description,
+    round(count(*) filter (where split = 'train') / (select count(*) from points where split = 'train') * 100, 2) as Train,
+    round(count(*) filter (where split = 'test') / (select count(*) from points where split = 'test') * 100, 2) as Test,
+    round(count(*) filter (where split = 'val') / (select count(*) from points where split = 'val') * 100, 2) as Val
+  from remapped r left join legend l on r.Classification = l.Classification
+  group by r.Classification, Description order by r.Classification""")
+def distribution_report(spark, sf_dir):
+    """Class shares of the three splits side by side, with descriptions."""
+    return report.distribution_report(_remapped(spark, sf_dir))
+
+
+def _one_split(split: str) -> str:
+    return f"""{split} as (select Classification, count(*) / sum(count(*)) over () * 100 as percentage
+  from remapped where split = '{split}' group by Classification)"""
+
+
+@_register(_with(_POINTS, _REMAPPED, *[_one_split(s) for s in SPLITS]) + """select
+    coalesce(train.Classification, val.Classification, test.Classification) as Classification,
+    coalesce(train.percentage, 0) as train, coalesce(val.percentage, 0) as val, coalesce(test.percentage, 0) as test
+  from train full join val on train.Classification is not distinct from val.Classification
+  full join test on coalesce(train.Classification, val.Classification) is not distinct from test.Classification""")
+def distribution_outer_join(spark, sf_dir):
+    """Three distributions joined, rows without a class to each other."""
+    points = _remapped(spark, sf_dir)
+    return report.outer_join_distributions({s: report.class_distribution(points.where(in_split(s))) for s in SPLITS})
+
+
+@_register(_with(_POINTS, _REMAPPED, *[_one_split(s) for s in SPLITS]) + """select Classification,
+    coalesce(train.percentage, 0) as train, coalesce(val.percentage, 0) as val, coalesce(test.percentage, 0) as test
+  from train full join val using (Classification) full join test using (Classification)""")
+def distribution_outer_join_using(spark, sf_dir):
+    """Three distributions joined by plain equality, under which rows without a class never meet."""
+    points = _remapped(spark, sf_dir)
+    tables = {s: report.class_distribution(points.where(in_split(s))) for s in SPLITS}
+    return report.outer_join_distributions(tables, null_safe=False)
+
+
+@_register(_with(_POINTS, _REMAPPED, _LEGEND) + """select point_id, Intensity, r.Classification, Description
+  from remapped r left join legend l on r.Classification = l.Classification""")
+def label_points(spark, sf_dir):
+    """Each point with the description of its class."""
+    return report.describe_classes(_remapped(spark, sf_dir)).select(
+        "point_id", "Intensity", "Classification", "Description"
+    )
+
+
+def _summary_sql(column: str) -> str:
+    return f"""select Classification, count(*) as n_rows, '{column}' as column_name, count({column}) as n,
+    round(avg({column}), 3) as mean, round(stddev_samp({column}), 3) as sd,
+    round(cast(min({column}) as double), 3) as min, round(cast(max({column}) as double), 3) as max
+  from features group by Classification"""
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + " union all ".join(_summary_sql(c) for c in FEATURE_COLUMNS))
+def feature_summary(spark, sf_dir):
+    """Count, mean, deviation and range of every feature per class."""
+    return report.feature_summary(_features(spark, sf_dir), FEATURE_COLUMNS)
+
+
+# Order, limit, samples, partitioning
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES)
+           + f"select point_id, split, {_FINAL} from features order by point_id, Intensity, x, Red limit 5")
+def preview_topk(spark, sf_dir):
+    """The first five feature rows in key order."""
+    return _features(spark, sf_dir).orderBy("point_id", "Intensity", "x", "Red").limit(5)
+
+
+@_register(_with(_POINTS) + f"""select point_id, Intensity, Classification, split from points
+  where substr({_KEY}, 1, 8) < '{int(16**8 / 100):08x}'""")
+def hash_sample(spark, sf_dir):
+    """One percent of the rows by key."""
+    return sampling.hash_sample(points_view(spark, sf_dir), "0.01").select(
+        "point_id", "Intensity", "Classification", "split"
+    )
+
+
+@_register(_with(_POINTS, _REMAPPED) + f"""select point_id, Intensity, Classification, split from remapped
+  where substr({_KEY}, 1, 8) < case Classification when 1 then '{int(16**8 / 2):08x}' when 3 then '{int(16**8 / 10):08x}'
+    when 4 then '{int(16**8 / 4):08x}' when 8 then '{int(16**8 / 20):08x}' end""")
+def stratified_hash_sample(spark, sf_dir):
+    """A fraction per class by key, classes not named left out."""
+    fractions = {1: "0.5", 3: "0.1", 4: "0.25", 8: "0.05"}
+    return sampling.stratified_hash_sample(_remapped(spark, sf_dir), fractions).select(
+        "point_id", "Intensity", "Classification", "split"
+    )
+
+
+@_register(_with(_POINTS, _REMAPPED, f"keyed as (select *, {_KEY} as key from remapped where Classification is not null)",
+                 """ranked as (select *, count(*) over (partition by Classification) as size,
+    row_number() over (partition by Classification
+      order by key, point_id, xyz, Intensity, Red, Green, Blue, Infrared, split) as place from keyed)""")
+           + """select point_id, Intensity, Classification, split, x, y, z from ranked where place <= ceil(size * 0.1)""")
+def stratified_sample(spark, sf_dir):
+    """Exactly a tenth of each class, rounded up."""
+    sampled = sampling.stratified_sample(_remapped(spark, sf_dir), "0.1")
+    return features.split_xyz(sampled).select("point_id", "Intensity", "Classification", "split", "x", "y", "z")
+
+
+def _rung_sql(fraction: str) -> str:
+    keep = "true" if fraction == "1" else f"substr(key, 1, 8) < '{int(16**8 * float(fraction)):08x}'"
+    return (f"select Classification, cast({fraction} as double) as fraction, count(*) filter (where {keep}) as n "
+            "from keyed group by Classification")
+
+
+@_register(_with(_POINTS, _REMAPPED, f"keyed as (select Classification, {_KEY} as key from remapped)")
+           + " union all ".join(_rung_sql(f) for f in sampling.LADDER))
+def fraction_ladder(spark, sf_dir):
+    """Rows per class for each of six nested fractions."""
+    return sampling.fraction_ladder(_remapped(spark, sf_dir))
+
+
+@_register(_with(_POINTS) + """select split, Classification, count(*) as n, cast(sum(Intensity) as bigint) as intensity
+  from points group by split, Classification""")
+def repartition_invariant(spark, sf_dir):
+    """An aggregate after redistributing the rows."""
+    spread = sampling.spread_rows(points_view(spark, sf_dir), sampling.spread_for(executors=4, cores=2))
+    return spread.groupBy("split", "Classification").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("Intensity").alias("intensity")
+    )
+
+
+# Cleaning
+
+_checked = [*FEATURE_COLUMNS, "Classification"]
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + " union all ".join(
+    f"select split, count(*) as n_rows, '{c}' as column_name, count(*) - count({c}) as n_missing from features group by split"
+    for c in _checked))
+def missing_report(spark, sf_dir):
+    """Missing values per split and column."""
+    return clean.missing_report(_features(spark, sf_dir), _checked)
+
+
+@_register(_with(_POINTS) + "select distinct split, Classification, Red, Blue from points")
+def dedup_points(spark, sf_dir):
+    """Distinct rows of a narrow table."""
+    return clean.drop_duplicates(points_view(spark, sf_dir).select("split", "Classification", "Red", "Blue"))
+
+
+@_register(_with(_POINTS, "kept as (select *, xyz[3] as z from points where Classification not in (65, 66))",
+                 "stats as (select split, avg(z) as mean, stddev_samp(z) as sd from kept group by split)")
+           + """select point_id, Intensity, Classification, split, z from kept join stats using (split)
+  where abs(z - mean) <= 1.5 * sd""")
+def outlier_filter(spark, sf_dir):
+    """Artifacts dropped by raw code, then heights far from their split's mean."""
+    points = features.split_xyz(clean.drop_artifacts(points_view(spark, sf_dir)))
+    return clean.drop_outliers(points, k=1.5).select("point_id", "Intensity", "Classification", "split", "z")
+
+
+# Learning
+
+
+@_register(_with(_POINTS, _REMAPPED, """labels as (select Classification,
+    row_number() over (order by count(*) desc, cast(Classification as varchar)) - 1 as label
+  from remapped where split = 'train' and Classification is not null group by Classification)""")
+           + """select Classification, cast(label as int) as label, count(*) as n
+  from remapped join labels using (Classification) group by Classification, label""")
+def label_index(spark, sf_dir):
+    """Label index of each class, learnt on train and applied to all splits."""
+    points = _remapped(spark, sf_dir).select("split", "Classification")
+    indexed = transformers.label_indexer().fit(points.where(in_split("train"))).transform(points)
+    return report.class_counts(indexed.withColumn("label", F.col("label").cast("int")), ["Classification", "label"])
+
+
+_RULE_SQL = _with(_POINTS, _REMAPPED, """scored as (select split, Classification as label,
+    cast(floor(Green / 4096) as int) % 8 + 1 as prediction from remapped where Classification is not null)""",
+    "confusion as (select split, label, prediction, count(*) as n from scored group by all)",
+    """sized as (select *, sum(n) over (partition by split, label) as support,
+    sum(n) over (partition by split, prediction) as predicted from confusion)""",
+    "hits as (select *, n / predicted as p, n / support as r from sized where label = prediction)",
+    "totals as (select split, sum(n) as total from confusion group by split)") + """select split,
+  cast(total as bigint) as n_scored, round(coalesce(sum(n), 0) / total, 9) as accuracy,
+  round(coalesce(sum(2*p*r/(p+r) * support), 0) / total, 9) as f1,
+  round(coalesce(sum(p * support), 0) / total, 9) as weighted_precision,
+  round(coalesce(sum(r * support), 0) / total, 9) as weighted_recall
+  from totals left join hits using (split) group by split, total"""
+
+
+@_register(_RULE_SQL)
+def metrics_rule(spark, sf_dir):
+    """Accuracy, F1, precision and recall of a fixed rule."""
+    rule = F.floor(F.col("Green") / 4096) % 8 + 1
+    scored = scoring.score(_remapped(spark, sf_dir).withColumn("prediction", rule), by=["split"])
+    names = ["accuracy", "f1", "weighted_precision", "weighted_recall"]
+    return scored.select("split", "n_scored", *[F.round(n, 9).alias(n) for n in names])
+
+
+def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = points_view(spark, sf_dir)
+    stages = transformers.feature_pipeline().fit(points)
+    return forest.with_class_label(stages.transform(points)).select("split", "Classification", "features")
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + """select split, Classification, count(*) as n_scored
+  from features where NDVI is not null and Classification is not null group by split, Classification""")
+def rf_predict_counts(spark, sf_dir):
+    """Rows a fitted forest scores, per split and class."""
+    table = _assembled(spark, sf_dir)
+    with forest.training_table(table.where(in_split("train"))) as train:
+        model = forest.forest(numTrees=10).fit(train)
+    return (
+        model.transform(table)
+        .groupBy("split", F.col("Classification").cast("int").alias("Classification"))
+        .agg(F.count("prediction").alias("n_scored"))
+    )
+
+
+@_register()
+def holdout_search(spark, sf_dir):
+    """Validation accuracy of forests with 10, 20 and 30 trees."""
+    return search_forest(points_view(spark, sf_dir)).search.table(spark)
+
+
+@_register()
+def test_score(spark, sf_dir):
+    """Metrics of the best forest on the test split."""
+    run = search_forest(points_view(spark, sf_dir))
+    row = (run.search.best_trees, *run.test_metrics)
+    return spark.createDataFrame(
+        [row], "num_trees int, n_scored long, accuracy double, f1 double, weighted_precision double, weighted_recall double"
+    )
+
+
+@_register()
+def cv_search(spark, sf_dir):
+    """Cross-validated accuracy of forests with 50, 100 and 150 trees."""
+    table = _assembled(spark, sf_dir)
+    with forest.training_table(table.where(in_split("train")).drop("split")) as train:
+        model = forest.cross_validate(train, folds=2)
+    rows = [(n, float(a)) for n, a in zip(forest.GRID_TREES, model.avgMetrics)]
+    return spark.createDataFrame(rows, "num_trees int, accuracy double")
+
+
+# Run measurement
+
+
+def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in the form of an event log, one per line item."""
+    c = F.col
+    launch = c("l_orderkey") * 1000
+    finish = launch + c("l_partkey") * 10
+    quantity = c("l_quantity").cast("long")
+    info = F.struct(
+        launch.alias("Launch Time"),
+        finish.alias("Finish Time"),
+        F.when(c("l_linenumber") == 3, finish - 3).otherwise(F.lit(0)).alias("Getting Result Time"),
+        (c("l_linestatus") == "O").alias("Speculative"),
+    )
+    metrics = F.struct(
+        quantity.alias("Executor Deserialize Time"),
+        (quantity * 700_000).alias("Executor Deserialize CPU Time"),
+        (c("l_partkey") * 8).alias("Executor Run Time"),
+        (c("l_partkey") * 6_100_000).alias("Executor CPU Time"),
+        (c("l_suppkey") * 4096).alias("Peak Execution Memory"),
+        (c("l_suppkey") + 900).alias("Result Size"),
+        c("l_linenumber").alias("JVM GC Time"),
+        F.lit(1).alias("Result Serialization Time"),
+        (c("l_linenumber") * 64).alias("Memory Bytes Spilled"),
+        (c("l_linenumber") * 32).alias("Disk Bytes Spilled"),
+        F.struct(
+            c("l_linenumber").alias("Remote Blocks Fetched"),
+            quantity.alias("Local Blocks Fetched"),
+            F.lit(2).alias("Fetch Wait Time"),
+            (quantity * 11).alias("Remote Bytes Read"),
+            quantity.alias("Remote Bytes Read To Disk"),
+            (quantity * 13).alias("Local Bytes Read"),
+            (quantity * 17).alias("Total Records Read"),
+        ).alias("Shuffle Read Metrics"),
+        F.struct(
+            (quantity * 19).alias("Shuffle Bytes Written"),
+            (quantity * 1_500_000).alias("Shuffle Write Time"),
+            (quantity * 23).alias("Shuffle Records Written"),
+        ).alias("Shuffle Write Metrics"),
+        F.struct((quantity * 29).alias("Bytes Read"), (quantity * 31).alias("Records Read")).alias("Input Metrics"),
+        F.struct((quantity * 37).alias("Bytes Written"), (quantity * 41).alias("Records Written")).alias("Output Metrics"),
+    )
+    event = F.struct(
+        F.when(c("l_linenumber") == 7, "SparkListenerTaskStart").otherwise("SparkListenerTaskEnd").alias("Event"),
+        F.struct(F.when(c("l_returnflag") == "R", "ExceptionFailure").otherwise("Success").alias("Reason")).alias(
+            "Task End Reason"
+        ),
+        info.alias("Task Info"),
+        metrics.alias("Task Metrics"),
+    )
+    return lineitem(spark, sf_dir).select(F.to_json(event).alias("value"))
+
+
+_COUNTERS_SQL = {
+    "numTasks": "count(*)",
+    "successfulTasks": "count(*) filter (where l_returnflag <> 'R')",
+    "speculativeTasks": "count(*) filter (where l_linestatus = 'O')",
+    "taskDuration": "sum(l_partkey*10)",
+    "schedulerDelayTime": "sum(greatest(0, l_partkey*10 - l_partkey*8 - q - 1 - case when l_linenumber = 3 then 3 else 0 end))",
+    "executorRunTime": "sum(l_partkey*8)",
+    "executorCpuTime": "floor(sum(l_partkey*6100000) / 1000000)",
+    "executorDeserializeTime": "sum(q)",
+    "executorDeserializeCpuTime": "floor(sum(q*700000) / 1000000)",
+    "resultSerializationTime": "count(*)",
+    "jvmGCTime": "sum(l_linenumber)",
+    "shuffleFetchWaitTime": "count(*)*2",
+    "shuffleWriteTime": "floor(sum(q*1500000) / 1000000)",
+    "gettingResultTime": "sum(case when l_linenumber = 3 then 3 else 0 end)",
+    "resultSize": "max(l_suppkey + 900)",
+    "diskBytesSpilled": "sum(l_linenumber*32)",
+    "memoryBytesSpilled": "sum(l_linenumber*64)",
+    "peakExecutionMemory": "max(l_suppkey*4096)",
+    "recordsRead": "sum(q*31)",
+    "bytesRead": "sum(q*29)",
+    "recordsWritten": "sum(q*41)",
+    "bytesWritten": "sum(q*37)",
+    "shuffleRecordsRead": "sum(q*17)",
+    "shuffleTotalBlocksFetched": "sum(l_linenumber + q)",
+    "shuffleLocalBlocksFetched": "sum(q)",
+    "shuffleRemoteBlocksFetched": "sum(l_linenumber)",
+    "shuffleTotalBytesRead": "sum(q*24)",
+    "shuffleLocalBytesRead": "sum(q*13)",
+    "shuffleRemoteBytesRead": "sum(q*11)",
+    "shuffleRemoteBytesReadToDisk": "sum(q)",
+    "shuffleBytesWritten": "sum(q*19)",
+    "shuffleRecordsWritten": "sum(q*23)",
+}
+
+
+@_register("select " + ", ".join(f"cast({sql} as bigint) as {name}" for name, sql in _COUNTERS_SQL.items())
+           + " from (select *, cast(l_quantity as bigint) as q from lineitem where l_linenumber <> 7)")
+def task_metrics(spark, sf_dir):
+    """Task counters out of event-log lines."""
+    return taskmetrics.task_metrics(_event_lines(spark, sf_dir))
+
+
+@_register("""with runs as (select l_discount as fraction, l_linenumber as executors,
+    cast(cast(sum(cast(round(l_extendedprice*100) as bigint)) as bigint) as double) / 1000 as seconds
+  from lineitem group by l_discount, l_linenumber),
+  based as (select *, first_value(seconds) over (partition by fraction order by executors) as s0,
+    first_value(executors) over (partition by fraction order by executors) as e0 from runs)
+  select fraction, executors, seconds, s0 / seconds as speedup, s0 / seconds / (executors / e0) as efficiency from based""")
+def speedup_table(spark, sf_dir):
+    """Speed-up over the smallest run with the same fraction, for runs summed from line items."""
+    cents = F.sum(F.round(F.col("l_extendedprice") * 100).cast("long"))
+    runs = lineitem(spark, sf_dir).groupBy(
+        F.col("l_discount").alias("fraction"), F.col("l_linenumber").alias("executors")
+    ).agg((cents.cast("double") / 1000).alias("seconds"))
+    return taskmetrics.speedup_table(runs)
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_oracles)

@@ -1,0 +1,52 @@
+"""A point table derived from the test data, which holds no point cloud of its own."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pointlab.session import scratch_path
+from pointlab.sources.sink import write_points
+
+# Raw class code by part key modulo 12; the last one is outside the class mapping.
+CODES_BY_PART = [1, 2, 3, 4, 5, 6, 9, 17, 64, 65, 66, 7]
+
+_staged: dict[tuple[str, str], str] = {}
+
+
+def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+
+
+def points_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One point per line item, with ``point_id`` and ``split`` beside the contract columns."""
+    part, quantity = F.col("l_partkey"), F.col("l_quantity")
+    dark = part % 50 == 0
+    order_digit = F.col("l_orderkey") % 10
+    codes = F.array(*[F.lit(code) for code in CODES_BY_PART])
+    return lineitem(spark, sf_dir).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("point_id"),
+        F.array(
+            "l_extendedprice", F.col("l_orderkey").cast("double"), quantity * 10.0 + F.col("l_discount") * 100.0
+        ).alias("xyz"),
+        (part * 37 % 3000).cast("int").alias("Intensity"),
+        F.get(codes, (part % 12).cast("int")).alias("Classification"),
+        F.when(dark, 0).otherwise((F.col("l_suppkey") + 1) * 500 % 65536).cast("int").alias("Red"),
+        ((part % 12) * 4096 + quantity * 16).cast("int").alias("Green"),
+        (F.col("l_linenumber") * 8000).cast("int").alias("Blue"),
+        F.when(dark, 0.0).otherwise(quantity * 1024).cast("int").alias("Infrared"),
+        F.when(order_digit < 8, "train").when(order_digit == 8, "val").otherwise("test").alias("split"),
+    )
+
+
+def staged_points(spark: SparkSession, sf_dir: str, files: int = 64) -> str:
+    """The point table written once per application, one folder per split, in at least ``files`` files."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _staged:
+        path = scratch_path(spark, "points")
+        per_file = max(1, math.ceil(lineitem(spark, sf_dir).count() / files))
+        write_points(points_view(spark, sf_dir), path, max_records_per_file=per_file)
+        _staged[key] = path
+    return _staged[key]
