@@ -52,11 +52,12 @@ def is_missing(name: str, data_type: T.DataType) -> Column:
 
 
 def split_of_path(path: Column) -> Column:
-    """Split named by the file name or, failing that, by its folder; else NULL."""
-    parts = F.split(F.lower(path), "/")
-    file_hit = F.regexp_extract(F.element_at(parts, -1), SPLIT_PATTERN, 1)
-    folder_hit = F.regexp_extract(F.coalesce(F.get(F.reverse(parts), F.lit(1)), F.lit("")), SPLIT_PATTERN, 1)
-    hit = F.when(file_hit != "", file_hit).otherwise(folder_hit)
+    """Split named by the file name or, failing that, by its folder; else NULL.
+
+    One regular expression over "folder/file": the last hit counts.
+    """
+    tail = F.lower(F.substring_index(path, "/", -2))
+    hit = F.regexp_extract(tail, ".*" + SPLIT_PATTERN, 1)
     return F.when(hit == "eval", F.lit("val")).when(hit != "", hit)
 
 

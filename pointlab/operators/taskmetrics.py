@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 # The part of a task-end event that the report needs.
 TASK_END = """
-  Event string,
   `Task End Reason` struct<Reason: string>,
   `Task Info` struct<`Launch Time`: bigint, `Finish Time`: bigint, `Getting Result Time`: bigint,
     Speculative: boolean>,
@@ -47,10 +46,13 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_task_ends(lines: DataFrame) -> DataFrame:
-    """Task-end events out of the lines of an event log; other lines are not parsed."""
-    mark = F.col("value").contains('"SparkListenerTaskEnd"')
-    event = F.from_json("value", TASK_END)
-    return lines.where(mark).select(event.alias("e")).select("e.*").where(F.col("Event") == "SparkListenerTaskEnd")
+    """Task-end events out of the lines of an event log.
+
+    Each line starts with the name of its event, so other lines are told apart as text and only
+    task ends are parsed, once.
+    """
+    starts = F.col("value").startswith('{"Event":"SparkListenerTaskEnd"')
+    return lines.where(starts).select(F.from_json("value", TASK_END).alias("e")).select("e.*")
 
 
 def task_metrics(lines: DataFrame, begin_ms: int | None = None, end_ms: int | None = None) -> DataFrame:

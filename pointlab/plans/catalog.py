@@ -103,8 +103,9 @@ def scan_points(spark, sf_dir):
 
 @_register(_with(_POINTS) + "select split, count(*) as n from points group by split")
 def split_counts(spark, sf_dir):
-    """Rows per split, the split read from file paths under one folder."""
-    return report.class_counts(tag_splits(spark, staged_points(spark, sf_dir)), ["split"])
+    """Rows per split, the split read from the path of each file."""
+    files = f"{staged_points(spark, sf_dir)}/*/*.parquet"
+    return report.class_counts(tag_splits(spark, files), ["split"])
 
 
 @_register(_with(_POINTS) + "select split, Classification, count(*) as n from points group by split, Classification")
@@ -518,7 +519,8 @@ def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         info.alias("Task Info"),
         metrics.alias("Task Metrics"),
     )
-    return lineitem(spark, sf_dir).select(F.to_json(event).alias("value"))
+    # Through a generator, so that the filter on the text does not write each line a second time.
+    return lineitem(spark, sf_dir).select(F.explode(F.array(F.to_json(event))).alias("value"))
 
 
 _COUNTERS_SQL = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,18 +43,6 @@ def read_points(spark: SparkSession, *paths: str, name_glob: str | None = None)
     return conform(_scan(spark, paths, name_glob))
 
 
-def tag_splits(spark: SparkSession, *paths: str, name_glob: str | None = None) -> DataFrame:
-    """One scan over all paths, with ``split`` taken from each file's own path.
-
-    A filter on ``split`` reaches the file listing, so files of other splits are not opened.
-    """
-    if not paths:
-        raise ValueError("no input paths")
-    raw = _scan(spark, paths, name_glob)
-    tagged = raw.withColumn("split", split_of_path(F.col("_metadata.file_path")))
-    return conform(tagged, keep=["split"])
-
-
 def route_paths(paths: Iterable[str], *, unmatched: str = "error") -> dict[str, list[str]]:
     """Sort input paths into splits by their last part, or the part before it."""
     routed: dict[str, list[str]] = {split: [] for split in SPLITS}
@@ -68,6 +57,32 @@ def route_paths(paths: Iterable[str], *, unmatched: str = "error") -> dict[str,
     return routed
 
 
+def tag_splits(spark: SparkSession, *paths: str, name_glob: str | None = None) -> DataFrame:
+    """All paths as one table with ``split``.
+
+    A path that names its split gives all its rows a constant, at no cost per row, and a filter on
+    ``split`` then removes whole branches. Below any other path ``split`` is the partition column
+    of that name, or else is taken from each file's own path; a filter on it is applied while
+    listing, so files of other splits are not opened. Files that name no split have a NULL split.
+    """
+    if not paths:
+        raise ValueError("no input paths")
+    routed = route_paths(paths, unmatched="ignore")
+    tables = [
+        conform(_scan(spark, found, name_glob)).withColumn("split", F.lit(split))
+        for split, found in routed.items()
+        if found
+    ]
+    named = {path for found in routed.values() for path in found}
+    rest = [path for path in paths if path not in named]
+    if rest:
+        raw = _scan(spark, rest, name_glob)
+        if "split" not in raw.columns:
+            raw = raw.withColumn("split", split_of_path(F.col("_metadata.file_path")))
+        tables.append(conform(raw, keep=["split"]))
+    return reduce(DataFrame.unionByName, tables)
+
+
 def read_splits(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Exactly three paths, in the order train, val, test, as one table with ``split``.
 
@@ -81,10 +96,7 @@ def read_splits(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 def union_splits(tables: dict[str, DataFrame]) -> DataFrame:
     """Stack one table per split, adding the split name as a column."""
     tagged = [table.withColumn("split", F.lit(split)) for split, table in tables.items()]
-    stacked = tagged[0]
-    for table in tagged[1:]:
-        stacked = stacked.unionByName(table)
-    return stacked
+    return reduce(DataFrame.unionByName, tagged)
 
 
 def in_split(split: str) -> Column:
