@@ -2,18 +2,24 @@
 
 from pointlab.plans.jobs import (
     ForestRun,
+    cross_validation_job,
     distribution_job,
     feature_job,
     forest_job,
+    model_job,
     preview_features,
     raw_distribution_job,
+    search_forest,
 )
 
 __all__ = [
     "ForestRun",
+    "cross_validation_job",
     "distribution_job",
     "feature_job",
     "forest_job",
+    "model_job",
     "preview_features",
     "raw_distribution_job",
+    "search_forest",
 ]

@@ -428,15 +428,20 @@ def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.with_class_label(stages.transform(points)).select("split", "Classification", "features")
 
 
+def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _assembled(spark, sf_dir).where(in_split("train")).drop("split")
+    cores = sampling.partitions_if_narrow(lineitem(spark, sf_dir))
+    return sampling.spread_rows(rows, cores) if cores else rows
+
+
 @_register(_with(_POINTS, _REMAPPED, _FEATURES) + """select split, Classification, count(*) as n_scored
   from features where NDVI is not null and Classification is not null group by split, Classification""")
 def rf_predict_counts(spark, sf_dir):
     """Rows a fitted forest scores, per split and class."""
-    table = _assembled(spark, sf_dir)
-    with forest.training_table(table.where(in_split("train"))) as train:
+    with forest.training_table(_training_rows(spark, sf_dir)) as train:
         model = forest.forest(numTrees=10).fit(train)
     return (
-        model.transform(table)
+        model.transform(_assembled(spark, sf_dir))
         .groupBy("split", F.col("Classification").cast("int").alias("Classification"))
         .agg(F.count("prediction").alias("n_scored"))
     )
@@ -461,8 +466,7 @@ def test_score(spark, sf_dir):
 @_register()
 def cv_search(spark, sf_dir):
     """Cross-validated accuracy of forests with 50, 100 and 150 trees."""
-    table = _assembled(spark, sf_dir)
-    with forest.training_table(table.where(in_split("train")).drop("split")) as train:
+    with forest.training_table(_training_rows(spark, sf_dir)) as train:
         model = forest.cross_validate(train, folds=2)
     rows = [(n, float(a)) for n, a in zip(forest.GRID_TREES, model.avgMetrics)]
     return spark.createDataFrame(rows, "num_trees int, accuracy double")

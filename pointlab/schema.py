@@ -56,3 +56,10 @@ FEATURE_COLUMNS = ["x", "y", "z_norm", "Intensity", "Red", "Green", "Blue", "Inf
 FINAL_COLUMNS = [
     "x", "y", "z_norm", "Intensity", "Classification", "Red", "Green", "Blue", "Infrared", "NDVI",
 ]
+
+FEATURE_SCHEMA = T.StructType(
+    [
+        T.StructField(name, T.DoubleType() if name in ("x", "y", "z_norm", "NDVI") else T.IntegerType())
+        for name in FINAL_COLUMNS
+    ]
+)

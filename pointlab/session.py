@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings for large scans: 256 MB splits, and shuffles that start wide so that adaptive
-# execution merges small partitions and splits skewed ones at run time.
+# Settings for large scans: 256 MB input splits, 128 MB shuffle partitions, and adaptive execution,
+# which merges small partitions and splits skewed ones at run time.
 SCAN_AND_SHUFFLE = {
     "spark.sql.files.maxPartitionBytes": "268435456",
     "spark.sql.adaptive.enabled": "true",
@@ -36,10 +36,16 @@ EVENT_LOG = {
 }
 
 
-def session_builder(app_name: str, *, object_store: bool = False, event_log_dir: str | None = None,
-                    extra: dict[str, str] | None = None) -> SparkSession.Builder:
-    """Builder with the settings above; master and memory stay with spark-submit."""
+def session_builder(app_name: str, *, cores: int | None = None, object_store: bool = False,
+                    event_log_dir: str | None = None, extra: dict[str, str] | None = None) -> SparkSession.Builder:
+    """Builder with the settings above; master, memory and executors stay with spark-submit.
+
+    ``cores`` is the total over all executors. Shuffles then start with four partitions per core,
+    which adaptive execution merges where they turn out small.
+    """
     settings = dict(SCAN_AND_SHUFFLE)
+    if cores:
+        settings["spark.sql.shuffle.partitions"] = str(cores * 4)
     if object_store:
         settings.update(OBJECT_STORE)
     if event_log_dir:

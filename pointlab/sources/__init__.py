@@ -2,13 +2,14 @@
 
 from pointlab.sources.files import choose_files, sample_files
 from pointlab.sources.legend import legend
-from pointlab.sources.points import conform, read_points, read_splits, route_paths, tag_splits
+from pointlab.sources.points import conform, read_features, read_points, read_splits, route_paths, tag_splits
 from pointlab.sources.sink import write_points
 
 __all__ = [
     "choose_files",
     "conform",
     "legend",
+    "read_features",
     "read_points",
     "read_splits",
     "route_paths",

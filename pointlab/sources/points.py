@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pointlab.functions import split_of_path
 from pointlab.functions.columns import SPLIT_PATTERN
-from pointlab.schema import POINT_SCHEMA, SPLITS
+from pointlab.schema import FEATURE_SCHEMA, POINT_SCHEMA, SPLITS
 
 
 def conform(df: DataFrame, schema: T.StructType = POINT_SCHEMA, keep: Sequence[str] = ()) -> DataFrame:
@@ -44,11 +44,12 @@ def read_points(spark: SparkSession, *paths: str, name_glob: str | None = None)
 
 
 def route_paths(paths: Iterable[str], *, unmatched: str = "error") -> dict[str, list[str]]:
-    """Sort input paths into splits by their last part, or the part before it."""
+    """Sort input paths into splits by their last part; for a file or pattern, also by its folder."""
     routed: dict[str, list[str]] = {split: [] for split in SPLITS}
     for path in paths:
-        parts = [p for p in path.lower().split("/") if p][-2:]
-        hits = (re.search(SPLIT_PATTERN, part) for part in reversed(parts))
+        parts = [p for p in path.lower().split("/") if p]
+        is_folder = not re.search(r"[.*?]", parts[-1])
+        hits = (re.search(SPLIT_PATTERN, part) for part in parts[: -2 if is_folder else -3 : -1])
         hit = next((m.group(1) for m in hits if m), None)
         if hit:
             routed["val" if hit == "eval" else hit].append(path)
@@ -57,29 +58,30 @@ def route_paths(paths: Iterable[str], *, unmatched: str = "error") -> dict[str,
     return routed
 
 
-def tag_splits(spark: SparkSession, *paths: str, name_glob: str | None = None) -> DataFrame:
+def tag_splits(spark: SparkSession, *paths: str, name_glob: str | None = None,
+               schema: T.StructType = POINT_SCHEMA) -> DataFrame:
     """All paths as one table with ``split``.
 
-    A path that names its split gives all its rows a constant, at no cost per row, and a filter on
-    ``split`` then removes whole branches. Below any other path ``split`` is the partition column
-    of that name, or else is taken from each file's own path; a filter on it is applied while
-    listing, so files of other splits are not opened. Files that name no split have a NULL split.
+    A table that has a ``split`` column, such as a partitioned one, keeps it. Else a path that names
+    its split gives all its rows a constant, at no cost per row, and a filter on ``split`` removes
+    whole branches. Below any other path ``split`` is taken from each file's own path; a filter on it
+    is applied while listing, so files of other splits are not opened. Files that name no split have
+    a NULL split.
     """
     if not paths:
         raise ValueError("no input paths")
     routed = route_paths(paths, unmatched="ignore")
-    tables = [
-        conform(_scan(spark, found, name_glob)).withColumn("split", F.lit(split))
-        for split, found in routed.items()
-        if found
-    ]
     named = {path for found in routed.values() for path in found}
-    rest = [path for path in paths if path not in named]
-    if rest:
-        raw = _scan(spark, rest, name_glob)
-        if "split" not in raw.columns:
-            raw = raw.withColumn("split", split_of_path(F.col("_metadata.file_path")))
-        tables.append(conform(raw, keep=["split"]))
+    by_file = split_of_path(F.col("_metadata.file_path"))
+    groups = [(found, F.lit(split)) for split, found in routed.items()]
+    groups.append(([path for path in paths if path not in named], by_file))
+
+    tables = []
+    for found, split in groups:
+        if found:
+            raw = _scan(spark, found, name_glob)
+            own = F.col("split") if "split" in raw.columns else split
+            tables.append(conform(raw.withColumn("split", own), schema, keep=["split"]))
     return reduce(DataFrame.unionByName, tables)
 
 
@@ -99,5 +101,10 @@ def union_splits(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
+def read_features(spark: SparkSession, *paths: str) -> DataFrame:
+    """A saved feature table, with ``split``."""
+    return tag_splits(spark, *paths, schema=FEATURE_SCHEMA)
+
+
 def in_split(split: str) -> Column:
     return F.col("split") == split
