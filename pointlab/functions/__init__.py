@@ -1,10 +1,10 @@
 """Column expressions; every one stays inside generated JVM code."""
 
 from pointlab.functions.columns import (
-    below_fraction,
     coordinate,
     exact_fraction,
     is_missing,
+    key_bound,
     land_cover,
     ndvi,
     percent,
@@ -13,10 +13,10 @@ from pointlab.functions.columns import (
 )
 
 __all__ = [
-    "below_fraction",
     "coordinate",
     "exact_fraction",
     "is_missing",
+    "key_bound",
     "land_cover",
     "ndvi",
     "percent",

@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 
 from pointlab.schema import CLASS_MAPPING
 
-# The start of a path part decides the split: "train/", "TEST-001.parquet",
+# The start of a word in a path part decides the split: "train/", "TEST-001.parquet",
 # "split=val", "validation", "eval"; never the middle of a word ("interval").
-SPLIT_PATTERN = r"(?:^|[^a-z])(train|test|e?val)"
+SPLIT_PATTERN = r"(?:^|[^a-z])(?:e(?=val))?(train|test|val)"
+
+# Keys have 60 bits, so that they are whole numbers of at most 15 hexadecimal digits.
+KEY_BITS = 60
 
 
 def coordinate(xyz: Column, axis: int) -> Column:
@@ -57,20 +60,25 @@ def split_of_path(path: Column) -> Column:
     One regular expression over "folder/file": the last hit counts.
     """
     tail = F.lower(F.substring_index(path, "/", -2))
-    hit = F.regexp_extract(tail, ".*" + SPLIT_PATTERN, 1)
-    return F.when(hit == "eval", F.lit("val")).when(hit != "", hit)
+    return F.nullif(F.regexp_extract(tail, ".*" + SPLIT_PATTERN, 1), F.lit(""))
 
 
-def point_key(xyz: Column, others: Sequence[Column]) -> Column:
-    """Repeatable 128-bit key of a point, as 32 hexadecimal digits.
+def point_key(xyz: Column, others: Sequence[Column], hasher: str = "xxhash64") -> Column:
+    """Repeatable key of a point: a whole number below 2**60.
 
     Points carry no identifier, so the key is taken from their own values, with coordinates in
     whole millimetres. It depends neither on partitioning nor on row order, and equal points
-    share it.
+    share it. ``xxhash64`` is by far the cheaper; ``md5`` gives keys that other engines reproduce.
     """
-    millimetres = [F.floor(coordinate(xyz, axis) * 1000 + 0.5) for axis in range(3)]
-    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in [*millimetres, *others]]
-    return F.md5(F.concat_ws("|", *parts))
+    parts = [F.floor(coordinate(xyz, axis) * 1000 + 0.5) for axis in range(3)] + list(others)
+    if hasher == "xxhash64":
+        return F.shiftrightunsigned(F.xxhash64(*parts), 64 - KEY_BITS)
+    if hasher == "md5":
+        text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in parts])
+        number = F.conv(F.substring(F.md5(text), 1, KEY_BITS // 4), 16, 10).cast("long")
+        # Never NULL, and said so: else each join on the key computes it once more to check.
+        return F.coalesce(number, F.lit(0))
+    raise ValueError(f"hasher must be xxhash64 or md5, got {hasher}")
 
 
 def exact_fraction(fraction: float | str | Decimal) -> Decimal:
@@ -81,13 +89,6 @@ def exact_fraction(fraction: float | str | Decimal) -> Decimal:
     return value
 
 
-def below_fraction(key: Column, fraction: float | str | Decimal) -> Column:
-    """True for the keys in the lowest ``fraction`` of the key range.
-
-    Keys are fixed-width hexadecimal text, so comparing text compares numbers, and the rows
-    of a smaller fraction are always among those of a larger one.
-    """
-    value = exact_fraction(fraction)
-    if value == 1:
-        return F.lit(True)
-    return F.substring(key, 1, 8) < F.lit(f"{int(value * 16**8):08x}")
+def key_bound(fraction: float | str | Decimal) -> int:
+    """The key below which ``fraction`` of all keys lie; a smaller fraction has a smaller bound."""
+    return int(exact_fraction(fraction) * 2**KEY_BITS)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pointlab.functions import key_bound
 from pointlab.operators import clean, features, forest, report, sampling, scoring, taskmetrics, transformers
 from pointlab.plans.jobs import search_forest
 from pointlab.schema import CLASS_MAPPING, CLASS_NAMES, FEATURE_COLUMNS, SPLITS
@@ -57,7 +58,7 @@ _key_parts += [
     f"coalesce(cast({c} as varchar), '')"
     for c in ("Intensity", "Classification", "Red", "Green", "Blue", "Infrared")
 ]
-_KEY = f"md5(concat_ws('|', {', '.join(_key_parts)}))"
+_KEY = f"cast('0x' || substr(md5(concat_ws('|', {', '.join(_key_parts)})), 1, 15) as bigint)"
 
 _FINAL = "x, y, z_norm, Intensity, Classification, Red, Green, Blue, Infrared, NDVI"
 
@@ -72,11 +73,11 @@ _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
 
 
-def _register(sql: str | None = None):
+def _register(sql: str | None = None, name: str | None = None):
     def add(query: Query) -> Query:
-        _queries[query.__name__] = query
+        _queries[name or query.__name__] = query
         if sql is not None:
-            _oracles[query.__name__] = sql
+            _oracles[name or query.__name__] = sql
         return query
 
     return add
@@ -172,7 +173,7 @@ def ndvi(spark, sf_dir):
     return features.add_ndvi(points_view(spark, sf_dir)).select("point_id", "Red", "Infrared", "NDVI")
 
 
-@_register(_with(_POINTS, _REMAPPED, _FEATURES) + f"select point_id, split, {_FINAL} from features")
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + f"select point_id, split, {_FINAL} from features", name="features")
 def feature_table(spark, sf_dir):
     """All ten final columns, height normalised within each split."""
     return _features(spark, sf_dir)
@@ -302,21 +303,21 @@ def preview_topk(spark, sf_dir):
 
 
 @_register(_with(_POINTS) + f"""select point_id, Intensity, Classification, split from points
-  where substr({_KEY}, 1, 8) < '{int(16**8 / 100):08x}'""")
+  where {_KEY} < {key_bound('0.01')}""")
 def hash_sample(spark, sf_dir):
     """One percent of the rows by key."""
-    return sampling.hash_sample(points_view(spark, sf_dir), "0.01").select(
+    return sampling.hash_sample(points_view(spark, sf_dir), "0.01", "md5").select(
         "point_id", "Intensity", "Classification", "split"
     )
 
 
 @_register(_with(_POINTS, _REMAPPED) + f"""select point_id, Intensity, Classification, split from remapped
-  where substr({_KEY}, 1, 8) < case Classification when 1 then '{int(16**8 / 2):08x}' when 3 then '{int(16**8 / 10):08x}'
-    when 4 then '{int(16**8 / 4):08x}' when 8 then '{int(16**8 / 20):08x}' end""")
+  where {_KEY} < case Classification when 1 then {key_bound('0.5')} when 3 then {key_bound('0.1')}
+    when 4 then {key_bound('0.25')} when 8 then {key_bound('0.05')} end""")
 def stratified_hash_sample(spark, sf_dir):
     """A fraction per class by key, classes not named left out."""
     fractions = {1: "0.5", 3: "0.1", 4: "0.25", 8: "0.05"}
-    return sampling.stratified_hash_sample(_remapped(spark, sf_dir), fractions).select(
+    return sampling.stratified_hash_sample(_remapped(spark, sf_dir), fractions, "md5").select(
         "point_id", "Intensity", "Classification", "split"
     )
 
@@ -328,21 +329,20 @@ def stratified_hash_sample(spark, sf_dir):
            + """select point_id, Intensity, Classification, split, x, y, z from ranked where place <= ceil(size * 0.1)""")
 def stratified_sample(spark, sf_dir):
     """Exactly a tenth of each class, rounded up."""
-    sampled = sampling.stratified_sample(_remapped(spark, sf_dir), "0.1")
+    sampled = sampling.stratified_sample(_remapped(spark, sf_dir), "0.1", hasher="md5")
     return features.split_xyz(sampled).select("point_id", "Intensity", "Classification", "split", "x", "y", "z")
 
 
 def _rung_sql(fraction: str) -> str:
-    keep = "true" if fraction == "1" else f"substr(key, 1, 8) < '{int(16**8 * float(fraction)):08x}'"
-    return (f"select Classification, cast({fraction} as double) as fraction, count(*) filter (where {keep}) as n "
-            "from keyed group by Classification")
+    return (f"select Classification, cast({fraction} as double) as fraction, "
+            f"count(*) filter (where key < {key_bound(fraction)}) as n from keyed group by Classification")
 
 
 @_register(_with(_POINTS, _REMAPPED, f"keyed as (select Classification, {_KEY} as key from remapped)")
            + " union all ".join(_rung_sql(f) for f in sampling.LADDER))
 def fraction_ladder(spark, sf_dir):
     """Rows per class for each of six nested fractions."""
-    return sampling.fraction_ladder(_remapped(spark, sf_dir))
+    return sampling.fraction_ladder(_remapped(spark, sf_dir), hasher="md5")
 
 
 @_register(_with(_POINTS) + """select split, Classification, count(*) as n, cast(sum(Intensity) as bigint) as intensity
@@ -523,8 +523,12 @@ def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         info.alias("Task Info"),
         metrics.alias("Task Metrics"),
     )
+    items = lineitem(spark, sf_dir)
+    cores = sampling.partitions_if_narrow(items)
+    if cores:
+        items = sampling.spread_rows(items, cores)
     # Through a generator, so that the filter on the text does not write each line a second time.
-    return lineitem(spark, sf_dir).select(F.explode(F.array(F.to_json(event))).alias("value"))
+    return items.select(F.explode(F.array(F.to_json(event))).alias("value"))
 
 
 _COUNTERS_SQL = {

@@ -52,7 +52,7 @@ def route_paths(paths: Iterable[str], *, unmatched: str = "error") -> dict[str,
         hits = (re.search(SPLIT_PATTERN, part) for part in parts[: -2 if is_folder else -3 : -1])
         hit = next((m.group(1) for m in hits if m), None)
         if hit:
-            routed["val" if hit == "eval" else hit].append(path)
+            routed[hit].append(path)
         elif unmatched == "error":
             raise ValueError(f"path names no split out of {SPLITS}: {path}")
     return routed
