@@ -20,14 +20,16 @@ def class_counts(df: DataFrame, by: Sequence[str] = ("Classification",)) -> Data
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def class_distribution(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def class_distribution(df: DataFrame, by: Sequence[str] = (), *, counts: bool = False) -> DataFrame:
     """Share of each class in percent, per group of ``by``; points without a class are a row too.
 
     The total is summed from the class counts, so the points are scanned once, not twice.
+    ``counts`` keeps the rows per class beside their share.
     """
-    counts = class_counts(df, [*by, "Classification"])
+    table = class_counts(df, [*by, "Classification"])
     total = F.sum("n").over(Window.partitionBy(*by))
-    return counts.select(*by, "Classification", percent(F.col("n"), total).alias("percentage"))
+    kept = ["n"] if counts else []
+    return table.select(*by, "Classification", *kept, percent(F.col("n"), total).alias("percentage"))
 
 
 def describe_classes(df: DataFrame, legend: DataFrame | None = None) -> DataFrame:

@@ -217,20 +217,20 @@ def raw_class_counts(spark, sf_dir):
     return report.class_counts(points_view(spark, sf_dir))
 
 
-_SHARES = """select split, Classification, count(*) / sum(count(*)) over (partition by split) * 100 as percentage
+_SHARES = """select split, Classification{n}, count(*) / sum(count(*)) over (partition by split) * 100 as percentage
   from {table} group by split, Classification"""
 
 
-@_register(_with(_POINTS, _REMAPPED) + _SHARES.format(table="remapped"))
+@_register(_with(_POINTS, _REMAPPED) + _SHARES.format(table="remapped", n=""))
 def class_distribution(spark, sf_dir):
     """Class shares per split."""
     return report.class_distribution(_remapped(spark, sf_dir), by=["split"])
 
 
-@_register(_with(_POINTS) + _SHARES.format(table="points"))
+@_register(_with(_POINTS) + _SHARES.format(table="points", n=", count(*) as n"))
 def raw_distribution(spark, sf_dir):
-    """Raw code shares per split."""
-    return report.class_distribution(points_view(spark, sf_dir), by=["split"])
+    """Raw code counts and shares per split."""
+    return report.class_distribution(points_view(spark, sf_dir), by=["split"], counts=True)
 
 
 @_register(_with(_POINTS, _REMAPPED, _LEGEND) + """select r.Classification, Description,
