@@ -74,7 +74,9 @@ def point_key(xyz: Column, others: Sequence[Column], hasher: str = "xxhash64") -
     if hasher == "xxhash64":
         return F.shiftrightunsigned(F.xxhash64(*parts), 64 - KEY_BITS)
     if hasher == "md5":
-        text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in parts])
+        # One array cast instead of a cast per column keeps the generated method small enough to compile.
+        numbers = F.array(*[c.cast("long") for c in parts])
+        text = F.array_join(numbers.cast("array<string>"), "|", "")
         number = F.conv(F.substring(F.md5(text), 1, KEY_BITS // 4), 16, 10).cast("long")
         # Never NULL, and said so: else each join on the key computes it once more to check.
         return F.coalesce(number, F.lit(0))
