@@ -182,7 +182,7 @@ def speedup_table(runs: DataFrame) -> DataFrame:
     ``runs`` has ``fraction``, ``executors`` and ``seconds``. Efficiency is the speed-up divided by
     the growth in executors.
     """
-    smallest_first = Window.partitionBy("fraction").orderBy("executors")
+    smallest_first = Window.partitionBy("fraction").orderBy("executors", "seconds")
     base_seconds = F.first("seconds").over(smallest_first)
     base_executors = F.first("executors").over(smallest_first)
     speedup = F.try_divide(base_seconds, F.col("seconds"))

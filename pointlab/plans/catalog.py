@@ -422,14 +422,13 @@ def metrics_rule(spark, sf_dir):
     return scored.select("split", "n_scored", *[F.round(n, 9).alias(n) for n in names])
 
 
-def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = points_view(spark, sf_dir)
+def _assembled(points: DataFrame) -> DataFrame:
     stages = transformers.feature_pipeline().fit(points)
     return forest.with_class_label(stages.transform(points)).select("split", "Classification", "features")
 
 
 def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _assembled(spark, sf_dir).where(in_split("train")).drop("split")
+    rows = _assembled(points_view(spark, sf_dir).where(in_split("train"))).drop("split")
     cores = sampling.partitions_if_narrow(lineitem(spark, sf_dir))
     return sampling.spread_rows(rows, cores) if cores else rows
 
@@ -441,7 +440,7 @@ def rf_predict_counts(spark, sf_dir):
     with forest.training_table(_training_rows(spark, sf_dir)) as train:
         model = forest.forest(numTrees=10).fit(train)
     return (
-        model.transform(_assembled(spark, sf_dir))
+        model.transform(_assembled(points_view(spark, sf_dir)))
         .groupBy("split", F.col("Classification").cast("int").alias("Classification"))
         .agg(F.count("prediction").alias("n_scored"))
     )

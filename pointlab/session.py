@@ -17,6 +17,8 @@ SCAN_AND_SHUFFLE = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "134217728",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.driver.maxResultSize": "512m",
+    # A task may hold this many folders open, so writing by split needs no sort of the rows first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.session.timeZone": "UTC",
 }
 

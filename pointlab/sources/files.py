@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from decimal import Decimal
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,7 @@ def sample_files(spark: SparkSession, path: str, fraction: float | str | Decimal
             raise ValueError(f"no Parquet files under {path}") from error
         raise
     folder = path.rstrip("/").rsplit("/", 1)[-1]
-    direct = [f for f in raw.inputFiles() if f.rsplit("/", 2)[-2] == folder]
+    direct = [f for f in raw.inputFiles() if unquote(f.rsplit("/", 2)[-2]) == folder]
     if not direct:
         raise ValueError(f"no Parquet files directly under {path}")
     names = [f.rsplit("/", 1)[-1] for f in choose_files(direct, fraction, seed)]

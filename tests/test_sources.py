@@ -119,6 +119,16 @@ def test_sample_files_reads_only_chosen_files(spark, point_folders):
     assert sample_files(spark, path, 1).count() == 40
 
 
+def test_sample_files_with_special_characters_in_names(spark, make_points, tmp_path):
+    folder = tmp_path / "tiles of 50%"
+    folder.mkdir()
+    make_points([point(x=i) for i in range(8)], splits=False).repartition(4).write.parquet(str(tmp_path / "plain"))
+    for i, file in enumerate(sorted((tmp_path / "plain").glob("*.parquet"))):
+        file.rename(folder / f"tile {i} \u00e9 %20.parquet")
+    assert sample_files(spark, str(folder), 1).count() == 8
+    assert 0 < sample_files(spark, str(folder), "0.5").count() < 8
+
+
 def test_sample_files_without_files(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(ValueError, match="no Parquet"):
