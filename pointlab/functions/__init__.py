@@ -9,7 +9,6 @@ from pointlab.functions.columns import (
     ndvi,
     percent,
     point_key,
-    split_of_path,
 )
 
 __all__ = [
@@ -21,5 +20,4 @@ __all__ = [
     "ndvi",
     "percent",
     "point_key",
-    "split_of_path",
 ]

@@ -11,10 +11,6 @@ from pyspark.sql import types as T
 
 from pointlab.schema import CLASS_MAPPING
 
-# The start of a word in a path part decides the split: "train/", "TEST-001.parquet",
-# "split=val", "validation", "eval"; never the middle of a word ("interval").
-SPLIT_PATTERN = r"(?:^|[^a-z])(?:e(?=val))?(train|test|val)"
-
 # Keys have 60 bits, so that they are whole numbers of at most 15 hexadecimal digits.
 KEY_BITS = 60
 
@@ -54,15 +50,6 @@ def is_missing(name: str, data_type: T.DataType) -> Column:
     return column.isNull()
 
 
-def split_of_path(path: Column) -> Column:
-    """Split named by the file name or, failing that, by its folder; else NULL.
-
-    One regular expression over "folder/file": the last hit counts.
-    """
-    tail = F.lower(F.substring_index(path, "/", -2))
-    return F.nullif(F.regexp_extract(tail, ".*" + SPLIT_PATTERN, 1), F.lit(""))
-
-
 def point_key(xyz: Column, others: Sequence[Column], hasher: str = "xxhash64") -> Column:
     """Repeatable key of a point: a whole number below 2**60.
 

@@ -5,15 +5,18 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pointlab.functions import split_of_path
-from pointlab.functions.columns import SPLIT_PATTERN
 from pointlab.schema import FEATURE_SCHEMA, POINT_SCHEMA, SPLITS
 
+# The start of a word in a path part decides the split: "train/", "TEST-001.parquet",
+# "split=val", "validation", "eval"; never the middle of a word ("interval").
+SPLIT_PATTERN = r"(?:^|[^a-z])(?:e(?=val))?(train|test|val)"
+
 
 def conform(df: DataFrame, schema: T.StructType = POINT_SCHEMA, keep: Sequence[str] = ()) -> DataFrame:
     """Project ``df`` to the contract: names matched without case, types cast.
@@ -43,16 +46,21 @@ def read_points(spark: SparkSession, *paths: str, name_glob: str | None = None)
     return conform(_scan(spark, paths, name_glob))
 
 
+def split_of_path(path: str) -> str | None:
+    """The split that the last part of a path names; for a file or pattern, also its folder."""
+    parts = [p for p in path.lower().split("/") if p]
+    is_folder = not re.search(r"[.*?]", parts[-1])
+    hits = (re.search(SPLIT_PATTERN, part) for part in parts[: -2 if is_folder else -3 : -1])
+    return next((hit.group(1) for hit in hits if hit), None)
+
+
 def route_paths(paths: Iterable[str], *, unmatched: str = "error") -> dict[str, list[str]]:
-    """Sort input paths into splits by their last part; for a file or pattern, also by its folder."""
+    """Sort input paths into splits by name."""
     routed: dict[str, list[str]] = {split: [] for split in SPLITS}
     for path in paths:
-        parts = [p for p in path.lower().split("/") if p]
-        is_folder = not re.search(r"[.*?]", parts[-1])
-        hits = (re.search(SPLIT_PATTERN, part) for part in parts[: -2 if is_folder else -3 : -1])
-        hit = next((m.group(1) for m in hits if m), None)
-        if hit:
-            routed[hit].append(path)
+        split = split_of_path(path)
+        if split:
+            routed[split].append(path)
         elif unmatched == "error":
             raise ValueError(f"path names no split out of {SPLITS}: {path}")
     return routed
@@ -63,28 +71,41 @@ def tag_splits(spark: SparkSession, *paths: str, name_glob: str | None = None,
     """All paths as one table with ``split``.
 
     A table that has a ``split`` column, such as a partitioned one, keeps it. Else a path that names
-    its split gives all its rows a constant, at no cost per row, and a filter on ``split`` removes
-    whole branches. Below any other path ``split`` is taken from each file's own path; a filter on it
-    is applied while listing, so files of other splits are not opened. Files that name no split have
-    a NULL split.
+    its split gives it to all its rows, and below any other path each file's own name decides, from
+    the listing that Spark holds anyway. The split is a constant of each branch: it costs nothing per
+    row, and a filter on it removes whole branches. Files that name no split have a NULL split.
     """
     if not paths:
         raise ValueError("no input paths")
     routed = route_paths(paths, unmatched="ignore")
     named = {path for found in routed.values() for path in found}
-    by_file = split_of_path(F.col("_metadata.file_path"))
-    groups = [(found, F.lit(split)) for split, found in routed.items()]
-    groups.append(([path for path in paths if path not in named], by_file))
+    groups: dict[str | None, list[str]] = {**routed, None: [path for path in paths if path not in named]}
 
     tables = []
-    for found, split in groups:
-        if found:
-            raw = _scan(spark, found, name_glob)
-            own = F.col("split") if "split" in raw.columns else split
-            tables.append(conform(raw.withColumn("split", own), schema, keep=["split"]))
+    for split, found in groups.items():
+        if not found:
+            continue
+        raw = _scan(spark, found, name_glob)
+        if "split" in raw.columns:
+            tables.append(conform(raw, schema, keep=["split"]))
+        elif split:
+            tables.append(conform(raw, schema).withColumn("split", F.lit(split)))
+        else:
+            tables.extend(_tag_files(spark, raw, schema))
     return reduce(DataFrame.unionByName, tables)
 
 
+def _tag_files(spark: SparkSession, raw: DataFrame, schema: T.StructType) -> list[DataFrame]:
+    by_split: dict[str | None, list[str]] = {}
+    for uri in raw.inputFiles():
+        file = unquote(uri)
+        by_split.setdefault(split_of_path(file), []).append(file)
+    return [
+        conform(spark.read.parquet(*files), schema).withColumn("split", F.lit(split).cast("string"))
+        for split, files in by_split.items()
+    ]
+
+
 def read_splits(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Exactly three paths, in the order train, val, test, as one table with ``split``.
 

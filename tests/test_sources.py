@@ -18,7 +18,7 @@ from pointlab.sources import (
     tag_splits,
     write_points,
 )
-from pointlab.sources.points import in_split
+from pointlab.sources.points import in_split, split_of_path
 
 
 def test_conform_matches_names_without_case_and_casts(spark):
@@ -44,6 +44,17 @@ def test_read_many_paths_and_globs(spark, point_folders):
         read_points(spark)
 
 
+@pytest.mark.parametrize(
+    ("path", "split"),
+    [("s3a://b/data/train/part-0.parquet", "train"), ("s3a://b/data/TEST-001.parquet", "test"),
+     ("/d/split=val/part-0.parquet", "val"), ("/d/eval/a.parquet", "val"), ("/d/validation/a.parquet", "val"),
+     ("/d/interval/a.parquet", None), ("/d/contest/a.parquet", None), ("/train/x/y.parquet", None),
+     ("/d/train/TEST_1.parquet", "test"), ("a.parquet", None)],
+)
+def test_split_of_path(path, split):
+    assert split_of_path(path) == split
+
+
 def test_route_paths():
     routed = route_paths(["s3a://b/data/train/", "/x/TEST*.parquet", "/x/val", "/y/test"])
     assert routed == {"train": ["s3a://b/data/train/"], "val": ["/x/val"], "test": ["/x/TEST*.parquet", "/y/test"]}
@@ -65,9 +76,10 @@ def test_tag_splits_by_given_paths(spark, point_folders):
 def test_tag_splits_by_file_paths_opens_only_wanted_files(spark, point_folders):
     df = tag_splits(spark, f"{point_folders}/*/*.parquet")
     assert collect(df.groupBy("split").count(), "split") == EXPECTED
-    everything = df.rdd.getNumPartitions()
-    assert 0 < df.where(in_split("val")).rdd.getNumPartitions() < everything
-    assert df.where(in_split("val")).count() == 40
+    one = df.where(in_split("val"))
+    assert plan_of(one).split("== Physical Plan ==")[1].count("FileScan") == 1
+    assert 0 < one.rdd.getNumPartitions() < df.rdd.getNumPartitions()
+    assert one.count() == 40
 
 
 def test_tag_splits_uses_a_partition_column(spark, make_points, tmp_path):
@@ -126,6 +138,7 @@ def test_sample_files_with_special_characters_in_names(spark, make_points, tmp_p
     for i, file in enumerate(sorted((tmp_path / "plain").glob("*.parquet"))):
         file.rename(folder / f"tile {i} \u00e9 %20.parquet")
     assert sample_files(spark, str(folder), 1).count() == 8
+    assert tag_splits(spark, f"{tmp_path}/tiles*/*").where("split is null").count() == 8
     assert 0 < sample_files(spark, str(folder), "0.5").count() < 8
 
 
