@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -57,6 +58,18 @@ def test_plans_stay_in_the_jvm(spark):
             assert operator not in plan, (name, operator)
 
 
+@pytest.mark.parametrize("name", ["features", "hash_sample", "stratified_hash_sample", "stratified_sample", "fraction_ladder"])
+def test_generated_methods_are_small_enough_to_compile(spark, capsys, name):
+    """The virtual machine leaves methods above 8000 bytes interpreted, at several times the cost."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        QUERIES[name](spark, SF_DIR).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert 0 < max(sizes) < 8000
+
+
 def test_forests_learn(spark):
     assert QUERIES["test_score"](spark, SF_DIR).first().accuracy > 0.6
 
