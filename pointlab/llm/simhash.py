@@ -87,16 +87,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return sum(1 << i for i in range(64) if 2 * counts[i] > total)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long, for each row of ``docs``."""
-    key = docs.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to carry, and fp, the fingerprint as a signed long, for each row of ``docs``."""
+    names = ["doc_id", *carry]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in even_batches(batches, "text", BATCH_BYTES):
             fps = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(fps.view(np.int64))], [*names, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(of, f"doc_id {key}, fp long")
+    fields = "".join(f"`{name}` {docs.schema[name].dataType.simpleString()}, " for name in names)
+    return docs.select("text", *names).mapInArrow(of, f"{fields}fp long")
 
 
 def _segment(fp: np.ndarray, i: int) -> np.ndarray:
@@ -174,14 +175,15 @@ def links(nodes: DataFrame, most: int = MOST) -> DataFrame:
     return components(first.union(second))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (its smallest doc_id) for each row of ``docs``."""
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to carry, fingerprint (16 hex digits), component_id (the smallest doc_id of its
+    component) and component (one of its fingerprints) for each row of ``docs``."""
     if not 0 <= most <= MOST:
         raise ValueError(f"keys hold for 0 to {MOST} differing bits")
-    fps = written(fingerprints(docs, shingle), "fps")
+    fps = written(fingerprints(docs, shingle, carry), "fps")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     linked = written(links(nodes, most), "components")
     labelled = nodes.join(linked, nodes.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     classes = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_fp = labelled.join(classes, "component").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    by_fp = labelled.join(classes, "component").select("fp", "component_id", "component")
+    return fps.join(by_fp, "fp").select("doc_id", *carry, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component")

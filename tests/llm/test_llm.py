@@ -1,0 +1,582 @@
+from __future__ import annotations
+
+import os
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from pointlab.llm import bpe, components, cws, encoder, golay, langid, licenses, linededup, mixing, queries, sharding, simhash, tokencount, vptree
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SF_DIR = "/root/testdata/sf0.001"
+# Texts that tokenizers treat in odd ways.
+ODD = [
+    None, "", " ", "\n\n\n", "a", "  two  blanks ", "it's we'll THEY'RE", "tab\there\r\nand\x0bthere\x0c", "x" * 5000, " " * 5000,
+    "end<|endoftext|>of <|endoftext|> text", "é" * 3000, "naïve façade – “quotes” … 日本語 текст العربية 😀👍🏽", "1234567890 12.5%", "a b c　d\u0085e",
+    "́combining", "𝔘𝔫𝔦", "word " * 3000, "ẞİı", "." * 4000 + " end",
+]
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return queries.VOCABULARY
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    """Nulls in every column, odd and repeated texts, repeated rows, columns named like results."""
+    rows = [(i, t, "en" if i % 3 else None, f"s{i % 2}" if i % 5 else None, len(t or "")) for i, t in enumerate(ODD)]
+    rows += [(100, "same row here", "en", "s0", 13)] * 3 + [(None, "no id one two", "en", "s0", 13), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for name in ("size", "shard", "fingerprint", "n_tokens", "rank", "copies", "places", "component_id", "lines_removed", "id", "t", "key", "fp"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    return docs
+
+
+@pytest.fixture(scope="module")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def some_docs(spark):
+    """Whole texts of the smallest test table."""
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+def collect(df, *names):
+    return [tuple(r[n] for n in names) for r in df.collect()]
+
+
+# Tokens
+
+
+def test_both_libraries_agree_on_every_character(vocabulary):
+    own = encoder.Encoder(vocabulary)
+    assert own.fast is not None
+    for start in range(0, 0x110000, 4096):
+        text = "".join(f"a{chr(c)}b {chr(c)}{chr(c)} " for c in range(start, start + 4096) if not 0xD800 <= c < 0xE000)
+        assert own._plain(text) or "<|" in text or encoder.LONG_RUN.search(text)
+        assert own.fast.encode_ordinary(text) == own.whole(text), hex(start)
+
+
+@pytest.mark.parametrize("most", [1, 7, 64])
+def test_pieces_keep_the_tokens(vocabulary, most):
+    own = encoder.Encoder(vocabulary)
+    for text in ODD:
+        parts = list(encoder.pieces(text or "", most))
+        assert "".join(parts) == (text or "")
+        assert [i for p in parts for i in own.ids(p)] == own.whole(text or "")
+
+
+def test_token_counts(odd_docs, no_docs, vocabulary):
+    whole = Tokenizer.from_file(vocabulary)
+    got = collect(tokencount.token_counts(odd_docs, vocabulary, limit=50, batch_bytes=100), "doc_id", "n_bytes", "n_tokens", "over_limit")
+    expected = []
+    for doc_id, text in collect(odd_docs, "doc_id", "text"):
+        n = len(whole.encode(text or "", add_special_tokens=False).ids)
+        expected.append((doc_id, len((text or "").encode()), n, n > 50))
+    assert Counter(got) == Counter(expected)
+    assert tokencount.token_counts(no_docs, vocabulary).count() == 0
+
+
+def test_token_counts_of_other_kinds(spark, some_docs):
+    import public_tokenizers
+    import sentencepiece
+
+    docs = some_docs.limit(20)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    pieces = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = dict(collect(docs, "doc_id", "text"))
+    assert all(n == len(pieces.encode(texts[i])) for i, n in collect(tokencount.token_counts(docs, path), "doc_id", "n_tokens"))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = Tokenizer.from_file(path)
+    words.no_truncation()
+    assert all(n == len(words.encode(texts[i], add_special_tokens=False).ids) for i, n in collect(tokencount.token_counts(docs, path), "doc_id", "n_tokens"))
+
+
+# BPE
+
+
+def test_chunks_are_cut_by_content():
+    rng = random.Random(1)
+    shared = "".join(rng.choice("abcdefgé \n") for _ in range(20000))
+    a, b = ("x" * 7 + shared).encode(), ("other start " + shared + "!").encode()
+    names = []
+    for data in (a, b):
+        ends, start, own = bpe.cuts(data), 0, set()
+        assert ends[-1] == len(data) and ends == sorted(set(ends))
+        for end in ends:
+            data[start:end].decode()
+            own.add(bpe.name_of(data[start:end]))
+            start = end
+        names.append(own)
+    assert len(names[0] & names[1]) > 0.8 * len(names[0])
+
+
+@pytest.mark.parametrize("mask_bits", [1, 4, 10])
+def test_joins_are_repaired(vocabulary, mask_bits):
+    code = bpe.Codec(vocabulary)
+    rng = random.Random(2)
+    texts = [t for t in ODD if t] + ["".join(rng.choice("ab '\n  .é日<|endoftext|>1") for _ in range(rng.randrange(1, 3000))) for _ in range(60)]
+    for text in texts:
+        data, start, parts = text.encode(), 0, []
+        for end in bpe.cuts(data, mask_bits):
+            parts.append(code.encode(data[start:end]))
+            start = end
+        ids, out = code.joined(parts)
+        assert out == data and ids.tolist() == code.encoder.whole(text)
+
+
+@pytest.mark.parametrize("table_bits", [5, 24])
+def test_encode_decode(odd_docs, no_docs, vocabulary, table_bits):
+    """With a table of 32 bits nearly all chunks go the way of repeated ones."""
+    whole = Tokenizer.from_file(vocabulary)
+    got = collect(bpe.encode_decode(odd_docs, vocabulary, mask_bits=4, table_bits=table_bits), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    expected = []
+    for doc_id, text in collect(odd_docs, "doc_id", "text"):
+        ids = whole.encode(text or "", add_special_tokens=False).ids
+        expected.append((doc_id, len(ids), brute.sha(np.array(ids, "<u4").tobytes()), brute.sha(whole.decode(ids, skip_special_tokens=False).encode())))
+    assert Counter(got) == Counter(expected)
+    assert bpe.encode_decode(no_docs, vocabulary).count() == 0
+
+
+# Licenses
+
+
+def test_alignment():
+    assert licenses.increasing([3, 1, 2, 5, 4, 6]) in ([1, 2, 3, 5], [1, 2, 4, 5])
+    rng = random.Random(3)
+    for _ in range(200):
+        a, b = ([rng.randrange(8) for _ in range(rng.randrange(12))] for _ in range(2))
+        pairs = licenses.align(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+    words = list(range(100))
+    assert licenses.align(words, words) == [(i, i) for i in words]
+    moved = words[50:] + words[:50]
+    assert len(licenses.align(moved, words)) == 50  # blocks that cross cannot both be aligned
+
+
+def test_license_scan(spark, no_docs):
+    mit = licenses.TEMPLATES["MIT"]
+    rng = random.Random(4)
+    words = mit.split()
+    edited = " ".join(w if rng.random() > 0.05 else "changed" for w in words)
+    rows = [
+        (0, "some text. " + mit, "MIT"), (1, edited + " more text", "MIT"), (2, " ".join(words[: len(words) // 2]), None),
+        (3, mit + "\n" + mit, "MIT"), (4, "the software is of the and or in", None), (5, None, None), (6, "", None),
+        (7, "Foo.\nReleased under the MIT License.\nBar", "MIT notice"), (8, "the " * 100000 + mit, "MIT"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    found = defaultdict(list)
+    for r in licenses.scan_licenses(docs).collect():
+        found[r.doc_id].append(r)
+        assert r.coverage == r.matched / r.template_words >= licenses.COVERAGE
+        assert r.end_word - r.first_word >= r.matched
+    for i, _, name in rows:
+        assert {r.license for r in found[i]} == ({name} if name else set()), i
+    assert len(found[3]) == 2 and found[0][0].coverage == 1.0 and found[0][0].first_word == 2
+    assert licenses.scan_licenses(no_docs).count() == 0
+
+
+# Mixing
+
+
+def test_targets_of_sources(spark):
+    sizes = {"a": 100, "b": 1000, "c": 10, "d": 0, None: 500}
+    rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+    got = {r.source: r.target for r in mixing.source_targets(rows).collect()}
+    weights = dict(zip(["a", "b", "c", "d", None], [5, 2, 1, 5, 2]))
+    left, open_ = 1.5 * sum(sizes.values()), dict(weights)
+    expected = {}
+    while True:
+        level = left / sum(open_.values())
+        full = [s for s in open_ if level * weights[s] > 2 * sizes[s]]
+        if not full:
+            break
+        for s in full:
+            expected[s] = 2 * sizes[s]
+            left -= 2 * sizes[s]
+            del open_[s]
+    expected |= {s: level * weights[s] for s in open_}
+    assert got == pytest.approx(expected)
+
+
+def test_mixing_follows_targets(spark, odd_docs, no_docs):
+    rows = [(i, ("big" if i % 3 == 0 else f"s{i % 7}") if i % 11 else None, int(1 + (i * 7919) % 300)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows)
+    assert all(0 <= r.copies <= 2 and r.taken == r.copies * r["size"] for r in got)
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - t) <= 300 for s, t in target.items())
+    again = mixing.mix(df.repartition(17)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    odd = mixing.mix(odd_docs.withColumn("size", mixing.word_count()))
+    assert odd.count() == odd_docs.count() and "fingerprint" in odd.columns
+    assert all(r["size"] == len(brute.WORD.findall(r.text or "")) for r in odd.collect())
+    assert mixing.mix(no_docs.withColumn("size", mixing.word_count())).count() == 0
+
+
+# Lines
+
+
+def test_line_dedup(spark, odd_docs, no_docs):
+    rng = random.Random(5)
+    lines = ["", " ", *[f"line {i}" for i in range(12)]]
+    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(14)))) for i in range(150)]
+    rows += [(1000, None), (1001, ""), (1002, "one"), (None, rows[3][1]), (1003, "\n\n\n\n"), (1004, "a\na\na\na\na")]
+    docs = spark.createDataFrame([(i, t, "kept") for i, t in rows], "doc_id long, text string, places string")
+    got = {(r.doc_id): (r.text, r.lines_removed) for r in linededup.dedup_lines(docs).collect()}
+    assert got == {i: out for (i, _), out in zip(rows, brute.line_dedup(rows))}
+    assert any(n for _, n in got.values())
+    odd = linededup.dedup_lines(odd_docs)
+    assert odd.columns == [c for c in odd_docs.columns if c != "lines_removed"] + ["lines_removed"] and odd.count() == odd_docs.count()
+    assert linededup.dedup_lines(no_docs).count() == 0
+
+
+def test_intervals_join_up(spark):
+    text = "\n".join("abcdefgh")
+    docs = spark.createDataFrame([(1, text), (2, "x\n" + text + "\ny"), (3, text)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()} == {1: text, 2: "x\ny", 3: ""}
+
+
+# SimHash
+
+
+def test_golay_code_is_perfect():
+    words = np.arange(1 << 12, dtype=np.int64) << 11
+    heads = np.unique(golay.index_of(np.arange(1 << 16, dtype=np.int64)))
+    assert len(heads) and heads.max() < 1 << 12
+    of_byte, pattern = golay._tables()
+    assert len(np.unique(pattern)) == 1 << 11  # every remainder has its own pattern of up to 3 bits
+    rng = np.random.default_rng(6)
+    words = rng.integers(0, 1 << 23, 2000)
+    near = golay.near_indices(words, 23)
+    assert max(len(set(r)) for r in near.tolist()) <= 6
+    for bit in range(23):  # words one bit apart meet
+        assert (near == golay.index_of(words ^ (1 << bit))[:, None]).any(axis=1).all()
+
+
+def test_keys_find_every_link():
+    rng = np.random.default_rng(7)
+    fps = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    other = fps.copy()
+    for i in range(len(other)):
+        for bit in rng.choice(64, i % 4, replace=False):
+            other[i] ^= np.uint64(1) << np.uint64(bit)
+    rows, keys = simhash.keys_of(fps, True)
+    own = defaultdict(set)
+    for r, k in zip(rows, keys):
+        own[r].add(k)
+    rows, keys = simhash.keys_of(other, False)
+    met = defaultdict(set)
+    for r, k in zip(rows, keys):
+        met[r].add(k)
+    assert all(own[i] & met[i] for i in range(len(fps)))
+
+
+def test_simhash(spark, odd_docs, no_docs):
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(500)}" for _ in range(200)] for _ in range(6)]
+    rows = []
+    for i in range(240):
+        words = list(base[i % 6])
+        for _ in range(i // 24):
+            words[rng.randrange(200)] = f"e{rng.randrange(99)}"
+        rows.append((1000 - i, " ".join(words)))
+    rows += [(2000, None), (2001, ""), (2002, "two words"), (None, "two words"), (2003, "Two WORDS")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.near_duplicates(docs).collect()
+    own = [(i, brute.simhash(t)) for i, t in rows]
+    of = brute.components([f for _, f in own], lambda a, b: (a ^ b).bit_count() <= 3)
+    first = {}
+    for i, f in own:
+        if i is not None:
+            first[of[f]] = min(first.get(of[f], i), i)
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == Counter((i, f"{f:016x}", first.get(of[f])) for i, f in own)
+    assert simhash.near_duplicates(odd_docs).count() == odd_docs.count()
+    assert simhash.near_duplicates(no_docs).count() == 0
+
+
+def test_simhash_of_close_fingerprints(spark):
+    """Chains and clusters where most links lie between fingerprints other than the ends of a key."""
+    rng = random.Random(9)
+    fps = set()
+    for _ in range(5):
+        at = rng.getrandbits(64)
+        for _ in range(60):
+            for _ in range(rng.randrange(1, 4)):
+                at ^= 1 << rng.randrange(64)
+            fps.add(at)
+    nodes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    got = {r.node & brute.M64: r.component & brute.M64 for r in simhash.links(nodes).collect()}
+    of = brute.components(fps, lambda a, b: (a ^ b).bit_count() <= 3)
+    ours, theirs = defaultdict(set), defaultdict(set)
+    for f in fps:
+        ours[got.get(f, f)].add(f)
+        theirs[of[f]].add(f)
+    assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
+
+
+def test_components(spark):
+    rng = random.Random(10)
+    edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(50)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    pairs = {tuple(sorted(e)) for e in edges}
+    of = brute.components({x for e in edges for x in e if e[0] != e[1]}, lambda a, b: (a, b) in pairs)
+    assert got.keys() == of.keys()
+    assert all((got[a] == got[b]) == (of[a] == of[b]) for a in of for b in of)
+
+
+# Nearest neighbours
+
+
+@pytest.mark.parametrize("shard_rows, block_rows", [(100_000, 100_000), (70, 4)])
+def test_factor_one_is_exact(spark, shard_rows, block_rows):
+    rng = np.random.default_rng(11)
+    vectors = np.round(rng.normal(size=(400, 6)), 1)
+    vectors[50:90] = vectors[7]  # ties
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    odd = [(1000, None), (1001, [0.0] * 6), (1002, [float("nan")] * 6), (1003, [None] + [1.0] * 5), (1004, [float("inf")] * 6), (None, [1.0] * 6), (1005, [1.0, 2.0])]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumn("rank", F.lit("x"))
+    got = defaultdict(list)
+    for r in vptree.nearest(df, df.where("vec_id % 40 = 0 or vec_id > 999"), factor=1.0, shard_rows=shard_rows, block_rows=block_rows).orderBy("rank").collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert set(got) == {i for i in range(400) if i % 40 == 0}
+    for q, own in got.items():
+        expected = brute.nearest(np.arange(400), vectors, q, 10)
+        assert [(n, v) for n, v, _ in own] == [(n + 1, v) for n, (v, _) in enumerate(expected)]
+        assert [s for *_, s in own] == pytest.approx([s for _, s in expected], abs=1e-12)
+
+
+def test_recall_and_small_tables(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet")
+    own = rows.collect()
+    ids, vectors = np.array([r.vec_id for r in own]), np.array([r.embedding for r in own], dtype=np.float64)
+    got = defaultdict(set)
+    for r in vptree.nearest(rows, rows.where("vec_id % 10 = 0")).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = [len(got[int(ids[q])] & {v for v, _ in brute.nearest(ids, vectors, q, 10)}) for q in range(len(ids)) if ids[q] % 10 == 0]
+    assert np.mean(hits) >= 9.5
+    few = rows.limit(4)
+    assert vptree.nearest(few, few).count() == 12
+    assert vptree.nearest(rows.limit(0), rows.limit(0)).count() == 0
+
+
+def test_larger_factor_skips_more():
+    rng = np.random.default_rng(12)
+    vectors = rng.normal(size=(3000, 4))
+    tree = vptree.Tree(np.arange(3000), vectors)
+    calls = []
+    whole = vptree.distances
+    try:
+        vptree.distances = lambda a, b: (calls.append(len(a) * len(b)), whole(a, b))[1]
+        work = []
+        for factor in (1.0, 4.0):
+            calls.clear()
+            tree.search(np.arange(50), vectors[:50], 10, factor)
+            work.append(sum(calls))
+    finally:
+        vptree.distances = whole
+    assert work[1] < 0.8 * work[0] < 50 * 3000
+
+
+# Shards
+
+
+def check_shards(rows, texts, shards):
+    counts = Counter(r.shard for r in rows)
+    assert max(counts.values()) - min(counts[s] for s in range(shards)) <= 1
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in texts)
+    assert {(r.law, r.grown_shard) for r in rows} <= {("rows", None)}
+
+
+def test_shards(spark, odd_docs, no_docs):
+    texts = [(i, "hot" if i % 3 == 0 else f"pair {i // 2}" if i % 5 else f"own {i}") for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(7)
+    rows = sharding.shard_documents(docs).collect()
+    check_shards(rows, texts, 16)
+    placed = defaultdict(Counter)
+    text_of = dict(texts)
+    for r in rows:
+        placed[text_of[r.doc_id]][r.shard] += 1
+    assert len(placed["hot"]) <= 9  # 1,000 of 3,000 rows need 6 shards at least
+    pairs = [p for t, p in placed.items() if t.startswith("pair") and sum(p.values()) > 1]
+    assert np.mean([len(p) == 1 for p in pairs]) > 0.9
+    assert sorted(map(str, rows)) == sorted(map(str, sharding.shard_documents(docs.repartition(3)).collect()))
+    check_shards(sharding.shard_documents(odd_docs, shards=3).collect(), collect(odd_docs, "doc_id", "text"), 3)
+    assert sharding.shard_documents(no_docs).count() == 0
+
+
+# Languages
+
+
+@pytest.fixture(scope="module")
+def models(some_docs):
+    return langid.train(some_docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+
+
+def test_models_match_the_definition(spark):
+    rng = random.Random(13)
+    syllables = {"aa": ["ba", "be", "bo"], "bb": ["ke", "ko", "kä", "ba"]}
+    texts = [(i, " ".join("".join(rng.choice(syllables[x]) for _ in range(3)) for _ in range(6)), x) for i, x in enumerate(["aa", "bb"] * 20)]
+    got = langid.train(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
+    back = [r.doc_id for r in spark.range(40).withColumnRenamed("id", "doc_id").where(F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(8)) == 0).collect()]
+    own = [(t + " ", x) for i, t, x in texts if i not in back]
+    characters = len({c for t, _ in own for c in t}) + 1
+    tests = [t for i, t, _ in texts if i in back] + ["BA-be, zz! ko", "", "123", None]
+    n, h = got.cross_entropies(tests)
+    assert n[-3:].tolist() == [0, 0, 0]
+    for k, lang in enumerate(got.languages):
+        model = brute.KneserNey([t for t, x in own if x == lang], langid.ORDER, characters)
+        for i, t in enumerate(tests[:-4]):
+            assert h[i, k] == pytest.approx(model.cross_entropy(t + " "), rel=1e-4)
+        assert h[-4, k] == pytest.approx(model.cross_entropy("ba be zz ko "), rel=1e-4)
+
+
+def test_held_out_accuracy(some_docs, models):
+    got = langid.identify(some_docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 == 2), models).where("lang is not null").collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_rejection(spark, some_docs, models, odd_docs, no_docs):
+    kept = langid.identify(some_docs, models)
+    assert kept.where("rejected").count() <= 0.01 * kept.count()
+    strange = [(1, "日本語の文章はここにあります。" * 20), (2, None), (3, "12 34 !"), (4, "qxzvkj wqxzj kkqzx vvxq jjqzx " * 20)]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(strange, "doc_id long, text string"), models).collect()}
+    assert all(r.rejected for r in got.values())
+    assert [got[i].lang_pred == "und" for i in (1, 2, 3)] == [False, True, True] and got[2].score == got[3].score == 0
+    odd = langid.identify(odd_docs, models)
+    assert odd.count() == odd_docs.count() and "shard" in odd.columns
+    assert langid.train(no_docs) is None
+    assert {(r.lang_pred, r.rejected) for r in langid.identify(some_docs.limit(3), None).collect()} == {("und", True)}
+    assert langid.identify(no_docs, models).count() == 0
+
+
+def test_blocks_do_not_change_scores(models, monkeypatch):
+    text = "Thonre was is anly hend and oftionnt. " * 400
+    before = models.cross_entropies([text, "and the", text])
+    monkeypatch.setattr(langid, "BLOCK", 1000)
+    after = models.cross_entropies([text, "and the", text])
+    assert np.allclose(before[1], after[1], rtol=1e-6) and (before[0] == after[0]).all()
+
+
+# Fingerprints
+
+
+def edited_of(rows):
+    """By row: text, edited text, next text; rows are distinct by id and text."""
+    order = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -(2**63)), r[2]))
+    out = {}
+    for (i, text, _), (_, after, _) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        out[i, text] = (text[: len(text) - half] + after[:half], after)
+    return out
+
+
+def test_fingerprints(spark, odd_docs, no_docs):
+    rng = random.Random(14)
+    rows = [(i * 7 % 101, " ".join(rng.choice("abcdefgh") * rng.randrange(1, 3) for _ in range(rng.randrange(40)))) for i in range(60)]
+    rows += [(-5, "日本 語 text é"), (200, ""), (None, "no id at all")]
+    docs = spark.createDataFrame([*rows, rows[4], (300, None)], "doc_id long, text string")
+    got = cws.fingerprint_documents(docs, samples=8).collect()
+    assert len(got) == len(rows) + 2
+    edited = edited_of([(i, t, 0) for i, t in [*rows, (300, "")]])
+    texts = {(i, t) for i, t in [*rows, (300, "")]}
+    by_id = {i: t for i, t in texts}
+    for r in got:
+        text = by_id[r.doc_id]
+        new, after = edited[r.doc_id, text]
+        assert (r.n_chars, r.edited_sha256) == (len(text), brute.sha(new.encode()))
+        prints = [brute.fingerprint(t, 8) for t in (text, new, after)]
+        assert [r.fingerprint, r.edited_fingerprint] == prints[:2]
+        alike = lambda a, b: sum(a[i : i + 8] == b[i : i + 8] for i in range(0, 64, 8)) / 8
+        assert (r.near_edited, r.near_next) == (alike(prints[0], prints[1]), alike(prints[0], prints[2]))
+    assert cws.fingerprint_documents(odd_docs).count() == odd_docs.count()
+    assert cws.fingerprint_documents(no_docs).count() == 0
+    assert cws.fingerprint_documents(docs.limit(1)).first().near_next == 1.0
+
+
+def test_likeness_is_jaccard(spark):
+    a = " ".join(["x"] * 6 + ["y"] * 2 + [f"w{i}" for i in range(40)])
+    b = " ".join(["x"] * 2 + ["y"] * 5 + [f"w{i}" for i in range(20, 60)])
+    texts = spark.createDataFrame([(0, a), (1, b)], "k long, text string")
+    sigs = [r.sig for r in cws.signatures(texts, ["k"], 200).orderBy("k").collect()]
+    share = np.mean([x == y for x, y in zip(*sigs)])
+    assert share == pytest.approx(brute.jaccard(a, b), abs=0.1)
+
+
+# Queries and pipeline
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_queries_run_over_whole_tables(spark, name):
+    assert queries.queries()[name](spark, SF_DIR).count() > 0
+
+
+def test_native_operators_stay_in_the_jvm(spark):
+    for name in ("op3_mix_sources", "op4_line_dedup", "op8_shards", "op10_fingerprints"):
+        plan = queries.queries()[name](spark, SF_DIR)._jdf.queryExecution().toString()
+        assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin")), name
+
+
+def test_pipeline(spark, odd_docs, tmp_path):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs, kept = rows, [rows.count()]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.columns == rows.columns and docs.schema.simpleString() == rows.schema.simpleString()
+        docs.write.parquet(out := f"{tmp_path}/{len(kept)}")
+        docs = spark.read.parquet(out)
+        kept.append(docs.count())
+    assert kept[0] >= kept[1] >= kept[2] >= kept[3] > 0
+    copies = Counter(r.doc_id for r in docs.select("doc_id").collect())
+    assert max(copies.values()) <= 2
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    whole = Tokenizer.from_file(queries.VOCABULARY)
+    expected = Counter((r.doc_id, len(whole.encode(r.text, add_special_tokens=False).ids)) for r in docs.collect())
+    assert Counter(collect(got, "doc_id", "n_tokens")) == expected
+    assert Counter(collect(corpus_pipeline.run(spark, SF_DIR), "doc_id", "n_tokens")) == expected
+
+
+def test_stages_against_brute_force(spark):
+    text = "\n".join(f"Line number {i} of the common passage here" for i in range(4))
+    rows = [(1, "Own beginning\n" + text, "en", "a", 0), (2, text + "\nown end of the second one", "en", "a", 0), (3, text, "en", "b", 0), (4, "plain text of the fourth document", "en", None, 0), (5, "", None, None, 0), (6, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    plain = brute.line_dedup([(r[0], r[1]) for r in rows])
+    assert out == {r[0]: (t, None if t is None else len(t)) for r, (t, n) in zip(rows, plain) if not n or t.strip()}
+    assert 3 not in out and {1, 2, 4, 5, 6} == set(out)
+    near = spark.createDataFrame([(9, "a b c d"), (4, "a b c d"), (7, "other words are here"), (None, "a b c d")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, near, "").collect()) == [4, 7]
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs, stage):
+    stage(spark, odd_docs, "").count()
+    assert stage(spark, no_docs, "").count() == 0
+
+
+def test_written_tables_lie_in_the_shared_folder(spark, some_docs):
+    from pointlab.llm.shared import shared_dir, written
+
+    df = written(some_docs.select("doc_id"), "t")
+    assert all(f.split("file:")[-1].lstrip("/").startswith(shared_dir(spark).split("file:")[-1].lstrip("/")) for f in df.inputFiles())
+    assert os.path.isdir(shared_dir(spark).removeprefix("file://"))
