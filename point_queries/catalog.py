@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointlab.functions import key_bound
 from pointlab.operators import clean, features, forest, report, sampling, scoring, taskmetrics, transformers
-from pointlab.plans.jobs import search_forest
+from pointlab.plans.jobs import cross_validation_job, find_forest, sampled_features_job, search_forest
 from pointlab.schema import CLASS_MAPPING, CLASS_NAMES, FEATURE_COLUMNS, SPLITS
 from pointlab.session import scratch_path
 from pointlab.sources import legend, read_points, read_splits, sample_files, tag_splits, write_points
 from pointlab.sources.points import in_split, union_splits
-from pointlab.sources.testviews import CODES_BY_PART, lineitem, points_view, staged_points
+from point_queries.views import CODES_BY_PART, lineitem, points_view, staged_buckets, staged_points
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,15 +27,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 _codes = " ".join(f"when {i} then {code}" for i, code in enumerate(CODES_BY_PART))
 _POINTS = f"""points as (
   select l_orderkey*10 + l_linenumber as point_id,
-    list_value(l_extendedprice, cast(l_orderkey as double), l_quantity*10.0 + l_discount*100.0) as xyz,
+    case when l_linenumber = 7 then list_value(l_extendedprice, cast(l_orderkey as double))
+      else list_value(l_extendedprice, cast(l_orderkey as double), l_quantity*10.0 + l_discount*100.0) end as xyz,
     cast(l_partkey*37 % 3000 as int) as Intensity,
-    cast(case l_partkey % 12 {_codes} end as int) as Classification,
+    cast(case when l_suppkey % 10 <> 3 then case l_partkey % 12 {_codes} end end as int) as Classification,
     cast(case when l_partkey % 50 = 0 then 0 else (l_suppkey+1)*500 % 65536 end as int) as Red,
     cast((l_partkey % 12)*4096 + l_quantity*16 as int) as Green,
     cast(l_linenumber*8000 as int) as Blue,
     cast(case when l_partkey % 50 = 0 then 0 else l_quantity*1024 end as int) as Infrared,
-    case when l_orderkey % 10 < 8 then 'train' when l_orderkey % 10 = 8 then 'val' else 'test' end as split
+    case when l_orderkey % 10 < 6 then 'train' when l_orderkey % 10 = 6 then 'extra'
+      when l_orderkey % 10 = 8 then 'val' when l_orderkey % 10 = 9 then 'test' end as split
   from lineitem)"""
+_KNOWN = "known as (select * from points where split in ('train', 'val', 'test'))"
 
 _classes = " ".join(f"when {code} then {cls}" for code, cls in CLASS_MAPPING.items())
 _REMAPPED = f"""remapped as (
@@ -53,13 +58,14 @@ _FEATURES = """features as (
 _names = ", ".join(f"({cls}, '{name}')" for cls, name in CLASS_NAMES.items())
 _LEGEND = f"legend as (select * from (values {_names}) as t(Classification, Description))"
 
-_key_parts = [f"cast(cast(floor(xyz[{axis}]*1000 + 0.5) as bigint) as varchar)" for axis in (1, 2, 3)]
+_key_parts = [f"coalesce(cast(cast(floor(xyz[{axis}]*1000 + 0.5) as bigint) as varchar), '')" for axis in (1, 2, 3)]
 _key_parts += [
     f"coalesce(cast({c} as varchar), '')"
     for c in ("Intensity", "Classification", "Red", "Green", "Blue", "Infrared")
 ]
 _KEY = f"cast('0x' || substr(md5(concat_ws('|', {', '.join(_key_parts)})), 1, 15) as bigint)"
 
+_VALID = "NDVI is not null and z_norm is not null"
 _FINAL = "x, y, z_norm, Intensity, Classification, Red, Green, Blue, Infrared, NDVI"
 
 
@@ -94,22 +100,32 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks
 
 
-@_register(_with(_POINTS) + """select split, xyz[1] as x, xyz[2] as y, xyz[3] as z, Intensity, Classification,
-  Red, Green, Blue, Infrared from points""")
+@_register(_with(_POINTS, _KNOWN) + """select split, xyz[1] as x, xyz[2] as y, xyz[3] as z, Intensity, Classification,
+  Red, Green, Blue, Infrared from known""")
 def scan_points(spark, sf_dir):
     """Many Parquet paths as one contract-checked table, each row tagged from its file's path."""
     root = staged_points(spark, sf_dir)
     return features.split_xyz(tag_splits(spark, *[f"{root}/split={s}" for s in SPLITS])).drop("xyz")
 
 
-@_register(_with(_POINTS) + "select split, count(*) as n from points group by split")
+@_register(_with(_POINTS, _KNOWN) + "select split, count(*) as n from known group by split")
 def split_counts(spark, sf_dir):
     """Rows per split, the split read from the path of each file."""
     files = f"{staged_points(spark, sf_dir)}/*/*.parquet"
     return report.class_counts(tag_splits(spark, files), ["split"])
 
 
-@_register(_with(_POINTS) + "select split, Classification, count(*) as n from points group by split, Classification")
+@_register(_with(_POINTS, _KNOWN, _REMAPPED.replace("from points", "from known")) + """select Classification,
+    count(*) filter (where split = 'train') as train, count(*) filter (where split = 'test') as test,
+    count(*) filter (where split = 'val') as val from remapped group by Classification""")
+def distribution_nested(spark, sf_dir):
+    """Classes per split of files that lie in folders below those of the splits."""
+    root = staged_buckets(spark, sf_dir)
+    points = features.remap_classes(tag_splits(spark, *[f"{root}/{s}/bucket=*/" for s in SPLITS]))
+    return points.groupBy("Classification").agg(*[F.count_if(in_split(s)).alias(s) for s in ("train", "test", "val")])
+
+
+@_register(_with(_POINTS, _KNOWN) + "select split, Classification, count(*) as n from known group by split, Classification")
 def split_by_position(spark, sf_dir):
     """Exactly three paths in the order train, val, test."""
     root = staged_points(spark, sf_dir)
@@ -122,11 +138,16 @@ def glob_scan(spark, sf_dir):
     return report.class_counts(read_points(spark, f"{staged_points(spark, sf_dir)}/split=te*/*.parquet"))
 
 
-@_register()
+@_register(_with(_POINTS, _KNOWN, """buckets as (select split, bucket,
+    row_number() over (partition by split order by md5('42:bucket=' || bucket)) as place,
+    greatest(1, count(*) over (partition by split) * 25 // 100) as wanted
+  from (select distinct split, point_id % 16 as bucket from known))""") + """select k.split, Classification, count(*) as n
+  from known k join buckets b on k.split = b.split and k.point_id % 16 = b.bucket and place <= wanted
+  group by k.split, Classification""")
 def file_sample(spark, sf_dir):
-    """Rows per split and class in a quarter of the files of each split."""
-    root = staged_points(spark, sf_dir)
-    sampled = union_splits({s: sample_files(spark, f"{root}/split={s}", "0.25") for s in SPLITS})
+    """Rows per split and class in a quarter of the folders of each split."""
+    root = staged_buckets(spark, sf_dir)
+    sampled = union_splits({s: sample_files(spark, f"{root}/{s}", "0.25", by="folder") for s in SPLITS})
     return report.class_counts(sampled, ["split", "Classification"])
 
 
@@ -186,9 +207,9 @@ def impute_features(spark, sf_dir):
     return clean.impute_features(_features(spark, sf_dir))
 
 
-@_register(_with(_POINTS, _REMAPPED, _FEATURES) + """select split, Classification, count(*) as n_rows,
-  count(*) filter (where NDVI is not null) as n_valid,
-  count(*) filter (where NDVI is not null and Classification is not null) as n_trainable
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + f"""select split, Classification, count(*) as n_rows,
+  count(*) filter (where {_VALID}) as n_valid,
+  count(*) filter (where {_VALID} and Classification is not null) as n_trainable
   from features group by split, Classification""")
 def valid_rows(spark, sf_dir):
     """Rows with all features, and with a class too, per split and class."""
@@ -202,12 +223,33 @@ def valid_rows(spark, sf_dir):
 
 
 @_register(_with(_POINTS, _REMAPPED, _FEATURES)
-           + f"select point_id, split, {_FINAL} from features where NDVI is not null")
+           + f"select point_id, split, {_FINAL} from features where {_VALID}")
 def drop_invalid(spark, sf_dir):
     """Only rows with all features."""
     return clean.drop_invalid(_features(spark, sf_dir))
 
 
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + f"""select split, count(*) as n_rows, count(*) filter (where not ({_VALID})) as n_invalid
+  from features group by split""")
+def invalid_rows(spark, sf_dir):
+    """Rows per split on which assembling fails if it is not told to skip them."""
+    table = _features(spark, sf_dir)
+    invalid = ~clean.row_is_valid(table, transformers.feature_columns(table, ("Classification", "split", "point_id")))
+    return table.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(invalid).alias("n_invalid"))
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES) + " union all ".join(
+    f"select cast({i} as int) as place, '{c}' as column_name, count({c}) as n_values from features"
+    for i, c in enumerate(FEATURE_COLUMNS)))
+def feature_list(spark, sf_dir):
+    """Model inputs as all columns but the class, the split and the key, with the values each has."""
+    table = _features(spark, sf_dir)
+    names = transformers.feature_columns(table, ("Classification", "split", "point_id"))
+    counts = table.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "column_name", "n_values")
+    place = F.array_position(F.array(*map(F.lit, names)), F.col("column_name")) - 1
+    return counts.select(place.cast("int").alias("place"), "column_name", "n_values")
+
+
 # Aggregates and reports
 
 
@@ -333,6 +375,17 @@ def stratified_sample(spark, sf_dir):
     return features.split_xyz(sampled).select("point_id", "Intensity", "Classification", "split", "x", "y", "z")
 
 
+@_register(_with(_POINTS, f"keyed as (select *, {_KEY} as key from points where Classification is not null)",
+                 """ranked as (select *, count(*) over (partition by Classification) as size,
+    row_number() over (partition by Classification
+      order by key, point_id, xyz, Intensity, Red, Green, Blue, Infrared, split) as place from keyed)""")
+           + "select point_id, Intensity, Classification, split from ranked where place <= ceil(size * 0.1)")
+def stratified_sample_raw(spark, sf_dir):
+    """Exactly a tenth of each raw code, rounded up."""
+    sampled = sampling.stratified_sample(points_view(spark, sf_dir), "0.1", hasher="md5")
+    return sampled.select("point_id", "Intensity", "Classification", "split")
+
+
 def _rung_sql(fraction: str) -> str:
     return (f"select Classification, cast({fraction} as double) as fraction, "
             f"count(*) filter (where key < {key_bound(fraction)}) as n from keyed group by Classification")
@@ -374,10 +427,10 @@ def dedup_points(spark, sf_dir):
     return clean.drop_duplicates(points_view(spark, sf_dir).select("split", "Classification", "Red", "Blue"))
 
 
-@_register(_with(_POINTS, "kept as (select *, xyz[3] as z from points where Classification not in (65, 66))",
+@_register(_with(_POINTS, "kept as (select *, xyz[3] as z from points where Classification is null or Classification not in (65, 66))",
                  "stats as (select split, avg(z) as mean, stddev_samp(z) as sd from kept group by split)")
-           + """select point_id, Intensity, Classification, split, z from kept join stats using (split)
-  where abs(z - mean) <= 1.5 * sd""")
+           + """select point_id, Intensity, Classification, kept.split as split, z from kept join stats on kept.split is not distinct from stats.split
+  where coalesce(abs(z - mean) <= 1.5 * sd, true)""")
 def outlier_filter(spark, sf_dir):
     """Artifacts dropped by raw code, then heights far from their split's mean."""
     points = features.split_xyz(clean.drop_artifacts(points_view(spark, sf_dir)))
@@ -405,12 +458,12 @@ _RULE_SQL = _with(_POINTS, _REMAPPED, """scored as (select split, Classification
     """sized as (select *, sum(n) over (partition by split, label) as support,
     sum(n) over (partition by split, prediction) as predicted from confusion)""",
     "hits as (select *, n / predicted as p, n / support as r from sized where label = prediction)",
-    "totals as (select split, sum(n) as total from confusion group by split)") + """select split,
+    "totals as (select split, sum(n) as total from confusion group by split)") + """select totals.split as split,
   cast(total as bigint) as n_scored, round(coalesce(sum(n), 0) / total, 9) as accuracy,
   round(coalesce(sum(2*p*r/(p+r) * support), 0) / total, 9) as f1,
   round(coalesce(sum(p * support), 0) / total, 9) as weighted_precision,
   round(coalesce(sum(r * support), 0) / total, 9) as weighted_recall
-  from totals left join hits using (split) group by split, total"""
+  from totals left join hits on totals.split is not distinct from hits.split group by totals.split, total"""
 
 
 @_register(_RULE_SQL)
@@ -422,157 +475,116 @@ def metrics_rule(spark, sf_dir):
     return scored.select("split", "n_scored", *[F.round(n, 9).alias(n) for n in names])
 
 
+# Where training rows lie is part of the result, so it is fixed here.
+PARTITIONS = 8
+# Accuracy that any forest reaches on these points.
+FLOOR = 0.5
+_SEARCHED = ", ".join(f"({n})" for n in forest.SEARCH_TREES)
+_GRID = ", ".join(f"({n})" for n in forest.GRID_TREES)
+_USABLE = f"usable as (select * from features where {_VALID} and Classification is not null)"
+
+
+def _plausible(accuracy: float) -> bool:
+    return bool(FLOOR <= accuracy <= 1)
+
+
 def _assembled(points: DataFrame) -> DataFrame:
     stages = transformers.feature_pipeline().fit(points)
     return forest.with_class_label(stages.transform(points)).select("split", "Classification", "features")
 
 
-def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _assembled(points_view(spark, sf_dir).where(in_split("train"))).drop("split")
-    cores = sampling.partitions_if_narrow(lineitem(spark, sf_dir))
-    return sampling.spread_rows(rows, cores) if cores else rows
+def _small_forest(spark: SparkSession, sf_dir: str):
+    points = sampling.fixed_layout(points_view(spark, sf_dir).where(in_split("train")), PARTITIONS)
+    with forest.training_table(_assembled(points).drop("split")) as train:
+        return forest.forest(numTrees=10).fit(train)
 
 
-@_register(_with(_POINTS, _REMAPPED, _FEATURES) + """select split, Classification, count(*) as n_scored
-  from features where NDVI is not null and Classification is not null group by split, Classification""")
+@_register(_with(_POINTS, _REMAPPED, _FEATURES, _USABLE) + """select split, count(*) as n_scored, true as known_classes,
+  true as plausible from usable group by split""")
 def rf_predict_counts(spark, sf_dir):
-    """Rows a fitted forest scores, per split and class."""
-    with forest.training_table(_training_rows(spark, sf_dir)) as train:
-        model = forest.forest(numTrees=10).fit(train)
-    return (
-        model.transform(_assembled(points_view(spark, sf_dir)))
-        .groupBy("split", F.col("Classification").cast("int").alias("Classification"))
-        .agg(F.count("prediction").alias("n_scored"))
+    """Rows a fitted forest scores per split, whether it predicts known classes only, and how well."""
+    scored = _small_forest(spark, sf_dir).transform(_assembled(points_view(spark, sf_dir)))
+    hit = F.avg((F.col("prediction") == F.col("Classification")).cast("double"))
+    return scored.groupBy("split").agg(
+        F.count("prediction").alias("n_scored"),
+        F.every(F.col("prediction").between(min(CLASS_NAMES), max(CLASS_NAMES))).alias("known_classes"),
+        hit.between(FLOOR, 1).alias("plausible"),
     )
 
 
-@_register()
-def holdout_search(spark, sf_dir):
-    """Validation accuracy of forests with 10, 20 and 30 trees."""
-    return search_forest(points_view(spark, sf_dir)).search.table(spark)
+@_register(_with(_POINTS, _REMAPPED, _FEATURES, _USABLE) + "select split, count(*) as n_scored, "
+           "cast(0 as bigint) as n_different from usable group by split")
+def model_round_trip(spark, sf_dir):
+    """Rows whose prediction differs after stages and forest are saved and loaded."""
+    points = points_view(spark, sf_dir)
+    stages, model = transformers.feature_pipeline().fit(points), _small_forest(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    stages.write().save(f"{path}/stages")
+    model.write().save(f"{path}/forest")
+    loaded = RandomForestClassificationModel.load(f"{path}/forest")
+    again = loaded.setPredictionCol("again").setRawPredictionCol("").setProbabilityCol("")
+    table = forest.with_class_label(PipelineModel.load(f"{path}/stages").transform(points))
+    scored = again.transform(model.transform(table))
+    return scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(F.col("prediction") != F.col("again")).alias("n_different")
+    )
 
 
-@_register()
+@_register(_with(_POINTS, _REMAPPED, _FEATURES, _USABLE) + f"""select cast(num_trees as int) as num_trees, n_trained, n_scored,
+    true as plausible, true as best_is_highest
+  from (values {_SEARCHED}) t(num_trees), (select count(*) filter (where split = 'train') as n_trained,
+    count(*) filter (where split = 'val') as n_scored from usable)""")
+def holdout_search(spark, sf_dir):
+    """Forests with 10, 20 and 30 trees fitted on train and compared on val."""
+    points = points_view(spark, sf_dir)
+    search = find_forest(points, partitions=PARTITIONS, parallelism=3).search
+    usable = clean.drop_invalid(_features(spark, sf_dir)).where("Classification is not null")
+    n = usable.agg(*[F.count_if(in_split(s)).alias(s) for s in ("train", "val")])
+    rows = [(k, _plausible(a), search.accuracy[search.best_trees] == max(search.accuracy.values())) for k, a in search.accuracy.items()]
+    table = spark.createDataFrame(rows, "num_trees int, plausible boolean, best_is_highest boolean")
+    return table.select("num_trees", n.select("train").scalar().alias("n_trained"), n.select("val").scalar().alias("n_scored"), "plausible", "best_is_highest")
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES, _USABLE) + """select count(*) as n_scored, true as searched, true as plausible
+  from usable where split = 'test'""")
 def test_score(spark, sf_dir):
-    """Metrics of the best forest on the test split."""
-    run = search_forest(points_view(spark, sf_dir))
-    row = (run.search.best_trees, *run.test_metrics)
-    return spark.createDataFrame(
-        [row], "num_trees int, n_scored long, accuracy double, f1 double, weighted_precision double, weighted_recall double"
-    )
+    """The best forest scored on the test split."""
+    run = search_forest(points_view(spark, sf_dir), partitions=PARTITIONS, parallelism=3)
+    metrics = [run.test_metrics[m] for m in ("f1", "weighted_precision", "weighted_recall")]
+    row = (run.test_metrics.n_scored, run.search.best_trees in forest.SEARCH_TREES,
+           _plausible(run.test_metrics.accuracy) and all(0 < m <= 1 for m in metrics))
+    return spark.createDataFrame([row], "n_scored long, searched boolean, plausible boolean")
 
 
-@_register()
+@_register(_with(_POINTS, _REMAPPED, _FEATURES, _USABLE) + f"""select cast(num_trees as int) as num_trees, cast(5 as int) as max_depth,
+    n_scored, true as plausible, true as best_is_highest
+  from (values {_GRID}) t(num_trees), (select count(*) filter (where split = 'test') as n_scored from usable)""")
 def cv_search(spark, sf_dir):
-    """Cross-validated accuracy of forests with 50, 100 and 150 trees."""
-    with forest.training_table(_training_rows(spark, sf_dir)) as train:
-        model = forest.cross_validate(train, folds=2)
-    rows = [(n, float(a)) for n, a in zip(forest.GRID_TREES, model.avgMetrics)]
-    return spark.createDataFrame(rows, "num_trees int, accuracy double")
+    """Cross-validated accuracy of forests with 50, 100 and 150 trees, the best one scored on test."""
+    grid = {"numTrees": forest.GRID_TREES, "maxDepth": (5,)}
+    model, test = cross_validation_job(points_view(spark, sf_dir), "1", grid, partitions=PARTITIONS)
+    best = model.bestModel.stages[-1].getNumTrees
+    accuracy = {p[next(k for k in p if k.name == "numTrees")]: a for p, a in zip(model.getEstimatorParamMaps(), model.avgMetrics)}
+    good = bool(accuracy[best] == max(accuracy.values()) and _plausible(test.accuracy))
+    rows = [(n, 5, test.n_scored, _plausible(a), good) for n, a in accuracy.items()]
+    return spark.createDataFrame(rows, "num_trees int, max_depth int, n_scored long, plausible boolean, best_is_highest boolean")
+
+
+@_register(_with(_POINTS, _REMAPPED, _FEATURES.replace("select point_id,", "select point_id, xyz,"), _USABLE,
+                 f"sampled as (select * from usable where {_KEY} < {key_bound('0.5')})") + "select count(*) as n_scored, true as known_classes from sampled where split = 'test'")
+def sampled_features(spark, sf_dir):
+    """Test rows predicted by a forest on half of the rows, sampled after their features were made."""
+    points = points_view(spark, sf_dir)
+    _, predicted = sampled_features_job(points, "0.5", hasher="md5", partitions=PARTITIONS, numTrees=10)
+    return predicted.where("Classification is not null").agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.every(F.col("prediction").between(min(CLASS_NAMES), max(CLASS_NAMES))).alias("known_classes"),
+    )
 
 
 # Run measurement
 
 
-def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines in the form of an event log, one per line item."""
-    c = F.col
-    launch = c("l_orderkey") * 1000
-    finish = launch + c("l_partkey") * 10
-    quantity = c("l_quantity").cast("long")
-    info = F.struct(
-        launch.alias("Launch Time"),
-        finish.alias("Finish Time"),
-        F.when(c("l_linenumber") == 3, finish - 3).otherwise(F.lit(0)).alias("Getting Result Time"),
-        (c("l_linestatus") == "O").alias("Speculative"),
-    )
-    metrics = F.struct(
-        quantity.alias("Executor Deserialize Time"),
-        (quantity * 700_000).alias("Executor Deserialize CPU Time"),
-        (c("l_partkey") * 8).alias("Executor Run Time"),
-        (c("l_partkey") * 6_100_000).alias("Executor CPU Time"),
-        (c("l_suppkey") * 4096).alias("Peak Execution Memory"),
-        (c("l_suppkey") + 900).alias("Result Size"),
-        c("l_linenumber").alias("JVM GC Time"),
-        F.lit(1).alias("Result Serialization Time"),
-        (c("l_linenumber") * 64).alias("Memory Bytes Spilled"),
-        (c("l_linenumber") * 32).alias("Disk Bytes Spilled"),
-        F.struct(
-            c("l_linenumber").alias("Remote Blocks Fetched"),
-            quantity.alias("Local Blocks Fetched"),
-            F.lit(2).alias("Fetch Wait Time"),
-            (quantity * 11).alias("Remote Bytes Read"),
-            quantity.alias("Remote Bytes Read To Disk"),
-            (quantity * 13).alias("Local Bytes Read"),
-            (quantity * 17).alias("Total Records Read"),
-        ).alias("Shuffle Read Metrics"),
-        F.struct(
-            (quantity * 19).alias("Shuffle Bytes Written"),
-            (quantity * 1_500_000).alias("Shuffle Write Time"),
-            (quantity * 23).alias("Shuffle Records Written"),
-        ).alias("Shuffle Write Metrics"),
-        F.struct((quantity * 29).alias("Bytes Read"), (quantity * 31).alias("Records Read")).alias("Input Metrics"),
-        F.struct((quantity * 37).alias("Bytes Written"), (quantity * 41).alias("Records Written")).alias("Output Metrics"),
-    )
-    event = F.struct(
-        F.when(c("l_linenumber") == 7, "SparkListenerTaskStart").otherwise("SparkListenerTaskEnd").alias("Event"),
-        F.struct(F.when(c("l_returnflag") == "R", "ExceptionFailure").otherwise("Success").alias("Reason")).alias(
-            "Task End Reason"
-        ),
-        info.alias("Task Info"),
-        metrics.alias("Task Metrics"),
-    )
-    items = lineitem(spark, sf_dir)
-    cores = sampling.partitions_if_narrow(items)
-    if cores:
-        items = sampling.spread_rows(items, cores)
-    # Through a generator, so that the filter on the text does not write each line a second time.
-    return items.select(F.explode(F.array(F.to_json(event))).alias("value"))
-
-
-_COUNTERS_SQL = {
-    "numTasks": "count(*)",
-    "successfulTasks": "count(*) filter (where l_returnflag <> 'R')",
-    "speculativeTasks": "count(*) filter (where l_linestatus = 'O')",
-    "taskDuration": "sum(l_partkey*10)",
-    "schedulerDelayTime": "sum(greatest(0, l_partkey*10 - l_partkey*8 - q - 1 - case when l_linenumber = 3 then 3 else 0 end))",
-    "executorRunTime": "sum(l_partkey*8)",
-    "executorCpuTime": "floor(sum(l_partkey*6100000) / 1000000)",
-    "executorDeserializeTime": "sum(q)",
-    "executorDeserializeCpuTime": "floor(sum(q*700000) / 1000000)",
-    "resultSerializationTime": "count(*)",
-    "jvmGCTime": "sum(l_linenumber)",
-    "shuffleFetchWaitTime": "count(*)*2",
-    "shuffleWriteTime": "floor(sum(q*1500000) / 1000000)",
-    "gettingResultTime": "sum(case when l_linenumber = 3 then 3 else 0 end)",
-    "resultSize": "max(l_suppkey + 900)",
-    "diskBytesSpilled": "sum(l_linenumber*32)",
-    "memoryBytesSpilled": "sum(l_linenumber*64)",
-    "peakExecutionMemory": "max(l_suppkey*4096)",
-    "recordsRead": "sum(q*31)",
-    "bytesRead": "sum(q*29)",
-    "recordsWritten": "sum(q*41)",
-    "bytesWritten": "sum(q*37)",
-    "shuffleRecordsRead": "sum(q*17)",
-    "shuffleTotalBlocksFetched": "sum(l_linenumber + q)",
-    "shuffleLocalBlocksFetched": "sum(q)",
-    "shuffleRemoteBlocksFetched": "sum(l_linenumber)",
-    "shuffleTotalBytesRead": "sum(q*24)",
-    "shuffleLocalBytesRead": "sum(q*13)",
-    "shuffleRemoteBytesRead": "sum(q*11)",
-    "shuffleRemoteBytesReadToDisk": "sum(q)",
-    "shuffleBytesWritten": "sum(q*19)",
-    "shuffleRecordsWritten": "sum(q*23)",
-}
-
-
-@_register("select " + ", ".join(f"cast({sql} as bigint) as {name}" for name, sql in _COUNTERS_SQL.items())
-           + " from (select *, cast(l_quantity as bigint) as q from lineitem where l_linenumber <> 7)")
-def task_metrics(spark, sf_dir):
-    """Task counters out of event-log lines."""
-    return taskmetrics.task_metrics(_event_lines(spark, sf_dir))
-
-
 @_register("""with runs as (select l_discount as fraction, l_linenumber as executors,
     cast(cast(sum(cast(round(l_extendedprice*100) as bigint)) as bigint) as double) / 1000 as seconds
   from lineitem group by l_discount, l_linenumber),

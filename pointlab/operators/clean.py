@@ -67,8 +67,8 @@ def drop_outliers(df: DataFrame, k: float = 3.0, value: str = "z") -> DataFrame:
     stats = table_statistics(
         df,
         "split" in df.columns,
-        mean=lambda rows: F.avg(F.when(rows, column)),
-        sd=lambda rows: F.stddev_samp(F.when(rows, column)),
+        mean=F.avg(column),
+        sd=F.stddev_samp(column),
     )
     near = F.abs(column - stats["mean"]) <= F.lit(float(k)) * stats["sd"]
     return df.where(F.coalesce(near, F.lit(True)))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointlab.functions import coordinate, land_cover, ndvi
-from pointlab.schema import FINAL_COLUMNS, SPLITS
+from pointlab.schema import FINAL_COLUMNS
 
 
 def remap_classes(df: DataFrame, mapping: dict[int, int] | None = None) -> DataFrame:
@@ -26,32 +24,21 @@ def add_ndvi(df: DataFrame) -> DataFrame:
     return df.withColumn("NDVI", ndvi(F.col("Infrared"), F.col("Red")))
 
 
-def table_statistics(df: DataFrame, by_split: bool, **statistics: Callable[[Column], Column]) -> Column:
-    """Statistics over the whole table, or over each row's own split, as one struct column.
+def table_statistics(df: DataFrame, by_split: bool, **statistics: Column) -> Column:
+    """Aggregates over the whole table, or over each row's own split, as one struct column.
 
-    ``statistics`` maps a field name to a function that, given a row condition, returns an
-    aggregate over the rows that meet it. The result is a scalar subquery of exactly one row
-    however large the table is: one partial and one final aggregate, no join, nothing collected
-    by the caller. Rows outside the known splits form a group of their own.
+    The result is a scalar subquery of exactly one row however large the table is: one partial and one
+    final aggregate, no join, nothing collected by the caller. By split, that row is a map with one
+    entry for each split value there is, a few whatever the number of points; rows without a split
+    have an entry of their own.
     """
+    values = F.struct(*[value.alias(name) for name, value in statistics.items()])
     if not by_split:
-        row = df.select(F.struct(*[make(F.lit(True)).alias(k) for k, make in statistics.items()]))
-        return row.scalar()
-
-    split = F.col("split")
-    groups = {name: split == name for name in SPLITS}
-    groups["rest"] = F.coalesce(~split.isin(*SPLITS), F.lit(True))
-    packed = F.struct(
-        *[
-            F.struct(*[make(condition).alias(k) for k, make in statistics.items()]).alias(name)
-            for name, condition in groups.items()
-        ]
-    )
-    table = df.select(packed).scalar()
-    own = F.when(groups[SPLITS[0]], table[SPLITS[0]])
-    for name in SPLITS[1:]:
-        own = own.when(groups[name], table[name])
-    return own.otherwise(table["rest"])
+        return df.select(values).scalar()
+    own = F.coalesce(F.concat(F.lit("="), F.col("split")), F.lit(""))
+    entries = df.groupBy(own.alias("key")).agg(values.alias("value"))
+    table = entries.select(F.map_from_entries(F.collect_list(F.struct("key", "value")))).scalar()
+    return F.try_element_at(table, own)
 
 
 def normalise_height(df: DataFrame, *, by_split: bool | None = None, floor: float | None = None) -> DataFrame:
@@ -64,7 +51,7 @@ def normalise_height(df: DataFrame, *, by_split: bool | None = None, floor: floa
         return df.withColumn("z_norm", F.col("z") - F.lit(float(floor)))
     if by_split is None:
         by_split = "split" in df.columns
-    lowest = table_statistics(df, by_split, min_z=lambda rows: F.min(F.when(rows, F.col("z"))))
+    lowest = table_statistics(df, by_split, min_z=F.min("z"))
     return df.withColumn("z_norm", F.col("z") - lowest["min_z"])
 
 

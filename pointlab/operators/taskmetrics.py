@@ -6,7 +6,7 @@ import time
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The part of a task-end event that the report needs.
@@ -28,31 +28,27 @@ TASK_END = """
     `Output Metrics`: struct<`Bytes Written`: bigint, `Records Written`: bigint>>
 """
 
-TIMES = {
-    "taskDuration", "schedulerDelayTime", "executorRunTime", "executorCpuTime",
-    "executorDeserializeTime", "executorDeserializeCpuTime", "resultSerializationTime", "jvmGCTime",
-    "shuffleFetchWaitTime", "shuffleWriteTime", "gettingResultTime",
-}
-SIZES = {
-    "resultSize", "diskBytesSpilled", "memoryBytesSpilled", "bytesRead", "bytesWritten",
-    "shuffleTotalBytesRead", "shuffleLocalBytesRead", "shuffleRemoteBytesRead",
-    "shuffleRemoteBytesReadToDisk", "shuffleBytesWritten",
-}
+def read_event_log(spark: SparkSession, path: str, application: str | None = None) -> DataFrame:
+    """Lines of one or many event logs, written without compression; ``path`` may be a folder.
 
-
-def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of one or many event logs, written without compression; ``path`` may be a folder."""
-    return spark.read.option("recursiveFileLookup", "true").text(path)
+    With ``application`` only the files named after that application id are read.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if application:
+        reader = reader.option("pathGlobFilter", f"*{application}*")
+    return reader.text(path)
 
 
 def parse_task_ends(lines: DataFrame) -> DataFrame:
-    """Task-end events out of the lines of an event log.
+    """Task-end events out of the lines of an event log; lines that cannot be read are left out.
 
-    Each line starts with the name of its event, so other lines are told apart as text and only
-    task ends are parsed, once.
+    Most lines are told apart by their text, so only those that may be task ends are parsed, once.
     """
-    starts = F.col("value").startswith('{"Event":"SparkListenerTaskEnd"')
-    return lines.where(starts).select(F.from_json("value", TASK_END).alias("e")).select("e.*")
+    event = F.from_json("value", "Event string, " + TASK_END, {"mode": "PERMISSIVE"})
+    maybe = lines.where(F.col("value").contains("SparkListenerTaskEnd"))
+    # A cut-off line may still parse up to where it ends, but lacks what every task end has.
+    whole = (F.col("e.Event") == "SparkListenerTaskEnd") & F.col("e.`Task Info`.`Finish Time`").isNotNull()
+    return maybe.select(event.alias("e")).where(whole & F.col("e.`Task End Reason`").isNotNull()).select("e.*")
 
 
 def task_metrics(lines: DataFrame, begin_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
@@ -74,7 +70,7 @@ def task_metrics(lines: DataFrame, begin_ms: int | None = None, end_ms: int | No
         return F.coalesce(F.sum(value), F.lit(0)).cast("long")
 
     def total_ms(nanoseconds: Column) -> Column:
-        return F.floor(total(nanoseconds) / 1_000_000)
+        return F.call_function("div", F.coalesce(F.sum(nanoseconds), F.lit(0)), F.lit(1_000_000))
 
     def largest(value: Column) -> Column:
         return F.coalesce(F.max(value), F.lit(0)).cast("long")
@@ -144,38 +140,6 @@ def measured():
         meter.end_ms = int(time.time() * 1000)
 
 
-def _time_text(ms: int) -> str:
-    if ms < 100:
-        return f"{ms} ms"
-    seconds = ms / 1000
-    if seconds <= 60:
-        return f"{seconds:.1f} s" if seconds < 1 else f"{seconds:.0f} s"
-    minutes = seconds / 60
-    if minutes <= 60:
-        return f"{minutes:.1f} min" if minutes < 10 else f"{minutes:.0f} min"
-    return f"{minutes / 60:.1f} h"
-
-
-def _size_text(size: int) -> str:
-    value, units = float(size), ["Bytes", "KB", "MB", "GB", "TB"]
-    while value >= 1024 and len(units) > 1:
-        value, units = value / 1024, units[1:]
-    return f"{size} Bytes" if units[0] == "Bytes" else f"{value:.1f} {units[0]}"
-
-
-def format_report(metrics: Row, scheduling_mode: str = "FIFO", parallelism: int | None = None) -> str:
-    """The counters as text, one per line, with times and sizes also in readable units."""
-    lines = [f"Scheduling mode = {scheduling_mode}"]
-    if parallelism is not None:
-        lines.append(f"Spark Context default degree of parallelism = {parallelism}")
-    lines += ["", "Aggregated Spark task metrics:"]
-    shown = {"successfulTasks": "successful tasks", "speculativeTasks": "speculative tasks"}
-    for name, value in metrics.asDict().items():
-        note = f" ({_time_text(value)})" if name in TIMES else f" ({_size_text(value)})" if name in SIZES else ""
-        lines.append(f"{shown.get(name, name)} => {value}{note}")
-    return "\n".join(lines)
-
-
 def speedup_table(runs: DataFrame) -> DataFrame:
     """Speed-up of each run over the smallest number of executors with the same data fraction.
 

@@ -5,10 +5,12 @@ from pointlab.plans.jobs import (
     cross_validation_job,
     distribution_job,
     feature_job,
+    find_forest,
     forest_job,
     model_job,
     preview_features,
     raw_distribution_job,
+    sampled_features_job,
     search_forest,
 )
 
@@ -17,9 +19,11 @@ __all__ = [
     "cross_validation_job",
     "distribution_job",
     "feature_job",
+    "find_forest",
     "forest_job",
     "model_job",
     "preview_features",
     "raw_distribution_job",
+    "sampled_features_job",
     "search_forest",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One row per laser point, as it lies in the source files.
+# One row per laser point, as it lies in the source files.
 POINT_SCHEMA = T.StructType(
     [
         T.StructField("xyz", T.ArrayType(T.DoubleType())),

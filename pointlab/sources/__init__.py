@@ -1,13 +1,13 @@
 """Readers, split tagging, file sampling, sinks and literal tables."""
 
-from pointlab.sources.files import choose_files, sample_files
+from pointlab.sources.files import cut_off, sample_files
 from pointlab.sources.legend import legend
 from pointlab.sources.points import conform, read_features, read_points, read_splits, route_paths, tag_splits
 from pointlab.sources.sink import write_points
 
 __all__ = [
-    "choose_files",
     "conform",
+    "cut_off",
     "legend",
     "read_features",
     "read_points",

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +12,12 @@ from pyspark.sql import types as T
 
 from pointlab.schema import FEATURE_SCHEMA, POINT_SCHEMA, SPLITS
 
-# The start of a word in a path part decides the split: "train/", "TEST-001.parquet",
-# "split=val", "validation", "eval"; never the middle of a word ("interval").
-SPLIT_PATTERN = r"(?:^|[^a-z])(?:e(?=val))?(train|test|val)"
+# A folder or file name says its split by one of these as a whole word ("train_01", "TEST-1.parquet",
+# "split=val", "validation"), never as a part of one ("values", "interval", "testament").
+SPLIT_WORD = r"(?<![a-z])(train(?:ing)?|test(?:ing)?|val(?:id(?:ation)?)?|eval(?:uation)?)(?![a-z])"
 
 
-def conform(df: DataFrame, schema: T.StructType = POINT_SCHEMA, keep: Sequence[str] = ()) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType = POINT_SCHEMA, keep: Sequence[str | Column] = ()) -> DataFrame:
     """Project ``df`` to the contract: names matched without case, types cast.
 
     The check runs on the schema alone. Columns outside the contract are dropped unless listed
@@ -46,64 +45,55 @@ def read_points(spark: SparkSession, *paths: str, name_glob: str | None = None)
     return conform(_scan(spark, paths, name_glob))
 
 
+def _split_of_word(word: str) -> str:
+    return next((split for split in ("train", "test") if word.startswith(split)), "val")
+
+
 def split_of_path(path: str) -> str | None:
-    """The split that the last part of a path names; for a file or pattern, also its folder."""
-    parts = [p for p in path.lower().split("/") if p]
-    is_folder = not re.search(r"[.*?]", parts[-1])
-    hits = (re.search(SPLIT_PATTERN, part) for part in parts[: -2 if is_folder else -3 : -1])
-    return next((hit.group(1) for hit in hits if hit), None)
+    """The split that a path names, anywhere in it; of several words the one nearest the file counts."""
+    words = re.findall(SPLIT_WORD, path.lower())
+    return _split_of_word(words[-1]) if words else None
 
 
-def route_paths(paths: Iterable[str], *, unmatched: str = "error") -> dict[str, list[str]]:
+def route_paths(paths: Iterable[str]) -> dict[str, list[str]]:
     """Sort input paths into splits by name."""
     routed: dict[str, list[str]] = {split: [] for split in SPLITS}
     for path in paths:
         split = split_of_path(path)
-        if split:
-            routed[split].append(path)
-        elif unmatched == "error":
+        if not split:
             raise ValueError(f"path names no split out of {SPLITS}: {path}")
+        routed[split].append(path)
     return routed
 
 
+def _split_of_file() -> Column:
+    """``split_of_path`` of the file a row lies in."""
+    path = F.col("_metadata.file_path")
+    word = F.regexp_extract(F.lower(F.coalesce(F.try_url_decode(path), path)), f"^.*{SPLIT_WORD}", 1)
+    return F.when(word.startswith("train"), "train").when(word.startswith("test"), "test").when(word != "", "val")
+
+
 def tag_splits(spark: SparkSession, *paths: str, name_glob: str | None = None,
                schema: T.StructType = POINT_SCHEMA) -> DataFrame:
     """All paths as one table with ``split``.
 
-    A table that has a ``split`` column, such as a partitioned one, keeps it. Else a path that names
-    its split gives it to all its rows, and below any other path each file's own name decides, from
-    the listing that Spark holds anyway. The split is a constant of each branch: it costs nothing per
-    row, and a filter on it removes whole branches. Files that name no split have a NULL split.
+    A table that has a ``split`` column, in any case, such as a partitioned one, keeps it. Else each
+    file's path decides. Files are listed once, by Spark; every split is a filter on the file path,
+    which leaves out other files before they are opened, with the split as a constant, so that a
+    filter on it removes whole branches. A file that names no split is an error.
     """
     if not paths:
         raise ValueError("no input paths")
-    routed = route_paths(paths, unmatched="ignore")
-    named = {path for found in routed.values() for path in found}
-    groups: dict[str | None, list[str]] = {**routed, None: [path for path in paths if path not in named]}
-
-    tables = []
-    for split, found in groups.items():
-        if not found:
-            continue
-        raw = _scan(spark, found, name_glob)
-        if "split" in raw.columns:
-            tables.append(conform(raw, schema, keep=["split"]))
-        elif split:
-            tables.append(conform(raw, schema).withColumn("split", F.lit(split)))
-        else:
-            tables.extend(_tag_files(spark, raw, schema))
-    return reduce(DataFrame.unionByName, tables)
-
-
-def _tag_files(spark: SparkSession, raw: DataFrame, schema: T.StructType) -> list[DataFrame]:
-    by_split: dict[str | None, list[str]] = {}
-    for uri in raw.inputFiles():
-        file = unquote(uri)
-        by_split.setdefault(split_of_path(file), []).append(file)
-    return [
-        conform(spark.read.parquet(*files), schema).withColumn("split", F.lit(split).cast("string"))
-        for split, files in by_split.items()
-    ]
+    raw = _scan(spark, paths, name_glob)
+    own = next((name for name in raw.columns if name.lower() == "split"), None)
+    if own:
+        return conform(raw, schema, keep=[F.col(own).alias("split")])
+    of_file = _split_of_file()
+    # Only files without a split would be opened for this.
+    stray = raw.where(of_file.isNull()).select("_metadata.file_path").head()
+    if stray:
+        raise ValueError(f"path names no split out of {SPLITS}: {stray[0]}")
+    return union_splits({split: conform(raw.where(of_file == split), schema) for split in SPLITS})
 
 
 def read_splits(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

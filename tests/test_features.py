@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pointlab.operators.features import build_features, normalise_height, split_xyz, table_statistics
 from pointlab.operators.transformers import (
     ClassDistribution,
+    ClassRemapper,
     FixedHeightModel,
     FixedHeightNormalizer,
     HeightNormalizer,
@@ -28,7 +29,7 @@ def heights(df):
 
 def test_height_within_each_split(make_points):
     got = heights(normalise_height(split_xyz(make_points(ROWS))))
-    assert got == [(None, 0.0), ("other", 1.0), ("test", None), ("test", 0.0),
+    assert got == [(None, 0.0), ("other", 0.0), ("test", None), ("test", 0.0),
                    ("train", 0.0), ("train", 2.0), ("val", 0.0), ("val", 3.0)]
 
 
@@ -42,7 +43,7 @@ def test_height_within_the_table_or_above_a_floor(make_points):
 
 def test_filtering_features_does_not_change_the_offset(make_points):
     df = build_features(make_points(ROWS))
-    assert heights(df.where("z_norm > 0")) == [("other", 1.0), ("train", 2.0), ("val", 3.0)]
+    assert heights(df.where("z_norm > 0")) == [("train", 2.0), ("val", 3.0)]
 
 
 def test_build_features_columns_and_types(make_points):
@@ -63,7 +64,7 @@ def test_height_plan_has_one_subquery_and_no_join(make_points):
 
 def test_table_statistics_of_an_empty_table(make_points):
     df = split_xyz(make_points([]))
-    stats = table_statistics(df, True, top=lambda rows: F.max(F.when(rows, F.col("z"))))
+    stats = table_statistics(df, True, top=F.max("z"))
     assert df.withColumn("top", stats["top"]).collect() == []
 
 
@@ -119,5 +120,20 @@ def test_distribution_stage(make_points):
 
 
 def test_feature_columns_by_exclusion(make_points):
-    df = build_features(make_points(ROWS, splits=False))
-    assert feature_columns(df) == FEATURE_COLUMNS
+    for splits in (True, False):
+        assert feature_columns(build_features(make_points(ROWS, splits=splits))) == FEATURE_COLUMNS
+
+
+def test_every_split_has_its_own_floor(make_points):
+    df = make_points([point(z=z, split=s) for z, s in ((0, "extra"), (5, "extra"), (1000, "holdout"), (1007, "holdout"), (50, None), (51, None), (3, ""))])
+    assert heights(normalise_height(split_xyz(df))) == [
+        (None, 0.0), (None, 1.0), ("", 0.0), ("extra", 0.0), ("extra", 5.0), ("holdout", 0.0), ("holdout", 7.0)]
+
+
+def test_remapper_saves_its_mapping(make_points, tmp_path):
+    df = make_points([point(code=2), point(code=40), point(code=3)])
+    stage = ClassRemapper.of({2: 11, 40: 12})
+    stage.write().overwrite().save(str(tmp_path / "remapper"))
+    loaded = ClassRemapper.load(str(tmp_path / "remapper"))
+    assert [r.Classification for r in loaded.transform(df).collect()] == [11, 12, None]
+    assert [r.Classification for r in ClassRemapper().transform(df).collect()] == [2, None, 3]

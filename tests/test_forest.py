@@ -1,15 +1,22 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
-from conftest import collect, point
+from conftest import SF_DIR, collect, point
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 
 from pointlab.operators import forest
+from pointlab.operators.clean import impute_features
 from pointlab.operators.features import build_features
 from pointlab.operators.transformers import feature_pipeline, label_indexer
-from pointlab.plans import cross_validation_job, model_job, search_forest
+from pointlab.plans import cross_validation_job, model_job, sampled_features_job, search_forest
+from pointlab.schema import FEATURE_COLUMNS
 from pointlab.sources.points import in_split
 
 
@@ -78,12 +85,31 @@ def test_training_table_gives_the_same_rows(spark, table, how):
         pass
 
 
-def test_cross_validation(table):
+def test_cross_validation_over_a_grid(cloud):
+    train = forest.with_class_label(build_features(cloud.where(in_split("train"))))
     with pytest.raises(ValueError, match="at least 2 folds"):
-        forest.cross_validate(table, folds=1)
-    model = forest.cross_validate(table.where(in_split("train")), trees=(2, 4), folds=2)
-    assert len(model.avgMetrics) == 2
+        forest.cross_validate(train, folds=1)
+    model = forest.cross_validate(train, {"numTrees": (2, 4), "maxDepth": (2, 4), "maxBins": (16,)}, folds=2)
+    assert len(model.avgMetrics) == 4
     assert max(model.avgMetrics) > 0.6
+    assert [type(s).__name__ for s in model.bestModel.stages] == ["VectorAssembler", "RandomForestClassificationModel"]
+
+
+def test_class_count_follows_the_mapping(make_points):
+    df = make_points([point(code=c, z=i, green=c * 100) for i in range(20) for c in (2, 40)])
+    mapping = {2: 3, 40: 12}
+    stages = feature_pipeline(mapping=mapping).fit(df)
+    rows = forest.with_class_label(stages.transform(df), mapping=mapping).select("Classification", "features")
+    model = forest.forest(numTrees=2).fit(rows)
+    assert model.numClasses == 13
+    assert {r.prediction for r in model.transform(rows).collect()} == {3.0, 12.0}
+
+
+def test_a_training_table_is_removed(spark, table):
+    with forest.training_table(table.where(in_split("val")), "table") as kept:
+        folder = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
 
 
 def test_labels_by_frequency(make_points):
@@ -131,7 +157,44 @@ def test_model_job_imputes_or_skips(cloud):
         assert model.stages[1].getNumTrees == 3
 
 
+def test_model_job_fails_on_invalid_rows_if_asked(cloud):
+    features = build_features(cloud)
+    with pytest.raises(Exception, match="(?i)null"):
+        model_job(features, numTrees=2, invalid="error")[1].collect()
+    model, predicted = model_job(impute_features(features), numTrees=2, invalid="error")
+    assert predicted.count() == features.where("split = 'test'").count()
+
+
 def test_cross_validation_job(cloud):
-    model, metrics = cross_validation_job(cloud, "0.5", trees=(2, 3), folds=2)
+    model, metrics = cross_validation_job(cloud, "0.5", {"numTrees": (2, 3)}, folds=2, partitions=4)
     assert len(model.avgMetrics) == 2
     assert 0.5 < metrics.accuracy <= 1
+
+
+def test_sampled_features_keep_the_floor_of_all_points(cloud):
+    model, predicted = sampled_features_job(cloud, "0.3", partitions=4, numTrees=3)
+    assert 0 < predicted.count() < cloud.where(in_split("test")).count()
+    assert model.stages[0].getInputCols() == FEATURE_COLUMNS
+
+
+SEARCH = """
+import sys
+sys.path.insert(0, {root!r})
+from pointlab.session import session_builder
+from point_queries.views import points_view
+from pointlab.plans import search_forest
+spark = session_builder("x", extra={{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4"}}).master("local[{cores}]").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+run = search_forest(points_view(spark, {tables!r}), partitions=8, trees=(5, 10))
+print("RESULT", run.search.accuracy, run.search.best_trees, tuple(run.test_metrics))
+"""
+
+
+def test_the_search_does_not_depend_on_cores():
+    root = str(Path(__file__).resolve().parent.parent)
+    found = set()
+    for cores in (2, 3, 4):
+        code = SEARCH.format(root=root, cores=cores, tables=SF_DIR)
+        out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300).stdout
+        found.add(next(line for line in out.splitlines() if line.startswith("RESULT")))
+    assert len(found) == 1

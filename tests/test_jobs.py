@@ -5,7 +5,7 @@ from conftest import collect, plan_of
 
 from pointlab.plans import distribution_job, feature_job, forest_job, preview_features, raw_distribution_job
 from pointlab.schema import FINAL_COLUMNS, SPLITS
-from pointlab.session import OBJECT_STORE, scratch_path, session_builder
+from pointlab.session import OBJECT_STORE, remove, scratch_path, session_builder
 from pointlab.sources import read_features
 
 
@@ -59,6 +59,13 @@ def test_scratch_path_is_in_the_shared_folder(spark):
     assert first != second
 
 
+def test_what_is_written_to_scratch_can_be_removed(spark, tmp_path):
+    path = scratch_path(spark, "a")
+    spark.range(3).write.parquet(path)
+    remove(spark, path)
+    assert spark.range(3).write.parquet(path) is None  # the folder is gone, so this is no overwrite
+
+
 def test_session_builder_settings():
     options = session_builder("x", cores=32, object_store=True, event_log_dir="/logs")._options
     assert options["spark.sql.shuffle.partitions"] == "128"

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from pointlab.schema import CLASS_NAMES, POINT_COLUMNS, SPLITS
 from pointlab.sources import (
-    choose_files,
     conform,
+    cut_off,
     legend,
     read_features,
     read_points,
@@ -18,6 +18,7 @@ from pointlab.sources import (
     tag_splits,
     write_points,
 )
+from pointlab.sources.files import name_hash
 from pointlab.sources.points import in_split, split_of_path
 
 
@@ -48,8 +49,10 @@ def test_read_many_paths_and_globs(spark, point_folders):
     ("path", "split"),
     [("s3a://b/data/train/part-0.parquet", "train"), ("s3a://b/data/TEST-001.parquet", "test"),
      ("/d/split=val/part-0.parquet", "val"), ("/d/eval/a.parquet", "val"), ("/d/validation/a.parquet", "val"),
-     ("/d/interval/a.parquet", None), ("/d/contest/a.parquet", None), ("/train/x/y.parquet", None),
-     ("/d/train/TEST_1.parquet", "test"), ("a.parquet", None)],
+     ("/d/interval/a.parquet", None), ("/d/contest/a.parquet", None), ("/train/x/y.parquet", "train"),
+     ("/d/train/2020", "train"), ("s3://b/train/tile_01/", "train"), ("/test-bucket/val/2020/07/x.parquet", "val"),
+     ("/d/values/x.parquet", None), ("/d/testament/x.parquet", None), ("/d/train/TEST_1.parquet", "test"),
+     ("/d/training_set/a.parquet", "train"), ("/d/validation01/a.parquet", "val"), ("a.parquet", None)],
 )
 def test_split_of_path(path, split):
     assert split_of_path(path) == split
@@ -60,7 +63,6 @@ def test_route_paths():
     assert routed == {"train": ["s3a://b/data/train/"], "val": ["/x/val"], "test": ["/x/TEST*.parquet", "/y/test"]}
     with pytest.raises(ValueError, match="interval"):
         route_paths(["/data/interval/a"])
-    assert route_paths(["/data/interval/a"], unmatched="ignore") == {s: [] for s in SPLITS}
 
 
 EXPECTED = [("test", 40), ("train", 40), ("val", 40)]
@@ -89,9 +91,29 @@ def test_tag_splits_uses_a_partition_column(spark, make_points, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in plan_of(df.where(in_split("val")))
 
 
-def test_files_without_a_split_are_kept(spark, make_points, tmp_path):
-    make_points([point()], splits=False).write.parquet(str(tmp_path / "interval"))
-    assert collect(tag_splits(spark, str(tmp_path / "interval")).select("split")) == [(None,)]
+def test_files_without_a_split_are_an_error(spark, make_points, tmp_path_factory):
+    tmp_path = tmp_path_factory.mktemp("plain")
+    make_points([point()], splits=False).write.parquet(str(tmp_path / "all/interval"))
+    make_points([point()], splits=False).write.parquet(str(tmp_path / "all/train"))
+    with pytest.raises(ValueError, match="interval"):
+        tag_splits(spark, str(tmp_path / "all/*"))
+
+
+def test_nested_folders_keep_their_split(spark, make_points, tmp_path_factory):
+    tmp_path = tmp_path_factory.mktemp("nested")
+    for i, place in enumerate(("train/2020/tile 1", "train/2021", "val/2020", "Test%20set/x")):
+        make_points([point()] * (i + 1), splits=False).write.parquet(str(tmp_path / "d" / place))
+    paths = [str(tmp_path / "d" / p) for p in ("train/2020", "train/2021", "val", "Test%20set/x")]
+    df = tag_splits(spark, str(tmp_path / "d/*/*/*.parquet"), str(tmp_path / "d/train/2020/tile 1"))
+    assert collect(df.groupBy("split").count(), "split") == [("test", 4), ("train", 3), ("val", 3)]
+    assert collect(tag_splits(spark, *paths[1:2]).groupBy("split").count()) == [("train", 2)]
+    one = plan_of(tag_splits(spark, paths[1])).split("== Physical Plan ==")[1]
+    assert "(1 paths)" in one and "(2 paths)" not in one
+
+
+def test_a_split_column_is_matched_without_case(spark, make_points, tmp_path):
+    make_points([point(split="val")] * 3).withColumnRenamed("split", "Split").write.parquet(str(tmp_path / "train"))
+    assert collect(tag_splits(spark, str(tmp_path / "train")).groupBy("split").count()) == [("val", 3)]
 
 
 def test_read_splits_takes_exactly_three_paths(spark, point_folders):
@@ -101,21 +123,32 @@ def test_read_splits_takes_exactly_three_paths(spark, point_folders):
         read_splits(spark, ["a", "b"])
 
 
-def test_choose_files_counts():
-    files = [f"/data/f{i}.parquet" for i in range(100)]
-    assert len(choose_files(files, 0.29)) == 29
-    assert len(choose_files(files, 0.001)) == 1
-    assert len(choose_files([f"f{i}" for i in range(80_000)], 0.01)) == 800
-    assert len(choose_files([f"f{i}" for i in range(80_000)], 0.03)) == 2400
-    assert len(choose_files([f"f{i}" for i in range(80_000)], 0.08)) == 6400
-    assert len(choose_files(files, 1)) == 100
+def chosen(files, fraction, seed=42):
+    return {f for f in files if name_hash(f, seed) <= cut_off(files, fraction, seed)}
+
+
+def test_cut_off_counts():
+    files = [f"f{i}.parquet" for i in range(100)]
+    assert [len(chosen(files, f)) for f in (0.29, 0.001, 1)] == [29, 1, 100]
+    many = [f"f{i}" for i in range(8_000)]
+    assert [len(chosen(many, f)) for f in (0.01, 0.03)] == [80, 240]
+
+
+def test_cut_off_is_repeatable_and_nested():
+    files = [f"f{i}.parquet" for i in range(100)]
+    assert cut_off(files, 0.3) == cut_off(files[::-1], 0.3)
+    assert chosen(files, 0.1) < chosen(files, 0.3)
+    assert chosen(files, 0.3) != chosen(files, 0.3, seed=7)
 
 
-def test_choose_files_is_repeatable_and_nested():
-    files = [f"/data/f{i}.parquet" for i in range(100)]
-    assert choose_files(files, 0.3) == choose_files(files[::-1], 0.3)
-    assert set(choose_files(files, 0.1)) < set(choose_files(files, 0.3))
-    assert choose_files(files, 0.3) != choose_files(files, 0.3, seed=7)
+def test_sample_folders(spark, make_points, tmp_path):
+    rows = make_points([point(x=i) for i in range(40)], splits=False)
+    for copy in "ab":
+        write_points(rows.withColumn("bucket", F.col("xyz")[0].cast("int") % 8), str(tmp_path / copy), partition_by=["bucket"])
+    one, two = (sample_files(spark, str(tmp_path / copy), 0.25, by="folder") for copy in "ab")
+    assert one.count() == 10 and collect(one.select("xyz"), "xyz") == collect(two.select("xyz"), "xyz")
+    with pytest.raises(ValueError, match="folder"):
+        sample_files(spark, str(tmp_path / "a"), 0.25, by="size")
 
 
 def test_sample_files_reads_only_chosen_files(spark, point_folders):
@@ -131,14 +164,16 @@ def test_sample_files_reads_only_chosen_files(spark, point_folders):
     assert sample_files(spark, path, 1).count() == 40
 
 
-def test_sample_files_with_special_characters_in_names(spark, make_points, tmp_path):
+def test_sample_files_with_special_characters_in_names(spark, make_points, tmp_path_factory):
+    tmp_path = tmp_path_factory.mktemp("special")
     folder = tmp_path / "tiles of 50%"
     folder.mkdir()
     make_points([point(x=i) for i in range(8)], splits=False).repartition(4).write.parquet(str(tmp_path / "plain"))
     for i, file in enumerate(sorted((tmp_path / "plain").glob("*.parquet"))):
         file.rename(folder / f"tile {i} \u00e9 %20.parquet")
     assert sample_files(spark, str(folder), 1).count() == 8
-    assert tag_splits(spark, f"{tmp_path}/tiles*/*").where("split is null").count() == 8
+    with pytest.raises(ValueError, match="names no split"):
+        tag_splits(spark, f"{tmp_path}/tiles*/*")
     assert 0 < sample_files(spark, str(folder), "0.5").count() < 8
 
 

@@ -6,7 +6,7 @@ import time
 import pytest
 from conftest import collect
 
-from pointlab.operators.taskmetrics import format_report, measured, speedup_table, task_metrics
+from pointlab.operators.taskmetrics import measured, read_event_log, speedup_table, task_metrics
 
 
 def task_end(launch, finish, run, *, reason="Success", getting=0, metrics=True, speculative=False):
@@ -81,24 +81,27 @@ def test_log_of_this_session(spark, event_log):
     assert 0 < row.executorRunTime <= row.taskDuration
 
 
-def test_report_text(lines):
-    text = format_report(task_metrics(lines).first(), parallelism=8)
-    assert text.startswith("Scheduling mode = FIFO\nSpark Context default degree of parallelism = 8\n\nAggregated Spark task metrics:")
-    assert "\nsuccessful tasks => 2\n" in text
-    assert "\nrecordsRead => 100\n" in text
+def test_odd_lines(spark):
+    """The event's name need not come first; a cut-off line and one of another event count for nothing."""
+    event = json.loads(LINES[1])
+    later = json.dumps({k: event[k] for k in reversed(event)})
+    cut = [LINES[1][:n] for n in (60, 120, len(LINES[1]) - 40)]
+    got = task_metrics(spark.createDataFrame([(x,) for x in (later, *cut, LINES[0], "SparkListenerTaskEnd", "")], "value string")).first()
+    assert got.numTasks == 1 and got.executorRunTime == 80
 
 
-@pytest.mark.parametrize(
-    ("field", "value", "text"),
-    [("taskDuration", 2899094, "2899094 (48 min)"), ("schedulerDelayTime", 40471, "40471 (40 s)"),
-     ("taskDuration", 67215, "67215 (1.1 min)"), ("jvmGCTime", 488, "488 (0.5 s)"), ("jvmGCTime", 12, "12 (12 ms)"),
-     ("taskDuration", 27714340, "27714340 (7.7 h)"), ("bytesRead", 0, "0 (0 Bytes)"), ("resultSize", 4465, "4465 (4.4 KB)"),
-     ("bytesRead", 230779129357, "230779129357 (214.9 GB)"), ("peakExecutionMemory", 0, "0")],
-)
-def test_report_units(spark, field, value, text):
-    from pyspark.sql import Row
+def test_large_sums_keep_their_digits(spark):
+    event = json.loads(LINES[1])
+    event["Task Metrics"]["Executor CPU Time"] = 2**53 + 999_999
+    lines = spark.createDataFrame([(json.dumps(event),)] * 3, "value string")
+    assert task_metrics(lines).first().executorCpuTime == 3 * (2**53 + 999_999) // 1_000_000
 
-    assert format_report(Row(**{field: value})).endswith(f"{field} => {text}")
+
+def test_only_logs_of_the_application_are_read(spark, tmp_path):
+    for name in ("local-1", "local-2.inprogress"):
+        (tmp_path / name).write_text(LINES[1] + "\n")
+    assert task_metrics(read_event_log(spark, str(tmp_path))).first().numTasks == 2
+    assert task_metrics(read_event_log(spark, str(tmp_path), "local-2")).first().numTasks == 1
 
 
 def test_speedup_table(spark):
