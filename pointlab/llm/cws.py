@@ -47,14 +47,20 @@ def sample(term: str, weight: str, i: int) -> Column:
     return F.shiftleft(high, 32).bitwiseOR(F.xxhash64(term, t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
-def signatures(texts: DataFrame, key: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``key`` and sig, an array of ``samples`` longs, for every row of ``texts`` (key, text) that has a word.
+def signatures(texts: DataFrame, key: list[str], samples: int = SAMPLES, numbers: bool = False) -> DataFrame:
+    """``key``, sig, an array of ``samples`` longs, and number, for every row of ``texts`` (key, text) that has a word.
 
-    Rows have to be partitioned by some of the ``key`` columns for words to stay where they are."""
+    Rows have to be partitioned by some of the ``key`` columns for words to stay where they are. With
+    ``numbers``, texts of a kind (a column of ``key``) from 2 on are whole numbers, which come out as number."""
     words = texts.select(*key, F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
-    weighted = words.select(*key, F.xxhash64("word").alias("term")).groupBy(*key, "term").agg(F.count(F.lit(1)).alias("weight"))
-    least = weighted.groupBy(*key).agg(*[F.min(sample("term", "weight", i)).alias(f"s{i}") for i in range(samples)])
-    return least.select(*key, F.array(*[F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(samples)]).alias("sig"))
+    hashed = F.xxhash64("word")
+    term = F.when(F.col("kind") < 2, hashed).otherwise(F.col("word").try_cast("long")) if numbers else hashed
+    weighted = words.select(*key, term.alias("term")).groupBy(*key, "term").agg(F.count(F.lit(1)).alias("weight"))
+    least = weighted.groupBy(*key).agg(
+        *[F.min(sample("term", "weight", i)).alias(f"s{i}") for i in range(samples)], F.max("term").alias("number")
+    )
+    sig = F.array(*[F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(samples)])
+    return least.select(*key, sig.alias("sig"), "number")
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
@@ -96,20 +102,31 @@ def fingerprint_documents(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     key = ["id", "t"]
     order = written(following(docs), "following")
     own = Window.partitionBy(*key)
-    texts = _keyed(docs).withColumn("copies", F.count(F.lit(1)).over(own)).withColumn("nth", F.row_number().over(own.orderBy(F.lit(0)))).where("nth = 1")
+    texts = (
+        _keyed(docs).withColumn("copies", F.count(F.lit(1)).over(own))
+        .withColumn("again", F.lag(F.lit(1)).over(own.orderBy(F.lit(0)))).where("again is null").drop("again")
+    )
     half = F.floor(F.col("n_chars") / 2).cast("int")
     ends = texts.alias("x").join(order.alias("o"), (F.col("x.id") == F.col("o.next_id")) & (F.col("x.t") == F.col("o.next_t"))).select(
         F.col("o.id").alias("id"), F.col("o.t").alias("t"), "n_chars", "next_id", "next_t", F.substring("text", F.lit(1), half).alias("end"),
     )
-    pairs = texts.join(ends, key)
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), "end")
-    both = pairs.select(*key, F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), edited.alias("text")))).alias("x"))
-    sigs = signatures(both.select(*key, "x.kind", "x.text"), [*key, "kind"], samples)
+    pairs = texts.join(ends, key).withColumn("edited", edited).withColumn("sha", F.sha2("edited", 256))
+    # What else is known of a document goes along as numbers, so that texts are put together once.
+    facts = {c: F.col(c).cast("string") for c in ("copies", "n_chars", "next_id", "next_t")}
+    facts |= {f"sha{i}": F.conv(F.substring("sha", 16 * i + 1, 16), 16, -10) for i in range(4)}
+    kinds = [F.col("text"), F.col("edited"), *facts.values()]
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), text.alias("text")) for k, text in enumerate(kinds)])
+    each = signatures(pairs.select(*key, F.explode(kinds).alias("x")).select(*key, "x.kind", "x.text"), [*key, "kind"], samples, numbers=True)
+    wide = each.groupBy(*key).agg(
+        *[F.max(F.when(F.col("kind") == k, F.col("number"))).alias(c) for k, c in enumerate(facts, 2)],
+        *[F.first(F.when(F.col("kind") == k, F.col("sig")), ignorenulls=True).alias(f"sig{k}") for k in (0, 1)],
+    )
     empty = F.array_repeat(F.lit(0).cast("long"), samples)
-    wide = sigs.groupBy(*key).agg(*[F.first(F.when(F.col("kind") == k, F.col("sig")), ignorenulls=True).alias(f"sig{k}") for k in (0, 1)])
-    facts = pairs.select(*key, "copies", "n_chars", "next_id", "next_t", F.sha2(edited, 256).alias("edited_sha256"))
-    known = written(facts.join(wide, key, "left").select(
-        *facts.columns, F.coalesce("sig0", empty).alias("sig0"), F.coalesce("sig1", empty).alias("sig1")
+    sha = F.concat(*[F.lower(F.lpad(F.hex(f"sha{i}"), 16, "0")) for i in range(4)])
+    known = written(wide.select(
+        *key, "copies", "n_chars", "next_id", "next_t", sha.alias("edited_sha256"),
+        F.coalesce("sig0", empty).alias("sig0"), F.coalesce("sig1", empty).alias("sig1"),
     ), "signatures")
     nexts = known.select(F.col("id").alias("next_id"), F.col("t").alias("next_t"), F.col("sig0").alias("sig_next"))
     rows = known.join(nexts, ["next_id", "next_t"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
