@@ -170,10 +170,15 @@ class Scanner:
             if hits.sum() < len(own) * self.coverage:
                 continue
             got = []
-            for a, b in self._stretches(hits, len(own)):
+            open_ = list(self._stretches(hits, len(own)))
+            while open_:
+                a, b = open_.pop()
                 pairs = align(found[a:b], own)
                 if len(pairs) >= self.coverage * len(own):
-                    got.append((-len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1))
+                    start, end = a + pairs[0][0], a + pairs[-1][0] + 1
+                    got.append((-len(pairs), start, end))
+                    # What is left on either side may hold another one.
+                    open_ += [(x, y) for x, y in ((a, start), (end, b)) if hits[x:y].sum() >= self.coverage * len(own)]
             taken: list[tuple[int, int]] = []
             for n, start, end in sorted(got):
                 if all(end <= s or start >= e for s, e in taken):

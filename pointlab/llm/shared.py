@@ -2,44 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pointlab.session import scratch_path
+
 # ASCII white space; a word is a longest run of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. Where it is unset: a temporary folder in local mode,
-    a folder below the warehouse on a cluster."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = "file://" + tempfile.mkdtemp(prefix="shared-")
-        delete_on_exit(spark, folder)
-    else:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def delete_on_exit(spark: SparkSession, path: str) -> None:
-    """Have the file system remove ``path`` when the application ends."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once, as a table in the shared folder, which outlives lost executors.
     It is removed when the application ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    delete_on_exit(spark, path)
+    path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
