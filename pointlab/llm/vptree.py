@@ -1,10 +1,10 @@
 """Nearest neighbours through vantage-point trees, one per shard.
 
 Rows are dealt to shards of about ``shard_rows`` rows by a hash. In a shard, a tree halves the rows at
-the median distance from a vantage point, down to leaves. All queries of a block go down the tree
-together: at each vantage point a query looks at its own side first, and at the other side only if
-``factor`` times the gap between its distance and the median is not above its k-th best distance so
-far. Factor one restores exact search; a larger one skips more. The best k of all shards are merged.
+the median distance from a vantage point, down to leaves. Queries of a block first go down to the leaf
+on their own side, for a first k-th best distance, and then through the tree together: at each vantage
+point a query looks at the side it is not on only if ``factor`` times the gap between its distance and
+the median is not above its k-th best distance so far. Factor one restores exact search; a larger one skips more. The best k of all shards are merged.
 
 Queries are rows too, so they come in blocks of ``block_rows``; each task has one shard and one block.
 Number of shards and blocks follow from the row counts.
@@ -26,38 +26,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K = 10
-FACTOR = 1.1
+FACTOR = 2.0
 SHARD_ROWS = 20_000
 BLOCK_ROWS = 5_000
 LEAF = 64
-CELLS = 1 << 16  # distances worked out at once
+SLACK = 1e-9  # of the squared lengths; far above the rounding of a product of vectors
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of all rows of ``a`` to all of ``b``, from differences, in double precision."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, CELLS // max(1, len(b)))
-    for i in range(0, len(a), step):
-        d = a[i : i + step, None, :] - b[None, :, :]
-        out[i : i + step] = np.sqrt(np.einsum("ijk,ijk->ij", d, d))
-    return out
+    """Euclidean distances of the rows of ``a`` to those of ``b`` beside them, from differences, in double precision."""
+    d = a - b
+    return np.sqrt(np.einsum("ij,ij->i", d, d))
 
 
 class Tree:
-    """Nodes are (vantage row, median, inside, outside) or arrays of rows."""
+    """Nodes are (vantage row, median, inside, outside) or the numbers of leaves."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
         self.ids, self.vectors, self.leaf = ids, vectors, leaf
+        self.lengths = np.einsum("ij,ij->i", vectors, vectors)
+        self.leaves: list[np.ndarray] = []
         self.root = self._build(np.argsort(ids, kind="stable"))
 
     def _build(self, rows: np.ndarray):
         if len(rows) <= self.leaf:
-            return rows
+            self.leaves.append(rows)
+            return len(self.leaves) - 1
         # The row farthest from the first one lies at the edge, which parts the rest best.
-        d = distances(self.vectors[rows[:1]], self.vectors[rows])[0]
+        d = distances(self.vectors[rows[:1]], self.vectors[rows])
         at = int(np.argmax(d))
         vantage, rows = rows[at], np.delete(rows, at)
-        d = distances(self.vectors[vantage][None], self.vectors[rows])[0]
+        d = distances(self.vectors[vantage][None], self.vectors[rows])
         order = np.argsort(d, kind="stable")
         half = len(rows) // 2
         return vantage, float(d[order[half]]), self._build(rows[order[:half]]), self._build(rows[order[half:]])
@@ -66,33 +65,67 @@ class Tree:
         """Distances and ids of the best k of each query; infinite distance where there are fewer."""
         best = np.full((len(queries), k), np.inf)
         near = np.full((len(queries), k), np.iinfo(np.int64).max)
+        length = np.einsum("ij,ij->i", queries, queries)
 
-        def add(at: np.ndarray, rows: np.ndarray, d: np.ndarray) -> None:
-            d = np.where(self.ids[rows][None, :] == ids[at][:, None], np.inf, d)
-            all_d = np.concatenate((best[at], d), axis=1)
-            all_i = np.concatenate((near[at], np.broadcast_to(self.ids[rows], d.shape)), axis=1)
-            all_i[np.isinf(all_d)] = np.iinfo(np.int64).max
-            order = np.lexsort((all_i, all_d), axis=1)[:, :k]
-            best[at], near[at] = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_i, order, 1)
+        def add(at: np.ndarray, place: np.ndarray, rows: np.ndarray, d: np.ndarray) -> None:
+            """Merge rows[i] at distance d[i] into the best of query at[place[i]]."""
+            other = self.ids[rows] != ids[at[place]]
+            place, rows, d = place[other], rows[other], d[other]
+            if not len(place):
+                return
+            hit, place = np.unique(place, return_inverse=True)
+            own = at[hit]
+            who = np.concatenate((np.repeat(np.arange(len(own)), k), place))
+            all_d = np.concatenate((best[own].ravel(), d))
+            all_i = np.concatenate((near[own].ravel(), self.ids[rows]))
+            order = np.lexsort((all_i, all_d, who))
+            start = np.searchsorted(who[order], np.arange(len(own)))
+            first = order[start[:, None] + np.arange(k)]
+            best[own], near[own] = all_d[first], all_i[first]
+
+        def leaf(rows: np.ndarray, at: np.ndarray) -> None:
+            """A product of all queries and rows leaves few pairs, whose distances are then worked out exactly."""
+            if not len(at) or not len(rows):
+                return
+            squares = length[at][:, None] + self.lengths[rows][None, :]
+            rough = squares - 2 * (queries[at] @ self.vectors[rows].T)
+            place, column = np.nonzero(rough <= best[at, -1][:, None] ** 2 + SLACK * squares)
+            add(at, place, rows[column], distances(queries[at[place]], self.vectors[rows[column]]))
+
+        home = np.full(len(queries), -1)
+
+        def descend(node, at: np.ndarray) -> None:
+            """To the leaf on the query's own side all the way, for a first k-th best distance."""
+            if not len(at):
+                return
+            if not isinstance(node, tuple):
+                home[at] = node
+                leaf(self.leaves[node], at)
+                return
+            vantage, median, inside, outside = node
+            near_side = distances(queries[at], self.vectors[vantage][None]) < median
+            descend(inside, at[near_side])
+            descend(outside, at[~near_side])
 
         def visit(node, at: np.ndarray) -> None:
+            """All queries that a node may still serve, together."""
             if not len(at):
                 return
             if not isinstance(node, tuple):
-                if len(node):
-                    add(at, node, distances(queries[at], self.vectors[node]))
+                leaf(self.leaves[node], at[home[at] != node])
                 return
             vantage, median, inside, outside = node
             d = distances(queries[at], self.vectors[vantage][None])
-            add(at, np.array([vantage]), d)
-            gap = d[:, 0] - median
-            for side, first, second in ((gap < 0, inside, outside), (gap >= 0, outside, inside)):
-                own, away = at[side], np.abs(gap[side])
-                visit(first, own)
+            close = np.flatnonzero(d <= best[at, -1])
+            add(at, close, np.full(len(close), vantage), d[close])
+            gap = d - median
+            for child, side in ((inside, gap < 0), (outside, gap >= 0)):
                 # A hair is added to the reach, so that rounding never hides a tie.
-                visit(second, own[factor * away <= best[own, -1] * (1 + 1e-12)])
+                visit(child, at[side | (factor * np.abs(gap) <= best[at, -1] * (1 + 1e-12))])
 
-        visit(self.root, np.arange(len(queries)))
+        every = np.arange(len(queries))
+        descend(self.root, every)
+        visit(self.root, every)
         return best, near
 
 
