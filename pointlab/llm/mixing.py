@@ -37,6 +37,12 @@ def _order(doc_id: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
 
 
+def _size_class() -> Column:
+    """Eight classes for each doubling of the size, in order of the size."""
+    bits = F.length(F.bin("size"))
+    return bits * 8 + F.expr("shiftright(size, greatest(length(bin(size)) - 4, 0)) % 8").cast("int")
+
+
 def _offset(source: str, seed: int) -> Column:
     """Between 0 and 1, from the seed and the source."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n"))))
@@ -76,12 +82,12 @@ def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = L
     keyed = (
         rows.select(*kept)
         .withColumn("__order", _order("doc_id", seed))
-        .withColumn("__class", F.length(F.bin("size")))
-        .withColumn("__bucket", F.substring("__order", 1, 2))
+        .withColumn("__class", _size_class())
+        .withColumn("__bucket", F.substring("__order", 1, 1))
     )
     inside = ["source", "__class", "__bucket"]
     running = Window.partitionBy("source").orderBy("__class", "__bucket")
-    # Rows of one source in one task here are its buckets: at most 256 for each size class.
+    # Rows of one source in one task here are its buckets: at most 16 for each size class.
     buckets = (
         keyed.groupBy(*inside).agg(F.count(F.lit(1)).alias("__n"), F.sum("size").alias("size"))
         .withColumn("__before", F.sum("__n").over(running) - F.col("__n"))
@@ -119,7 +125,7 @@ t AS (SELECT source, source_size, coalesce(least(2.0::DOUBLE * source_size, v.le
   FROM r, v),
 k AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.u,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
-    row_number() OVER (PARTITION BY d.source ORDER BY length(bin(d.size)), substr(o, 1, 2), d.size, o, d.doc_id) AS n
+    row_number() OVER (PARTITION BY d.source ORDER BY length(bin(d.size)) * 8 + (d.size >> greatest(length(bin(d.size)) - 4, 0)) % 8, substr(o, 1, 1), d.size, o, d.doc_id) AS n
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, ((floor(n * rate + u) - floor((n - 1) * rate + u)) * size)::BIGINT AS taken FROM k
 """
