@@ -24,15 +24,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---------------------------------------------------------------- SQL building blocks
 
-_codes = " ".join(f"when {i} then {code}" for i, code in enumerate(CODES_BY_PART))
+_codes = " ".join(f"when {i} then {code}" for i, code in enumerate(CODES_BY_PART) if code)
 _POINTS = f"""points as (
   select l_orderkey*10 + l_linenumber as point_id,
-    case when l_linenumber = 7 then list_value(l_extendedprice, cast(l_orderkey as double))
-      else list_value(l_extendedprice, cast(l_orderkey as double), l_quantity*10.0 + l_discount*100.0) end as xyz,
+    list_value(l_extendedprice, cast(l_orderkey as double),
+      case when l_linenumber <> 7 then l_quantity*10.0 + l_discount*100.0 end) as xyz,
     cast(l_partkey*37 % 3000 as int) as Intensity,
-    cast(case when l_suppkey % 10 <> 3 then case l_partkey % 12 {_codes} end end as int) as Classification,
+    cast(case l_partkey % 13 {_codes} end as int) as Classification,
     cast(case when l_partkey % 50 = 0 then 0 else (l_suppkey+1)*500 % 65536 end as int) as Red,
-    cast((l_partkey % 12)*4096 + l_quantity*16 as int) as Green,
+    cast((l_partkey % 13)*4096 + l_quantity*16 as int) as Green,
     cast(l_linenumber*8000 as int) as Blue,
     cast(case when l_partkey % 50 = 0 then 0 else l_quantity*1024 end as int) as Infrared,
     case when l_orderkey % 10 < 6 then 'train' when l_orderkey % 10 = 6 then 'extra'

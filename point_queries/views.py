@@ -11,8 +11,8 @@ from pointlab.schema import SPLITS
 from pointlab.session import scratch_path
 from pointlab.sources import write_points
 
-# Raw class code by part key modulo 12; the last one is outside the class mapping.
-CODES_BY_PART = [1, 2, 3, 4, 5, 6, 9, 17, 64, 65, 66, 7]
+# Raw class code by part key modulo 13; 7 is outside the class mapping.
+CODES_BY_PART = [1, 2, 3, 4, 5, 6, 9, 17, 64, 65, 66, 7, None]
 BUCKETS = 16
 
 
@@ -28,17 +28,16 @@ def points_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     part, quantity = F.col("l_partkey"), F.col("l_quantity")
     dark = part % 50 == 0
     order_digit = F.col("l_orderkey") % 10
-    codes = F.array(*[F.lit(code) for code in CODES_BY_PART])
-    plane = F.array("l_extendedprice", F.col("l_orderkey").cast("double"))
-    height = F.array(quantity * 10.0 + F.col("l_discount") * 100.0)
+    codes = F.array(*[F.lit(code).cast("int") for code in CODES_BY_PART])
+    height = F.when(F.col("l_linenumber") != 7, quantity * 10.0 + F.col("l_discount") * 100.0)
     split = F.when(order_digit < 6, "train").when(order_digit == 6, "extra").when(order_digit == 8, "val")
     return lineitem(spark, sf_dir).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("point_id"),
-        F.when(F.col("l_linenumber") == 7, plane).otherwise(F.concat(plane, height)).alias("xyz"),
+        F.array("l_extendedprice", F.col("l_orderkey").cast("double"), height).alias("xyz"),
         (part * 37 % 3000).cast("int").alias("Intensity"),
-        F.when(F.col("l_suppkey") % 10 != 3, F.get(codes, (part % 12).cast("int"))).alias("Classification"),
+        F.get(codes, (part % 13).cast("int")).alias("Classification"),
         F.when(dark, 0).otherwise((F.col("l_suppkey") + 1) * 500 % 65536).cast("int").alias("Red"),
-        ((part % 12) * 4096 + quantity * 16).cast("int").alias("Green"),
+        ((part % 13) * 4096 + quantity * 16).cast("int").alias("Green"),
         (F.col("l_linenumber") * 8000).cast("int").alias("Blue"),
         F.when(dark, 0.0).otherwise(quantity * 1024).cast("int").alias("Infrared"),
         split.when(order_digit == 9, "test").alias("split"),

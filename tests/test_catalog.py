@@ -71,3 +71,16 @@ def test_generated_methods_are_small_enough_to_compile(spark, capsys, name):
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert [r.Classification for r in rows] == [None, 1, 2, 3, 4, 5, 6, 7, 8]
+
+
+def test_the_entry_works_without_the_text_operators(monkeypatch):
+    import importlib
+    import sys
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    alone = importlib.reload(contract)
+    try:
+        assert alone.queries() == QUERIES and alone.oracle_sql() == ORACLES
+    finally:
+        monkeypatch.undo()
+        importlib.reload(contract)
