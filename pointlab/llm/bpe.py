@@ -113,10 +113,14 @@ class Codec:
             raise ValueError(f"not a byte-level vocabulary: {path}")
         self.bytes = np.array(self.encoder.token_bytes(), dtype=object)
         self.lengths = np.array([len(b) for b in self.bytes], dtype=np.int64)
+        self.kind = np.dtype("<u2" if len(self.bytes) <= 1 << 16 else "<u4")  # of ids on their way
 
     def encode(self, data: bytes) -> np.ndarray:
         return self.encoder.ids(data.decode())
 
+    def pack(self, data: bytes) -> bytes:
+        return self.encode(data).astype(self.kind).tobytes()
+
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(self.bytes[ids].tolist())
 
@@ -172,13 +176,13 @@ def _parts(docs: DataFrame, tokenizer: str, table, mask_bits: int, table_bits: i
                     at = h1 & ((1 << table_bits) - 1)
                     if bits[at >> 5] >> (at & 31) & 1:
                         if own < start:
-                            parts.append((code.encode(data[own:start]).tobytes(), None, None, None))
+                            parts.append((code.pack(data[own:start]), None, None, None))
                         parts.append((None, h1, h2, data[start:end]))
                         own = end
                     start = end
                 if parts:
                     if own < start:
-                        parts.append((code.encode(data[own:start]).tobytes(), None, None, None))
+                        parts.append((code.pack(data[own:start]), None, None, None))
                     out += [(doc_id, None, None, None, row, i, *part) for i, part in enumerate(parts)]
                     row += 1
                 else:
@@ -200,7 +204,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, mask_bits: int = MASK_BITS, t
 
     @F.pandas_udf("binary")
     def encode(chunks: pd.Series) -> pd.Series:
-        return chunks.map(lambda chunk: codec(tokenizer).encode(chunk).tobytes())
+        return chunks.map(codec(tokenizer).pack)
 
     key = docs.schema["doc_id"].dataType.simpleString()
 
@@ -209,7 +213,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, mask_bits: int = MASK_BITS, t
         for batch in batches:
             for i in range(batch.num_rows):
                 own = sorted(batch.column("parts")[i].as_py(), key=lambda x: x["part"])
-                n, ids, text = code.digest([np.frombuffer(x["ids"], np.uint32) for x in own])
+                n, ids, text = code.digest([np.frombuffer(x["ids"], code.kind) for x in own])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, 1), pa.array([n]), pa.array([ids]), pa.array([text])],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
@@ -217,6 +221,8 @@ def encode_decode(docs: DataFrame, tokenizer: str, mask_bits: int = MASK_BITS, t
 
     repeated = parts.where("chunk is not null")
     once = repeated.groupBy("h1", "h2").agg(F.first("chunk").alias("chunk")).select("h1", "h2", encode("chunk").alias("ids"))
+    # Written, so that the join has a shuffle of its own on either side, which can be split.
+    once = written(once, "chunks")
     met = repeated.select("doc_id", "row", "part", "h1", "h2").join(once, ["h1", "h2"]).select("doc_id", "row", "part", "ids")
     own = parts.where("ids is not null").select("doc_id", "row", "part", "ids")
     whole = (
