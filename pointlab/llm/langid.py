@@ -40,6 +40,7 @@ BLANK = 32
 BLOCK = 1 << 17
 SLACK = 1.75  # of the highest cross-entropy among calibration texts
 DEVIATIONS = 4
+NAMES = ("lang_pred", "score", "cross_entropy", "rejected")
 
 
 @functools.cache
@@ -212,9 +213,11 @@ def count_grams(sample: DataFrame) -> DataFrame:
 def train(docs: DataFrame, train_chars: int = TRAIN_CHARS) -> Models | None:
     """Models from the labelled rows of ``docs`` (doc_id, text, lang)."""
     labelled = docs.where("doc_id is not null and text is not null and lang is not null").select("doc_id", "text", "lang")
-    sizes = labelled.groupBy("lang").agg(F.sum(F.char_length("text")).alias("chars"))
+    # A map with one entry for each language.
+    sizes = labelled.groupBy("lang").agg(F.sum(F.char_length("text")).alias("chars")).select(F.map_from_entries(F.collect_list(F.struct("lang", "chars"))))
+    chars = F.try_element_at(sizes.scalar(), F.col("lang"))
     picked = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = labelled.join(sizes, "lang").where(picked * F.col("chars") < train_chars).select("doc_id", "text", "lang")
+    sample = labelled.where(picked * chars < train_chars)
     held_back = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(8)) == 0
     counted = count_grams(sample.where(~held_back)).toArrow()
     languages = sorted(set(counted["lang"].to_pylist()))
@@ -246,19 +249,20 @@ def train(docs: DataFrame, train_chars: int = TRAIN_CHARS) -> Models | None:
     return models
 
 
-def identify(docs: DataFrame, models: Models | None) -> DataFrame:
-    """``docs`` with lang_pred, score, cross_entropy and rejected (columns of these names are replaced).
+def identify(docs: DataFrame, models: Models | None, names: tuple[str, str, str, str] = NAMES) -> DataFrame:
+    """``docs`` with lang_pred, score, cross_entropy and rejected, or other names (columns so named are replaced).
 
     The score is the share of the best language if languages weigh exp(-cross-entropy)."""
-    new = ["lang_pred", "score", "cross_entropy", "rejected"]
+    new = list(names)
     kept = docs.select(*[c for c in docs.columns if c.lower() not in new])
     if models is None:
-        return kept.select("*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
+        none = (F.lit("und"), F.lit(0.0), F.lit(None).cast("double"), F.lit(True))
+        return kept.select("*", *[value.alias(name) for value, name in zip(none, new, strict=True)])
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        names = np.array(own.languages, dtype=object)
+        languages = np.array(own.languages, dtype=object)
         for batch in even_batches(batches, "text", BATCH_BYTES):
             n, h = own.cross_entropies(batch.column("text").to_pylist())
             best = np.argmin(h, axis=1)
@@ -266,9 +270,10 @@ def identify(docs: DataFrame, models: Models | None) -> DataFrame:
             ok = n > 0
             share = np.where(ok, 1 / np.exp(low[:, None] - h).sum(axis=1), 0.0)
             rejected = ~ok | (low > own.limit[best] + DEVIATIONS * own.deviation[best] / np.sqrt(np.maximum(n, 1)))
-            pred = np.where(ok, names[best], "und")
+            pred = np.where(ok, languages[best], "und")
             columns = [pa.array(pred, pa.string()), pa.array(share), pa.array(low, mask=~ok), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *new])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(score, f"{fields}, lang_pred string, score double, cross_entropy double, rejected boolean")
+    kinds = zip(new, ("string", "double", "double", "boolean"), strict=True)
+    return kept.mapInArrow(score, fields + "".join(f", `{name}` {kind}" for name, kind in kinds))
