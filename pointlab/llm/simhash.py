@@ -153,6 +153,8 @@ def links(nodes: DataFrame, most: int = MOST) -> DataFrame:
     """node, component for the fingerprints of ``nodes`` (fp, all different) that link to another."""
     near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= most
     stored = keyed(nodes, False).groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
+    # Written, so that the join has a shuffle of its own on either side, which can be split.
+    stored = written(stored, "stored")
     # Looked-up fingerprints whose key holds some other one.
     met = written(keyed(nodes, True).join(stored, "key").where("low <> fp or high <> fp"), "met")
     hubs = met.where(near("fp", "low")).select(F.col("fp").alias("a"), F.col("low").alias("b")).union(
@@ -175,15 +177,21 @@ def links(nodes: DataFrame, most: int = MOST) -> DataFrame:
     return components(first.union(second))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns to carry, fingerprint (16 hex digits), component_id (the smallest doc_id of its
-    component) and component (one of its fingerprints) for each row of ``docs``."""
+def classes(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """doc_id, the columns to carry and fp of every row of ``docs``, and component, one of its
+    fingerprints, of every fp."""
     if not 0 <= most <= MOST:
         raise ValueError(f"keys hold for 0 to {MOST} differing bits")
     fps = written(fingerprints(docs, shingle, carry), "fps")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    nodes = fps.select("fp").distinct()
     linked = written(links(nodes, most), "components")
-    labelled = nodes.join(linked, nodes.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    classes = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_fp = labelled.join(classes, "component").select("fp", "component_id", "component")
-    return fps.join(by_fp, "fp").select("doc_id", *carry, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component")
+    return fps, nodes.join(linked, nodes.fp == linked.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id of its component) for each row of ``docs``."""
+    fps, of = classes(docs, shingle, most)
+    labelled = fps.groupBy("fp").agg(F.min("doc_id").alias("first")).join(of, "fp")
+    first = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
+    by_fp = labelled.join(first, "component").select("fp", "component_id")
+    return fps.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

