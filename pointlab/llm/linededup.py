@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pointlab.llm.shared import written
+
 LINES = 3
 
 
@@ -47,25 +49,27 @@ def windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
 
 
 def later_places(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """__id, __text, places: where later occurrences of repeated windows begin, in order."""
+    """__id, __text, __places: where later occurrences of repeated windows begin, in order."""
     found = windows(docs, lines)
     here = F.struct("__id", "__text", "at")
     first = (
         found.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("first"))
         .where("n > 1").select("w1", "w2", "first")
     )
+    # Written, so that the join has a shuffle of its own on either side, which can be split.
+    first = written(first, "windows")
     return (
         found.join(first, ["w1", "w2"]).where(here != F.col("first"))
-        .groupBy("__id", "__text").agg(F.array_sort(F.collect_set("at")).alias("places"))
+        .groupBy("__id", "__text").agg(F.array_sort(F.collect_set("at")).alias("__places"))
     )
 
 
-def dedup_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """``docs`` with the new text, and lines_removed (replaced if there is one already)."""
-    kept = [c for c in docs.columns if c.lower() != "lines_removed"]
+def dedup_lines(docs: DataFrame, lines: int = LINES, removed: str = "lines_removed") -> DataFrame:
+    """``docs`` with the new text, and the number of lines removed (replacing a column of that name)."""
+    kept = [c for c in docs.columns if c.lower() != removed]
     places = later_places(docs, lines)
     joined = _keyed(docs.select(*kept)).join(places, ["__id", "__text"], "left")
-    p = F.col("places")
+    p = F.col("__places")
     merged = joined.withColumn(
         "__from", F.filter(p, lambda x, i: (i == 0) | (F.get(p, i - 1) < x - lines))
     ).withColumn(
@@ -79,7 +83,7 @@ def dedup_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
     covered = F.aggregate(F.zip_with("__from", "__to", lambda a, b: b - a), F.lit(0), lambda s, x: s + x)
     return merged.select(
         *[F.when(p.isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias(c) if c == "text" else F.col(c) for c in kept],
-        F.coalesce(F.when(p.isNotNull(), covered), F.lit(0)).alias("lines_removed"),
+        F.coalesce(F.when(p.isNotNull(), covered), F.lit(0)).alias(removed),
     )
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pointlab.llm.shared import text_key, text_or_empty, written
 
 SHARDS = 16
-ROUNDS = 6
+ROUNDS = 10
 
 
 def _at(values: list, place: Column) -> Column:
@@ -61,6 +61,7 @@ def propagate(linked: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Data
             held.join(best, ["g1", "g2"]).where(rank < F.col("best"))
             .select("g1", "g2", "shard", F.col("best.shard").alias("to"), "n")
         )
+        wishes = written(wishes, "wishes")
         asked = _sums(wishes, "to", "n", shards)
         if not any(asked):
             break
@@ -83,6 +84,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     )
     slim = written(slim, "slim")
     groups = slim.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g1", "g2")
+    # Written, so that the joins have a shuffle of their own on either side, which can be split.
+    groups = written(groups, "groups")
     quota = quotas(slim.count(), shards)
     linked = propagate(slim.join(groups, ["g1", "g2"], "left_semi").select(*slim.columns), quota, rounds)
     alone = slim.join(groups, ["g1", "g2"], "left_anti").select(*slim.columns)
