@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pointlab.llm import bpe, components, cws, encoder, golay, langid, licenses, linededup, mixing, queries, sharding, simhash, tokencount, vptree
+from pointlab.llm import bpe, components, cws, encoder, golay, langid, licenses, linededup, minhash, mixing, queries, sharding, simhash, tokencount, vptree
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SF_DIR = "/root/testdata/sf0.001"
@@ -568,6 +568,44 @@ def test_stages_against_brute_force(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, near, "").collect()) == [4, 7]
 
 
+def edited(rng, words, n):
+    """``words`` with n of them replaced, far enough apart that each changes five shingles."""
+    out = list(words)
+    for k in range(n):
+        out[10 + k * ((len(words) - 20) // n)] = f"new{rng.randrange(10**9)}"
+    return out
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_near_copies_are_five_word_shingles_at_eight_tenths(spark, monkeypatch, rounds):
+    rng, rows, planted = random.Random(31), [], Counter()
+    monkeypatch.setattr(minhash.staying, "__defaults__", (rounds,))
+    for i in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([100, 200, 400]))]
+        n = len(words) * rng.choice([1, 2, 3, 4]) // 100
+        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(edited(rng, words, n)))]
+    # Spread groups, of which pairs lie on either side of the bound; and texts that one shingle dominates.
+    for g in range(3):
+        base = [f"g{g}x{k}" for k in range(200)]
+        rows += [(10**6 + 1000 * g + k, " ".join(edited(rng, base, rng.randrange(1, 8)))) for k in range(40)]
+    rows += [(10**7 + k, "cell " * 300 + " ".join(f"d{k}x{j}" for j in range(100))) for k in range(5)]
+    rng.shuffle(rows)
+    rows += [rows[0], (None, rows[1][1])]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows if i is not None}
+    like = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    stay = []
+    for i in sorted(sets):
+        if not any(like(i, j) >= 0.8 for j in stay if abs(i - j) < 1000):
+            stay.append(i)
+    assert 200 < len(stay) < len(sets) - 100
+    got = [r.doc_id for r in corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    assert None not in got and len(got) == len(set(got))
+    # Whatever goes has a near copy that stays; of pairs at 0.8 or more next to none is missed.
+    assert all(any(like(i, j) >= 0.8 for j in got if abs(i - j) < 1000) for i in set(sets) - set(got))
+    assert len(set(got) ^ set(stay)) <= 3
+    assert all(10**7 + k in got for k in range(5))
+
+
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
 def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs, stage):
     out = stage(spark, odd_docs, "")
