@@ -10,8 +10,10 @@ language's own texts reach: models are fitted on seven eighths of the sample, an
 each language the mean, the deviation per character and the limit.
 
 The models are fitted on a bounded sample of the labelled rows, about ``train_chars`` characters of
-each language, whole texts picked by a hash of the id; all labelled rows are used where there are no
-more than that. Counting is done in Spark; the counts of the sample, whose size is bounded by it, come
+each language: texts, and of long ones blocks of ``SPREAD`` characters, are picked by a hash of id, text
+and block, repeated rows once; all of them are used where there are no more than that. Every language
+with a labelled text that has a letter has a model. Where an eighth held back would leave nothing to fit,
+nothing is held back; a language without texts held back takes the widest limit of the others. Counting is done in Spark; the counts of the sample, whose size is bounded by it, come
 to the driver, and the models are broadcast. Scoring reads whole texts in blocks, in one pass without a
 shuffle.
 
@@ -31,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pointlab.llm.shared import written
 from pointlab.llm.tokencount import BATCH_BYTES, even_batches
 
 ORDER = 4
@@ -38,6 +41,7 @@ TRAIN_CHARS = 1_500_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 BLANK = 32
 BLOCK = 1 << 17
+SPREAD = 20_000  # characters of a block of the sample
 SLACK = 1.75  # of the highest cross-entropy among calibration texts
 DEVIATIONS = 4
 NAMES = ("lang_pred", "score", "cross_entropy", "rejected")
@@ -210,15 +214,33 @@ def count_grams(sample: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "size", "gram", "context", "ending").agg(F.sum("n").alias("n"))
 
 
+def sample_of(docs: DataFrame, train_chars: int = TRAIN_CHARS) -> DataFrame:
+    """lang, doc_id, text of about ``train_chars`` characters of each language, at least one text of each."""
+    labelled = docs.where("doc_id is not null and text is not null and lang is not null").where(F.col("text").rlike(r"\p{L}"))
+    labelled = labelled.select("lang", "doc_id", "text", F.xxhash64("text").alias("own"), F.char_length("text").alias("chars"))
+    # Repeated rows count once. A map with one entry for each language.
+    once = labelled.groupBy("lang", "doc_id", "own").agg(F.max("chars").alias("chars"))
+    sizes = once.groupBy("lang").agg(F.sum("chars").alias("chars")).select(F.map_from_entries(F.collect_list(F.struct("lang", "chars"))))
+    total = F.try_element_at(sizes.scalar(), F.col("lang"))
+    pick = lambda block: F.pmod(F.xxhash64(F.lit(11), "doc_id", "own", block), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    blocks = F.sequence(F.lit(0), F.floor((F.col("chars") - 1) / SPREAD).cast("int"))
+    taken = labelled.withColumn("total", total).withColumn("blocks", F.filter(blocks, lambda b: pick(b) * F.col("total") < train_chars))
+    parts = taken.select("lang", "doc_id", "own", "text", F.explode("blocks").alias("block"))
+    parts = parts.select("lang", "doc_id", "own", "block", F.substring("text", F.col("block") * SPREAD + 1, F.lit(SPREAD)).alias("text"))
+    sample = written(parts.where(F.col("text").rlike(r"\p{L}")).dropDuplicates(["lang", "doc_id", "own", "block"]).select("lang", "doc_id", "text"), "sample")
+    # A language whose letters lie in few blocks may have none; its first text is then taken whole.
+    missing = once.select("lang").distinct().join(sample.select("lang").distinct(), "lang", "left_anti")
+    first = labelled.join(missing, "lang", "left_semi").groupBy("lang").agg(F.min(F.struct(pick(F.lit(0)).alias("at"), "doc_id", "text")).alias("first"))
+    return written(sample.union(first.select("lang", "first.doc_id", "first.text")), "sample")
+
+
 def train(docs: DataFrame, train_chars: int = TRAIN_CHARS) -> Models | None:
     """Models from the labelled rows of ``docs`` (doc_id, text, lang)."""
-    labelled = docs.where("doc_id is not null and text is not null and lang is not null").select("doc_id", "text", "lang")
-    # A map with one entry for each language.
-    sizes = labelled.groupBy("lang").agg(F.sum(F.char_length("text")).alias("chars")).select(F.map_from_entries(F.collect_list(F.struct("lang", "chars"))))
-    chars = F.try_element_at(sizes.scalar(), F.col("lang"))
-    picked = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = labelled.where(picked * chars < train_chars)
-    held_back = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(8)) == 0
+    sample = sample_of(docs, train_chars)
+    back = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(8)) == 0
+    # Languages of which nothing would be left to fit.
+    lone = [r.lang for r in sample.groupBy("lang").agg(F.every(back).alias("all")).where("all").collect()]
+    held_back = back & ~F.col("lang").isin(lone)
     counted = count_grams(sample.where(~held_back)).toArrow()
     languages = sorted(set(counted["lang"].to_pylist()))
     models = fit(languages, counted)
@@ -246,6 +268,11 @@ def train(docs: DataFrame, train_chars: int = TRAIN_CHARS) -> Models | None:
             models.mean[i] = np.average(own_h, weights=own_n)
             models.deviation[i] = np.sqrt(np.average(own_n * (own_h - models.mean[i]) ** 2))
             models.limit[i] = SLACK * np.max(own_h - DEVIATIONS * models.deviation[i] / np.sqrt(own_n)).clip(models.mean[i])
+    # Without texts held back, the widest of the other languages.
+    if len(own := np.unique(at)):
+        rest = np.setdiff1d(np.arange(len(languages)), own)
+        for values in (models.mean, models.deviation, models.limit):
+            values[rest] = values[own].max()
     return models
 
 

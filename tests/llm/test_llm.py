@@ -450,6 +450,26 @@ def test_models_match_the_definition(spark):
         assert h[-4, k] == pytest.approx(model.cross_entropy("ba be zz ko "), rel=1e-4)
 
 
+def test_every_labelled_language_has_a_model(spark):
+    rng = random.Random(5)
+    speak = lambda own, n: " ".join("".join(rng.choice(own) for _ in range(3)) for _ in range(n))
+    kinds = {"aa": ["ba", "be", "bo"], "bb": ["ke", "ko", "kä"], "cc": ["mu", "mi", "my"], "dd": ["sa", "se", "sho"]}
+    of = {r.id: (r.back, r.at) for r in spark.range(2000).select("id", (F.pmod(F.xxhash64(F.lit(12), "id"), F.lit(8)) == 0).alias("back"), (F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 30)) / (1 << 30)).alias("at")).collect()}
+    late = [i for i, (back, at) in of.items() if not back and at > 0.9]
+    rows = [(i, speak(kinds["aa"], 30), "aa") for i in range(200)]
+    rows += [(i, speak(kinds["bb"], 30_000), "bb") for i in late[-2:]]  # two very long texts
+    rows += [(next(i for i in range(300, 400) if of[i][0]), speak(kinds["cc"], 300), "cc")]  # one text, of the eighth held back
+    rows += [(late[-3], speak(kinds["dd"], 30), "dd")] * 500 + [(late[-3], speak(kinds["dd"], 30), "dd") for _ in range(400)]  # one id
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    own = langid.train(docs, 50_000)
+    assert own.languages == sorted(kinds)
+    assert np.isfinite(own.limit).all()
+    sizes = {r.lang: (r.n, r.ids) for r in langid.sample_of(docs, 50_000).groupBy("lang").agg(F.sum(F.char_length("text")).alias("n"), F.count("*").alias("ids")).collect()}
+    assert all(n < 250_000 for n, _ in sizes.values()) and sizes["bb"][1] > 0 and sizes["cc"][1] == 1
+    new = spark.createDataFrame([(5000 + k, speak(kinds[x], 60), x) for k, x in enumerate(sorted(kinds) * 5)], "doc_id long, text string, lang string")
+    assert all(r.lang == r.lang_pred and not r.rejected for r in langid.identify(new, own).collect())
+
+
 def test_held_out_accuracy(some_docs, models):
     got = langid.identify(some_docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 == 2), models).where("lang is not null").collect()
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
