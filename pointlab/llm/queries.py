@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointlab.llm import bpe, cws, langid, licenses, linededup, mixing, sharding, simhash, tokencount, vptree
+from pointlab.llm import alignment, bpe, cws, langid, licenses, linededup, mixing, repetition, sharding, simhash, spelling, tokencount, vptree
 from pointlab.llm.shared import table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+OTHER_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,13 +62,28 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repetition.repetition(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "base_failed", "kept")
+    return rows.select(*names)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"), VOCABULARY, OTHER_VOCABULARY)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_token_counts, op2_license_scan, op3_mix_sources, op4_line_dedup, op5_bpe_round_trip,
         op6_simhash, op7_nearest, op8_shards, op9_language, op10_fingerprints,
+        op11_repetition, op12_spelling_variants, op13_token_alignment,
     )
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": mixing.ORACLE, "op4_line_dedup": linededup.ORACLE}
+    return {"op3_mix_sources": mixing.ORACLE, "op4_line_dedup": linededup.ORACLE, "op11_repetition": repetition.ORACLE}

@@ -136,3 +136,116 @@ class KneserNey:
     def cross_entropy(self, text):
         grams = self._grams(text, self.order)
         return -sum(math.log(self.p(g)) for g in grams) / len(grams)
+
+
+def repetition(text: str | None, least: int, most_covered: int, most_repeat: int):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered, longest repeat, repeats, base_failed, kept."""
+    text = text or ""
+    words = WORD.findall(text)
+    n = len(words)
+
+    def places(m):
+        found = {}
+        for i in range(n - m + 1):
+            found.setdefault(tuple(words[i : i + m]), []).append(i)
+        return [x for x in found.values() if len(x) > 1]
+
+    def covered(m):
+        return len({i + k for x in places(m) for i in x for k in range(m)})
+
+    longest, repeats, m = 0, 0, least
+    while own := places(m):
+        longest = m
+        for x in own:
+            left = {words[i - 1] if i else None for i in x}
+            right = {words[i + m] if i + m < n else None for i in x}
+            repeats += (len(left) > 1) and (len(right) > 1)
+        m += 1
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    failed = n < 10 or 100 * covered(5) > 20 * n
+    return (
+        n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), covered(5), covered(least), longest, repeats,
+        failed, not failed and 100 * covered(least) <= most_covered * n and longest <= most_repeat,
+    )
+
+
+def variants(docs, typo, min_letters, min_count, ratio):
+    """word: (form, root, n, n_near, form_n) for rows of (doc_id, text)."""
+    import zlib
+
+    counts = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            counts[run[: h % len(run)] + run[h % len(run) + 1 :] if h % typo == 0 else run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= min_letters and n >= min_count}
+
+    def one_edit(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    out = {}
+    for w, n in words.items():
+        near = sorted((-m, v) for v, m in words.items() if one_edit(w, v))
+        form = near[0][1] if near and -near[0][0] >= ratio * n else None
+        out[w] = (form, n, len(near), -near[0][0] if form else None)
+    root = lambda w: root(out[w][0]) if out[w][0] else w
+    return {w: (form, root(w), n, near, m) for w, (form, n, near, m) in out.items()}
+
+
+def alignments(texts, a_path, b_path):
+    """n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of each text; whole texts, byte by byte."""
+    import json
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(a_path)
+    tokenizer.encode_special_tokens = True
+    pieces = sentencepiece.SentencePieceProcessor(model_file=b_path)
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    to_byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
+    with open(a_path, encoding="utf-8") as file:
+        name_of = {i: t for t, i in json.load(file)["model"]["vocab"].items()}
+    rows, held = [], Counter()
+    for text in texts:
+        groups = []
+        if text:
+            a = tokenizer.encode(" " + text, add_special_tokens=False).ids
+            b = pieces.encode(text)
+            bytes_a = [bytes(to_byte[c] for c in name_of[i]) for i in a]
+            names = [pieces.id_to_piece(i) for i in b]
+            bytes_b = [bytes([int(x[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", x) else x.replace("▁", " ").encode() for x in names]
+            if b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+                i = j = at_a = at_b = 0
+                own_a, own_b = [], []
+                while i < len(a) or j < len(b):
+                    if at_a <= at_b and i < len(a):
+                        own_a.append(a[i])
+                        at_a += len(bytes_a[i])
+                        i += 1
+                    else:
+                        own_b.append(b[j])
+                        at_b += len(bytes_b[j])
+                        j += 1
+                    if at_a == at_b:
+                        groups.append((own_a, own_b))
+                        own_a, own_b = [], []
+        links = [(x, y) for p, q in groups for x in p for y in q]
+        held.update(set(links))
+        rows.append((groups, links))
+    most = {}
+    for (x, _), n in held.items():
+        most[x] = max(most.get(x, 0), n)
+    return [
+        (
+            sum(len(p) for p, _ in groups), sum(len(q) for _, q in groups), len(groups), len(links), sum(held[x] == most[x[0]] for x in links), sum(held[x] for x in links),
+            sha(";".join(",".join(map(str, p)) + "|" + ",".join(map(str, q)) for p, q in groups).encode()) if groups else "",
+        )
+        for groups, links in rows
+    ]
