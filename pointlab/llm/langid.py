@@ -228,9 +228,12 @@ def sample_of(docs: DataFrame, train_chars: int = TRAIN_CHARS) -> DataFrame:
     parts = taken.select("lang", "doc_id", "own", "text", F.explode("blocks").alias("block"))
     parts = parts.select("lang", "doc_id", "own", "block", F.substring("text", F.col("block") * SPREAD + 1, F.lit(SPREAD)).alias("text"))
     sample = written(parts.where(F.col("text").rlike(r"\p{L}")).dropDuplicates(["lang", "doc_id", "own", "block"]).select("lang", "doc_id", "text"), "sample")
-    # A language whose letters lie in few blocks may have none; its first text is then taken whole.
-    missing = once.select("lang").distinct().join(sample.select("lang").distinct(), "lang", "left_anti")
-    first = labelled.join(missing, "lang", "left_semi").groupBy("lang").agg(F.min(F.struct(pick(F.lit(0)).alias("at"), "doc_id", "text")).alias("first"))
+    # A language whose letters lie in few blocks may have none; its first text is then taken whole. Their names are a
+    # few at most, and mostly none; texts are looked through again, not shuffled.
+    missing = [r.lang for r in once.select("lang").distinct().join(sample.select("lang").distinct(), "lang", "left_anti").collect()]
+    if not missing:
+        return sample
+    first = labelled.where(F.col("lang").isin(missing)).groupBy("lang").agg(F.min(F.struct(pick(F.lit(0)).alias("at"), "doc_id", "text")).alias("first"))
     return written(sample.union(first.select("lang", "first.doc_id", "first.text")), "sample")
 
 
