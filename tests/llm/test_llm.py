@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pointlab.llm import bpe, components, cws, encoder, golay, langid, licenses, linededup, minhash, mixing, queries, sharding, simhash, tokencount, vptree
+from pointlab.llm import bpe, components, cws, encoder, golay, langid, licenses, linededup, mixing, queries, sharding, simhash, tokencount, vptree
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SF_DIR = "/root/testdata/sf0.001"
@@ -470,6 +470,11 @@ def test_every_labelled_language_has_a_model(spark):
     assert all(r.lang == r.lang_pred and not r.rejected for r in langid.identify(new, own).collect())
 
 
+def test_the_sample_is_not_dealt_by_language(spark, some_docs):
+    plan = langid.sample_of(some_docs)._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_held_out_accuracy(some_docs, models):
     got = langid.identify(some_docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 == 2), models).where("lang is not null").collect()
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
@@ -588,42 +593,44 @@ def test_stages_against_brute_force(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, near, "").collect()) == [4, 7]
 
 
-def edited(rng, words, n):
-    """``words`` with n of them replaced, far enough apart that each changes five shingles."""
-    out = list(words)
-    for k in range(n):
-        out[10 + k * ((len(words) - 20) // n)] = f"new{rng.randrange(10**9)}"
-    return out
-
-
-@pytest.mark.parametrize("rounds", [0, 1, 3])
-def test_near_copies_are_five_word_shingles_at_eight_tenths(spark, monkeypatch, rounds):
-    rng, rows, planted = random.Random(31), [], Counter()
-    monkeypatch.setattr(minhash.staying, "__defaults__", (rounds,))
-    for i in range(150):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([100, 200, 400]))]
-        n = len(words) * rng.choice([1, 2, 3, 4]) // 100
-        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(edited(rng, words, n)))]
-    # Spread groups, of which pairs lie on either side of the bound; and texts that one shingle dominates.
-    for g in range(3):
-        base = [f"g{g}x{k}" for k in range(200)]
-        rows += [(10**6 + 1000 * g + k, " ".join(edited(rng, base, rng.randrange(1, 8)))) for k in range(40)]
-    rows += [(10**7 + k, "cell " * 300 + " ".join(f"d{k}x{j}" for j in range(100))) for k in range(5)]
-    rng.shuffle(rows)
-    rows += [rows[0], (None, rows[1][1])]
-    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows if i is not None}
-    like = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
-    stay = []
-    for i in sorted(sets):
-        if not any(like(i, j) >= 0.8 for j in stay if abs(i - j) < 1000):
-            stay.append(i)
-    assert 200 < len(stay) < len(sets) - 100
-    got = [r.doc_id for r in corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
-    assert None not in got and len(got) == len(set(got))
-    # Whatever goes has a near copy that stays; of pairs at 0.8 or more next to none is missed.
-    assert all(any(like(i, j) >= 0.8 for j in got if abs(i - j) < 1000) for i in set(sets) - set(got))
-    assert len(set(got) ^ set(stay)) <= 3
-    assert all(10**7 + k in got for k in range(5))
+def test_near_copies_stage_is_the_simhash_operator(spark, some_docs):
+    rng = random.Random(31)
+    rows = [(r.doc_id, r.text) for r in some_docs.collect()]
+    for i in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        rows.append((10**6 + 2 * i, " ".join(words)))
+        words[150] = "other"
+        rows.append((10**6 + 2 * i + 1, " ".join(words)))
+    rows += [rows[0], (None, rows[1][1]), (None, "an own text without an id"), (None, None)]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, made, "").collect()]
+    fps = [brute.simhash(t) for _, t in rows]
+    group = brute.components(sorted(set(fps)), lambda a, b: (a ^ b).bit_count() <= 3)
+    assert len(got) == len(set(group.values()))
+    least = {}
+    for (i, _), f in zip(rows, fps):
+        key = (i is None, i or 0)
+        least[group[f]] = min(least.get(group[f], key), key)
+    assert Counter((i is None, i or 0) for i, _ in got) == Counter(least.values())
+
+
+def test_line_dedup_equals_its_sql_on_repeated_rows(spark):
+    import duckdb
+
+    block = "\n".join(f"line {k} of a block" for k in range(6))
+    own = "one\ntwo\nthree\nfour"
+    rows = [(1, block), (1, block), (2, own), (2, own), (2, own), (3, "first\n" + block), (4, "a\nb"), (4, "a\nb"), (5, "\n\n\n"), (5, "\n\n\n"), (None, own + "\nlast"), (None, own + "\nlast")]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", made.toPandas().astype({"doc_id": "Int64"}))
+    expected = Counter(con.sql(linededup.ORACLE).select("doc_id", "text", "lines_removed").fetchall())
+    got = Counter(tuple(r) for r in linededup.dedup_lines(made).select("doc_id", "text", "lines_removed").collect())
+    assert got == expected == Counter((i, t, n) for (i, _), (t, n) in zip(rows, brute.line_dedup(rows)))
+    # Rows that differ in a further column only: one of them is the first.
+    tagged = spark.createDataFrame([(1, block, t) for t in "abc"], "doc_id long, text string, tag string")
+    assert sorted(r.lines_removed for r in linededup.dedup_lines(tagged).collect()) == [0, 6, 6]
+    many = made.where("doc_id = 1").limit(1).crossJoin(spark.range(25_000).select()).repartition(4)
+    assert Counter(r.lines_removed for r in linededup.dedup_lines(many).collect()) == {0: 1, 6: 24_999}
 
 
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
