@@ -9,9 +9,9 @@ spans of B. A token whose span is not as long as its decoded bytes, as for parts
 for byte-fallback pieces, ends where the decoded bytes end. In plain ASCII the span of a token is its
 length, so the ids are enough there.
 
-Neither vocabulary has a token across a single space between two visible characters (B is looked
-through for such pieces), so a text may be cut there. Each different piece of a block of texts is
-encoded once. A text of which a piece does not decode to itself is tried again as a whole; if it does not
+Neither vocabulary has a token across the place before a single space or new line between two visible
+characters (B is looked through for such pieces), so a text may be cut there. Each different piece of a block
+of texts is encoded once. A text of which a piece does not decode to itself is tried again as a whole; if it does not
 decode to itself either, it has no tokens.
 
 Texts are worked through in blocks of about ``BLOCK_BYTES``; a block lists its different pairs once, with
@@ -27,16 +27,17 @@ n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 import os
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +46,13 @@ from pointlab.llm.encoder import LONG_RUN, encoder
 from pointlab.llm.shared import text_or_empty, written
 from pointlab.llm.tokencount import even_batches
 
-BLOCK_BYTES = 8 << 20
-CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+BLOCK_BYTES = 12 << 20
+CUT = re.compile(r"(?<=[!-~\w])(?=[ \n][!-~\w])")
+# A text without these and of printable characters is cut at every space and new line in it.
+TWO_BLANKS = ("  ", " \n", "\n ", "\n\n")
 VISIBLE = re.compile(r"[!-~\w]")
 TOGETHER = 4000  # pieces encoded in one call
+LEAD = " a"  # before pieces that begin with a new line
 SPACE = "▁"
 
 
@@ -60,16 +64,30 @@ class Tokens(NamedTuple):
 
 
 class Aligned(NamedTuple):
-    """For each piece: its groups as text, numbers of A tokens, B tokens and groups, and its links from
-    ``first`` on in ``pairs``."""
+    """For each piece: its groups as text, numbers of A tokens, B tokens, groups and links, and where its links
+    begin in ``pairs``."""
 
     groups: list[str]
     n_a: np.ndarray
     n_b: np.ndarray
     n_groups: np.ndarray
+    n_links: np.ndarray
     first: np.ndarray
     pairs: np.ndarray
 
+    @staticmethod
+    def joined(parts: list[Aligned], order: np.ndarray) -> Aligned:
+        """The pieces of all parts, in another order; each piece has its place in ``order``."""
+        held = np.array([len(p.pairs) for p in parts])
+        at = np.argsort(order)
+        numbers = [np.concatenate(x)[at] for x in list(zip(*parts))[1:5]]
+        first = np.concatenate([p.first + before for p, before in zip(parts, np.cumsum(held) - held)])[at]
+        groups = [x for p in parts for x in p.groups]
+        return Aligned(list(map(groups.__getitem__, at.tolist())), *numbers, first, np.concatenate([p.pairs for p in parts]))
+
+
+NOTHING = Aligned([""], *[np.zeros(1, np.int64)] * 5, np.zeros(0, np.int64))
+
 
 def refined(ids: np.ndarray, begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Byte offsets of token ends: those of the spans, or of the decoded bytes where a span has another length."""
@@ -77,6 +95,21 @@ def refined(ids: np.ndarray, begins: np.ndarray, ends: np.ndarray, sizes: np.nda
     return np.where(ends - begins == sizes[ids], ends, decoded)
 
 
+def _spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of all entries of the ranges that begin at ``first``."""
+    start = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) - np.repeat(start - first, sizes)
+
+
+def is_plain(text: str) -> bool:
+    ends = text[:1] + text[-1:]
+    return bool(text) and " " not in ends and "\n" not in ends and text.replace("\n", " ").isprintable() and not any(x in text for x in TWO_BLANKS)
+
+
+def pairs_of(spans: list[tuple[int, int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(spans), np.int64, 2 * len(spans)).reshape(-1, 2)
+
+
 class Aligner:
     def __init__(self, a: str, b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -96,28 +129,48 @@ class Aligner:
             bytes([int(x[3:5], 16)]) if self.pieces.is_byte(i) else x.replace(SPACE, " ").encode() for i, x in enumerate(names)
         ]
         self.sizes_a, self.sizes_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
-        # A piece with a space behind something else would lie across a cut.
-        self.cuts = own.byte_level and not any(re.search(f"[^{SPACE}]{SPACE}", x) for x in names)
+        # Ids as text, followed by each of the separators.
+        wide = max(len(self.bytes_a), len(self.bytes_b))
+        self.wide, self.text = wide, [f"{i}{end}" for end in (",", "|", ";", "") for i in range(wide)]
+        # A piece with a space or a new line behind something else would lie across a cut.
+        self.cuts = own.byte_level and not any(re.search(f"[^{SPACE}]{SPACE}|\n", x) for x in names)
 
     def split(self, text: str) -> list[str]:
-        return CUT.split(text) if self.cuts else [text]
+        """Pieces of a space and ``text``; the space before a word goes without saying."""
+        pieces = CUT.split(" " + text) if self.cuts else [" " + text]
+        return [x[1:] if len(x) > 1 and x[0] == " " and VISIBLE.match(x[1]) else x for x in pieces]
+
+    def numbered(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The different pieces, the piece numbers of all texts one after the other, and how many each text has."""
+        plain = [self.cuts and is_plain(t) for t in texts]
+        lists = pc.split_pattern(pc.replace_substring(pa.array([t if own else None for t, own in zip(texts, plain)], pa.large_string()), "\n", " \n"), " ")
+        other = pa.array([self.split(t) if t and not own else None for t, own in zip(texts, plain)], pa.large_list(pa.large_string()))
+        sizes = [pc.fill_null(pc.list_value_length(x), 0).to_numpy() for x in (lists, other)]
+        coded = pa.concat_arrays([pc.list_flatten(x).cast(pa.large_string()) for x in (lists, other)]).dictionary_encode()
+        numbers = coded.indices.to_numpy().astype(np.int64)
+        # Every text has pieces in one of the two.
+        first = [np.cumsum(n) - n for n in sizes]
+        starts = np.where(sizes[0] > 0, first[0], first[1] + sizes[0].sum())
+        held = sizes[0] + sizes[1]
+        return coded.dictionary.to_pylist(), numbers[_spread(starts, held)], held
 
     def tokens(self, text: str, data: bytes) -> tuple[Tokens, Tokens] | None:
-        """A and B of a space and ``text``, ``data`` as bytes; None if one does not decode to that."""
+        """A and B of a text that begins with a space, ``data`` as bytes; None if one does not decode to that."""
         if text.isascii() and self.fast is not None and not LONG_RUN.search(text):
-            a = self.fast.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64)
+            a = self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
             ends_a = np.cumsum(self.sizes_a[a])
-            b = self.pieces.encode_as_numpy(text).astype(np.int64)
+            b = self.pieces.encode_as_numpy(text[1:]).astype(np.int64)
             ends_b = np.cumsum(self.sizes_b[b])
         else:
-            found = self.tokenizer.encode(" " + text, add_special_tokens=False)
+            found = self.tokenizer.encode(text, add_special_tokens=False)
             a = np.array(found.ids, np.int64)
-            at = np.concatenate(([0], np.cumsum([len(c.encode()) for c in " " + text])))  # byte offset of each character
-            spans = at[np.array(found.offsets, np.int64).reshape(-1, 2)]
+            codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            at = np.concatenate(([0], np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF))))  # byte offset of each character
+            spans = at[pairs_of(found.offsets)]
             ends_a = refined(a, spans[:, 0], spans[:, 1], self.sizes_a)
-            other = self.pieces.encode_as_offset_mapping(text)
+            other = self.pieces.encode_as_offset_mapping(text[1:])
             b = np.array(other["ids"], np.int64)
-            spans = np.array(other["offsets"], np.int64).reshape(-1, 2) + 1
+            spans = pairs_of(other["offsets"]) + 1
             spans[0, 0] -= 1  # the space before the text
             spans = at[spans]
             ends_b = refined(b, spans[:, 0], spans[:, 1], self.sizes_b)
@@ -125,85 +178,90 @@ class Aligner:
             return None
         return Tokens(a, ends_a), Tokens(b, ends_b)
 
-    def together(self, pieces: list[str]) -> Iterator[list[str]]:
-        """Pieces that may be joined by spaces: plain ones with plain ones, as both ends are visible."""
-        groups: dict[bool, list[str]] = {True: [], False: []}
-        for piece in pieces:
-            if not (self.cuts and VISIBLE.match(piece[0]) and VISIBLE.match(piece[-1])) or len(piece) > 1000:
-                yield [piece]
+    def together(self, pieces: list[str]) -> Iterator[list[int]]:
+        """Numbers of pieces that may be put together: plain ones with plain ones, as both ends are visible."""
+        groups: dict[bool, list[int]] = {True: [], False: []}
+        for i, piece in enumerate(pieces):
+            last = piece[-1]
+            if not self.cuts or piece[0] == " " or len(piece) > 1000 or last == " " or not last.isprintable():
+                yield [i]
                 continue
             group = groups[piece.isascii()]
-            group.append(piece)
+            group.append(i)
             if len(group) == TOGETHER:
                 yield group.copy()
                 group.clear()
         yield from filter(None, groups.values())
 
-    def align(self, pieces: list[str]) -> dict[str, tuple]:
-        """piece: (groups, A tokens, B tokens, number of groups, links), or None if it does not decode to itself."""
-        out: dict[str, tuple | None] = {}
+    def align(self, pieces: list[str]) -> tuple[Aligned, set[int]]:
+        """All pieces, and the numbers of those that do not decode to themselves."""
+        parts, order, bad = [], [], set()
         todo = list(self.together(pieces))
         while todo:
             some = todo.pop()
-            own = self._aligned(some)
-            if own is not None:
-                out.update(own)
-            elif len(some) == 1:
-                out[some[0]] = None
-            else:
+            own = self._aligned([pieces[i] for i in some])
+            if own is None and len(some) > 1:
                 todo += [some[: len(some) // 2], some[len(some) // 2 :]]
-        return out
-
-    def _aligned(self, pieces: list[str]) -> Iterator[tuple[str, tuple]] | None:
-        text = " ".join(pieces)
-        data = (" " + text).encode()
+                continue
+            if own is None:
+                bad.add(some[0])
+            parts.append(own or NOTHING)
+            order += some
+        return Aligned.joined(parts or [NOTHING], np.array(order or [0])), bad
+
+    def _aligned(self, pieces: list[str]) -> Aligned | None:
+        led = [x if x[0] in " \n" else " " + x for x in pieces]
+        lead = led[0][0] != " "
+        if lead:
+            led.insert(0, LEAD)
+        text = "".join(led)
+        data = text.encode()
         found = self.tokens(text, data)
         if found is None:
             return None
         (a, ends_a), (b, ends_b) = found
-        ends = np.cumsum([len(x.encode()) + 1 for x in pieces])
+        sizes = map(len, led) if len(data) == len(text) else (len(x.encode()) for x in led)
+        ends = np.cumsum(np.fromiter(sizes, np.int64, len(led)))
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         if len(np.intersect1d(ends, common, assume_unique=True)) < len(ends):
             return None
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
         piece_of = np.searchsorted(ends, common)
-        number = lambda x: np.bincount(x, minlength=len(pieces))
-        n_a, n_b, n_groups = number(piece_of[group_a]), number(piece_of[group_b]), number(piece_of)
+        number = lambda x: np.bincount(x, minlength=len(led))
+        of_a, of_b = piece_of[group_a], piece_of[group_b]
+        n_a, n_b = number(of_a), number(of_b)
         first_a, first_b = (np.concatenate(([0], np.cumsum(np.bincount(g, minlength=len(common))))) for g in (group_a, group_b))
         times = np.diff(first_b)[group_a]
         within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         pairs = np.repeat(a, times) << 32 | b[np.repeat(first_b[group_a], times) + within]
-        links = number(np.repeat(piece_of[group_a], times))
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        fa, fb = first_a.tolist(), first_b.tolist()
-        groups = [
-            f"{text_a[i]}|{text_b[k]}" if j - i == 1 == m - k else f"{','.join(text_a[i:j])}|{','.join(text_b[k:m])}"
-            for i, j, k, m in zip(fa, fa[1:], fb, fb[1:])
-        ]
-        last = np.cumsum(n_groups).tolist()
-        whole = [groups[j - n] if n == 1 else ";".join(groups[j - n : j]) for j, n in zip(last, n_groups.tolist())]
-        return zip(pieces, zip(whole, n_a.tolist(), n_b.tolist(), n_groups.tolist(), np.split(pairs, np.cumsum(links)[:-1])))
-
-    def block(self, texts: list[str]) -> tuple[list[list[int]], Aligned]:
-        """Numbers of the pieces of each text, and the pieces."""
-        index: dict[str, int] = defaultdict(count().__next__)
-        numbers = [list(map(index.__getitem__, self.split(t))) if t else [] for t in texts]
-        found = self.align(list(index))
-        bad = {index[x] for x, own in found.items() if own is None}
-        if bad:  # the whole text decides
-            for i, own in enumerate(numbers):
-                if len(own) > 1 and not bad.isdisjoint(own):
-                    again = self._aligned([texts[i]])
-                    numbers[i] = [] if again is None else [index[texts[i]]]
-                    found |= dict(again or ())
-                elif own and own[0] in bad:
-                    numbers[i] = []
-        none = ("", 0, 0, 0, np.zeros(0, np.int64))
-        rows = [found[x] or none for x in index]
-        groups, n_a, n_b, n_groups, pairs = zip(*rows) if rows else ((), (), (), (), ())
-        first = np.concatenate(([0], np.cumsum(np.fromiter(map(len, pairs), np.int64, len(pairs)))))
-        flat = np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
-        return numbers, Aligned(list(groups), *(np.array(x, np.int64) for x in (n_a, n_b, n_groups)), first, flat)
+        n_links = number(np.repeat(of_a, times))
+        # A tokens of a group, then its B tokens; what follows each is a comma, a bar, a semicolon or the end of a piece.
+        flat = np.empty(len(a) + len(b), np.int64)
+        flat[np.arange(len(a)) + first_b[group_a]] = a + np.where(np.append(group_a[1:] != group_a[:-1], True), self.wide, 0)
+        last = np.append(group_b[1:] != group_b[:-1], True).astype(np.int64) + np.append(of_b[1:] != of_b[:-1], True)
+        flat[np.arange(len(b)) + first_a[group_b + 1]] = b + np.where(last, (last + 1) * self.wide, 0)
+        texts = list(map(self.text.__getitem__, flat.tolist()))
+        cuts = [0, *np.cumsum(n_a + n_b).tolist()]
+        groups = ["".join(texts[i:j]) for i, j in zip(cuts, cuts[1:])]
+        found = Aligned(groups, n_a, n_b, number(piece_of), n_links, np.cumsum(n_links) - n_links, pairs)
+        return Aligned(*[x[1:] for x in found[:-1]], pairs) if lead else found
+
+    def block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, Aligned]:
+        """Numbers of the pieces of all texts, how many each has, and the pieces."""
+        pieces, numbers, sizes = self.numbered(texts)
+        found, bad = self.align(pieces)
+        if not bad:
+            return numbers, sizes, found
+        # The whole text decides: it is one piece, or there is none.
+        wholes, each = [found], np.split(numbers, np.cumsum(sizes)[:-1])
+        for i in [i for i, own in enumerate(each) if not bad.isdisjoint(own.tolist())]:
+            again = self._aligned([" " + texts[i]]) if sizes[i] > 1 else None
+            each[i] = np.zeros(0, np.int64)
+            if again is not None:
+                each[i] = np.array([len(found.groups) + len(wholes) - 1])
+                wholes.append(again)
+        joined = Aligned.joined(wholes, np.arange(len(found.groups) + len(wholes) - 1))
+        return np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each)), joined
 
 
 @functools.cache
@@ -212,26 +270,21 @@ def aligner(a: str, b: str) -> Aligner:
     return Aligner(a, b)
 
 
-def _spread(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all entries of the ranges ``which`` (from ``first[i]`` to ``first[i + 1]``), and their numbers."""
-    sizes = np.diff(first)[which]
-    start = np.cumsum(sizes) - sizes
-    return np.arange(sizes.sum()) - np.repeat(start - first[which], sizes), sizes
-
-
 def block_rows(own: Aligner, ids: pa.Array, texts: list[str], block: int) -> tuple[dict, dict]:
     """Columns of the documents of a block, and of its list of pairs."""
-    numbers, pieces = own.block(texts)
-    sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
-    flat = np.fromiter((x for n in numbers for x in n), np.int64, sizes.sum())
+    flat, sizes, pieces = own.block(texts)
     doc = np.repeat(np.arange(len(texts)), sizes)
     total = lambda per_piece: np.bincount(doc, weights=per_piece[flat], minlength=len(texts)).astype(np.int64)
-    hashes = [hashlib.sha256(";".join(map(pieces.groups.__getitem__, n)).encode()).hexdigest() if n else "" for n in numbers]
+    cuts, numbers = [0, *np.cumsum(sizes).tolist()], flat.tolist()
+    hashes = [
+        hashlib.sha256(";".join(map(pieces.groups.__getitem__, numbers[i:j])).encode()).hexdigest() if j > i else "" for i, j in zip(cuts, cuts[1:])
+    ]
     # Pieces of a document, then pairs of a document, with how often each occurs in it.
     wide = max(len(pieces.groups), 1)
     once, often = np.unique(doc * wide + flat, return_counts=True)
     pairs, local = np.unique(pieces.pairs, return_inverse=True)
-    where, repeat = _spread(pieces.first, once % wide)
+    repeat = pieces.n_links[once % wide]
+    where = _spread(pieces.first[once % wide], repeat)
     wide_pairs = max(len(pairs), 1)
     keys, at = np.unique(np.repeat(once // wide, repeat) * wide_pairs + local[where], return_inverse=True)
     times = np.bincount(at, weights=np.repeat(often, repeat), minlength=len(keys)).astype(np.int32)
@@ -243,7 +296,7 @@ def block_rows(own: Aligner, ids: pa.Array, texts: list[str], block: int) -> tup
     listed = lambda x: pa.ListArray.from_arrays(starts, pa.array(x.astype(np.int32)))
     docs = {
         "doc_id": ids, "n_a": total(pieces.n_a), "n_b": total(pieces.n_b), "n_groups": total(pieces.n_groups),
-        "n_links": total(np.diff(pieces.first)), "groups_sha256": hashes, "steps": listed(steps), "times": listed(times),
+        "n_links": total(pieces.n_links), "groups_sha256": hashes, "steps": listed(steps), "times": listed(times),
     }
     in_docs = np.bincount(pair, minlength=len(pairs))
     return docs, {"block": np.full(len(pairs), block), "at": np.arange(len(pairs), dtype=np.int32), "pair": pairs, "docs": in_docs.astype(np.int32)}
@@ -263,6 +316,8 @@ def blocks(docs: DataFrame, a: str, b: str, block_bytes: int) -> DataFrame:
                 [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in schema], schema=schema
             )
 
+        gc.freeze()
+        gc.disable()  # millions of small objects without cycles
         for number, (ids, texts) in enumerate(_joined(batches, block_bytes)):
             if schema is None:
                 types = [pa.int64(), ids.type, *[pa.int64()] * 4, pa.string(), *[pa.list_(pa.int32())] * 2, pa.int32(), pa.int64(), pa.int32()]

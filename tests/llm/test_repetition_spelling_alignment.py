@@ -197,6 +197,6 @@ def test_plain_lengths_are_the_spans():
     text = "Plain words, with 'quotes' and (brackets) {x+=1}; 3.14\nnew line\ttab end"
     found = own.tokenizer.encode(" " + text, add_special_tokens=False)
     other = own.pieces.encode_as_offset_mapping(text)
-    a, b = own.tokens(text, (" " + text).encode())
+    a, b = own.tokens(" " + text, (" " + text).encode())
     assert a.ids.tolist() == found.ids and a.ends.tolist() == [e for _, e in found.offsets]
     assert b.ids.tolist() == other["ids"] and b.ends.tolist() == [e + 1 for _, e in other["offsets"]]
