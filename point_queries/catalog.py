@@ -600,6 +600,9 @@ def speedup_table(spark, sf_dir):
     return taskmetrics.speedup_table(runs)
 
 
+from point_queries import spatial  # noqa: E402,F401  (registers its queries)
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

@@ -64,3 +64,11 @@ def staged_buckets(spark: SparkSession, sf_dir: str) -> str:
     for split in SPLITS:
         write_points(bucketed.where(F.col("split") == split).drop("split"), f"{path}/{split}", partition_by=["bucket"])
     return path
+
+
+def crowded_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points with x, y, z, of which every third lies in one corner of less than a unit."""
+    x, y, z = (F.get("xyz", i) for i in range(3))
+    hot = F.col("point_id") % 3 == 0
+    place = [F.when(hot, start + c / by).otherwise(c) for c, start, by in ((x, 500.25, 1e6), (y, 500.25, 1e7), (z, 1.0, 1e4))]
+    return points_view(spark, sf_dir).withColumns({"x": place[0], "y": place[1], "z": place[2]}).drop("xyz")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings for large scans, as the published runs have them. 256 MB input splits keep the
 # number of tasks over many terabytes down, 128 MB shuffle partitions fit a task's memory several times,
@@ -60,11 +60,19 @@ def session_builder(app_name: str, *, cores: int | None = None, object_store: bo
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``, or else one in the warehouse,
-    which every executor reaches too."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    In local mode, where one machine is all there is, an unset folder is one in the warehouse; a cluster has
+    to name one, as the warehouse may be a folder of the driver's machine.
+    """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+    if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return root.rstrip("/")
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -84,3 +92,11 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete what was written to a scratch path."""
     files, target = _file_system(spark, path)
     files.delete(target, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, as a table in the shared folder, which outlives lost executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
