@@ -600,7 +600,7 @@ def speedup_table(spark, sf_dir):
     return taskmetrics.speedup_table(runs)
 
 
-from point_queries import spatial  # noqa: E402,F401  (registers its queries)
+from point_queries import estimates, spatial  # noqa: E402,F401  (they register their queries)
 
 
 def queries() -> dict[str, Query]:
