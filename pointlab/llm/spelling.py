@@ -3,14 +3,17 @@
 Words are runs of letters with A-Z in lower case, counted over all texts. The words form a trie that is a table of
 edges: its nodes are the beginnings where words part or end, an edge carries the letters up to the next
 node. Search states (word, position, node, edits) start at the root, all words at once, and are joined with
-the edges level by level: without an edit so far a state follows every edge that the word matches with at
-most one inserted, deleted or replaced letter, with one edit only the edge it matches exactly. A state
-at the end of its word and of another one, with one edit, makes both neighbours.
+the edges level by level: without an edit so far a state follows the edge that the word matches, every edge that
+it matches with one letter replaced by a larger one, and those that it matches with one letter deleted; with one
+edit only the edge it matches exactly. A state at the end of its word and of another one, with one edit, makes
+both neighbours. An inserted letter is a deleted one seen from the other word, and a smaller letter a larger one, so
+each pair is found from one side.
 
 A node is named by a 64-bit hash of its beginning. Beginnings that share a name would share edges: no
-neighbour is lost by it, and pairs are verified at the end. The edges of a node are one row (at most one
-for each letter), so that a join with the edges has one row a key on that side and adaptive execution can
-split what is hot, such as the root, where all words start. States that cannot go on are not made: the
+neighbour is lost by it, and pairs are verified at the end. States without an edit are joined with all edges of
+their node as one row (at most one edge for each letter), states with one edit with the edge of their next letter, so
+both joins have one row a key on that side and adaptive execution can split what is hot, such as the root,
+where all words start. States that cannot go on are not made: the
 first letters behind each edge are known. There are as many levels as nodes on the longest way, not as
 letters in the longest word.
 
@@ -42,7 +45,6 @@ MIN_LETTERS = 6
 MIN_COUNT = 5
 RATIO = 5
 ROOT = 0
-STATE = "array<struct<node:long,position:int,edits:int,ends:struct<word:string,n:long>,next:string>>"
 
 
 def count_runs(docs: DataFrame, typo: int = TYPO) -> DataFrame:
@@ -102,8 +104,10 @@ def beginnings(words: DataFrame) -> DataFrame:
 
 
 def trie(words: DataFrame) -> DataFrame:
-    """node, edges: label (letters), child (node), ends (word and n of the word that ends there, or null), next (first
-    letters behind the child), for each node of the trie of ``words`` (word, n) that has edges."""
+    """node, letter, label, child, ends, next: the edges of the trie of ``words`` (word, n).
+
+    An edge has a label (letters, the first of which is ``letter``), a child (node), the word and n of the word that ends
+    there (or null) and the first letters behind the child."""
     all_ = written(beginnings(words), "beginnings")
     parts = all_.groupBy("node").agg(F.collect_set("after").alias("after"))
     nodes = written(
@@ -118,57 +122,66 @@ def trie(words: DataFrame) -> DataFrame:
     )
     edge = F.substring(F.col("word"), F.col("from") + 1, F.col("to.size") - F.col("from"))
     ends = F.when(F.col("to.size") == F.char_length("word"), F.struct("word", "n"))
-    edges = (
+    return (
         steps.select("node", edge.alias("label"), F.col("to.node").alias("child"), ends.alias("ends"), F.col("to.next").alias("next"))
         .groupBy("node", "label", "child").agg(F.first("ends", ignorenulls=True).alias("ends"), F.first("next").alias("next"))
+        .select("node", F.substring("label", 1, 1).alias("letter"), "label", "child", "ends", "next")
     )
-    return edges.groupBy("node").agg(F.collect_list(F.struct("label", "child", "ends", "next")).alias("edges"))
-
 
-def _follow(edge: Column, rest: Column, position: Column, edits: Column) -> Column:
-    """States at the end of an edge, from a word of which ``rest`` is left at ``position``."""
-    label = edge["label"]
-    size, left = F.char_length(label), F.char_length(rest)
 
-    def state(step: Column, edits: Column) -> Column:
-        return F.struct(
-            edge["child"].alias("node"), (position + step).alias("position"), edits.alias("edits"), edge["ends"].alias("ends"), edge["next"].alias("next")
-        )
+def _state(edge: Column, position: Column, edits: int) -> Column:
+    return F.struct(edge["child"].alias("node"), position.alias("position"), F.lit(edits).alias("edits"), edge["ends"].alias("ends"), edge["next"].alias("next"))
 
-    def one_edit(step: Column) -> Column:
-        return (edits == 0) & (left >= step) & (F.levenshtein(label, F.substring(rest, F.lit(1), step), 1) == 1)
 
+def _follow(edge: Column, rest: Column, position: Column) -> Column:
+    """States at the end of an edge, from a word without an edit so far of which ``rest`` is left at ``position``."""
+    label = edge["label"]
+    size, left, own = F.char_length(label), F.char_length(rest), F.substring(rest, F.lit(1), F.char_length(label))
+    # Of two texts of one length that differ by one letter, the larger one has the larger letter.
+    replaced = (left >= size) & (label > own) & ((size == 1) | (F.levenshtein(label, own, 1) == 1))
+    first = F.substring(label, 1, 1)
+    begins = (first == F.substring(rest, 1, 1)) | (first == F.substring(rest, 2, 1))
+    deleted = (left > size) & begins & (F.levenshtein(label, F.substring(rest, F.lit(1), size + 1), 1) == 1)
     return F.array(
-        F.when(F.startswith(rest, label), state(size, edits)),
-        *[F.when(one_edit(step), state(step, F.lit(1))) for step in (size, size - 1, size + 1)],
+        F.when(F.startswith(rest, label), _state(edge, position + size, 0)),
+        F.when(replaced, _state(edge, position + size, 1)),
+        F.when(deleted, _state(edge, position + size + 1, 1)),
     )
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """word, n, other, other_n: every two words (word, n) that differ by one letter, both ways round."""
     edges = written(trie(words), "trie")
+    nodes = written(edges.groupBy("node").agg(F.collect_list(F.struct("label", "child", "ends", "next")).alias("edges")), "nodes")
     states = words.select("word", "n", F.lit(ROOT).cast("long").alias("node"), F.lit(0).alias("position"), F.lit(0).alias("edits"))
+    rest = F.substring(F.col("word"), F.col("position") + 1, F.char_length("word"))
     pairs = None
     while True:
-        rest = F.substring(F.col("word"), F.col("position") + 1, F.char_length("word"))
-        reached = (
-            states.join(edges, "node").select("word", "n", F.explode("edges").alias("edge"), "position", "edits", rest.alias("rest"))
-            .where((F.col("edits") == 0) | F.startswith("rest", F.col("edge.label")))
-            .select("word", "n", F.explode(_follow(F.col("edge"), F.col("rest"), F.col("position"), F.col("edits"))).alias("s"))
+        plain, edited = states.where("edits = 0"), states.where("edits = 1")
+        branched = (
+            plain.join(nodes, "node").select("word", "n", F.explode("edges").alias("edge"), "position", rest.alias("rest"))
+            .select("word", "n", F.explode(_follow(F.col("edge"), F.col("rest"), F.col("position"))).alias("s"))
             .where("s is not null").select("word", "n", "s.*")
         )
+        followed = (
+            edited.select("word", "n", "node", "position", rest.alias("rest"), F.substring(rest, 1, 1).alias("letter"))
+            .join(edges, ["node", "letter"]).where(F.startswith("rest", "label"))
+            .select("word", "n", _state(F.struct("child", "ends", "next"), F.col("position") + F.char_length("label"), 1).alias("s")).select("word", "n", "s.*")
+        )
+        reached = branched.unionByName(followed)
         over = F.col("position") == F.char_length("word")
-        # A word that ends here goes on only by a letter more; others need an edge for their next letter.
+        # What goes on needs an edge for its next letter.
         ahead = F.instr(F.col("next"), F.substring(F.col("word"), F.col("position") + 1, F.lit(1))) > 0
-        goes_on = (F.col("next") != "") & ((F.col("edits") == 0) | (~over & ahead))
         found = over & (F.col("edits") == 1) & F.col("ends").isNotNull()
-        level = written(reached.where(goes_on | found), "frontier")
+        level = written(reached.where(found | (~over & ahead)), "frontier")
         new = level.where(found).select("word", "n", F.col("ends.word").alias("other"), F.col("ends.n").alias("other_n"))
-        pairs = new if pairs is None else pairs.union(new)
-        states = level.where(goes_on).select("word", "n", "node", "position", "edits").distinct()
+        pairs = new if pairs is None else pairs.unionByName(new)
+        states = level.where(~over).select("word", "n", "node", "position", "edits")
         if states.isEmpty():
             break
-    return pairs.where(F.levenshtein("word", "other", 1) == 1).groupBy("word", "other").agg(F.first("n").alias("n"), F.first("other_n").alias("other_n"))
+    both = pairs.unionByName(pairs.select(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n")))
+    # A pair may be found on several ways, as where one of two equal letters is deleted.
+    return both.where(F.levenshtein("word", "other", 1) == 1).groupBy("word", "other").agg(F.first("n").alias("n"), F.first("other_n").alias("other_n"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
