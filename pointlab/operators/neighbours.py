@@ -65,16 +65,19 @@ def grid_of(nodes: DataFrame, finest: float, crowd: int) -> Grid | None:
 
 def start_levels(nodes: DataFrame, grid: Grid, crowd: int) -> dict[int, DataFrame]:
     """Places by the level at which their search begins: crowded cells are split until they are not, or are the smallest."""
-    found, pending, level = {}, nodes, grid.start
+    found, pending, level, step = {}, nodes, grid.start, 1
     while level > 0:
-        full = pending.groupBy(*grid.cell(level)).agg(F.count(F.lit(1)).alias("places")).where(F.col("places") > crowd)
-        full = stored(full.drop("places"), "crowded")
-        if full.isEmpty():
+        full = stored(pending.groupBy(*grid.cell(level)).agg(F.count(F.lit(1)).alias("places")).where(F.col("places") > crowd), "crowded")
+        most = full.agg(F.max("places")).first()[0]
+        if most is None:
             break
+        full = full.drop("places")
         placed = pending.select("*", *grid.cell(level))
         found[level] = stored(placed.join(full, list(AXES), "left_anti").drop(*AXES), "places")
         pending = stored(placed.join(full, list(AXES), "left_semi").drop(*AXES), "places")
-        level -= 1
+        # As far down as the fullest cell needs at least, if its places lie evenly; farther where no cell was empty enough.
+        step = 2 * step if found[level].isEmpty() else 1
+        level = max(0, level - max(step, int(math.log(most / crowd, 8))))
     found[level] = pending
     return found
 
@@ -120,13 +123,11 @@ def nearest_distances(nodes: DataFrame, k: int, *, finest: float = FINEST, crowd
     if grid is None:
         return None
     starts = start_levels(nodes, grid, crowd)
-    done, waiting = [], None
-    for level in range(min(starts), grid.top + 1):
-        asks = starts.get(level)
+    done, waiting, level, step = [], None, min(starts), 1
+    while True:
+        asks = starts.pop(level, None)
         if waiting is not None:
             asks = waiting if asks is None else asks.unionByName(waiting)
-        if asks is None:
-            continue
         found = asks.join(_nearest(asks, nodes, grid, level, k, crowd), ["px", "py", "pz"], "left")
         inside = F.lit(level == grid.top) | F.coalesce((F.size("distances") >= k) & (F.get("distances", F.lit(k - 1)) <= grid.side(level)), F.lit(False))
         found = stored(found.withColumn("settled", inside), "nearest")
@@ -134,8 +135,13 @@ def nearest_distances(nodes: DataFrame, k: int, *, finest: float = FINEST, crowd
         waiting = found.where("not settled").drop("distances", "settled")
         if waiting.isEmpty():
             waiting = None
-            if level >= max(starts):
+            if not starts:
                 break
+            level = min(starts)
+            continue
+        # Where nothing was near enough, the next ring is wider by more.
+        step = 1 if not done[-1].isEmpty() else 2 * step
+        level = min([level + step, grid.top, *(x for x in starts if x > level)])
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
