@@ -77,7 +77,5 @@ def merge_sketches(sketches: DataFrame, by: Sequence[str] = ("Classification",))
 
 def sketched_quantiles(sketches: DataFrame, probabilities: Sequence[float], by: Sequence[str] = ("Classification",)) -> DataFrame:
     """by, column_name, probability, value as the sketches give them."""
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
-    return sketches.select(*by, "column_name", "sketch", wanted).select(
-        *by, "column_name", "probability", F.kll_sketch_get_quantile_double("sketch", F.col("probability")).alias("value")
-    )
+    each = [F.struct(F.lit(float(p)).alias("probability"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias("value")) for p in probabilities]
+    return sketches.select(*by, "column_name", F.explode(F.array(*each)).alias("found")).select(*by, "column_name", "found.*")
