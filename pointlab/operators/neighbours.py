@@ -15,7 +15,6 @@ from pointlab.session import stored
 
 AXES = ("x", "y", "z")
 FINEST = 0.001  # side of the smallest cells, in the unit of the coordinates
-CROWD = 64  # places in a cell beyond which it is split
 _AROUND = list(itertools.product((-1, 0, 1), repeat=3))
 
 
@@ -112,13 +111,19 @@ def _nearest(asks: DataFrame, nodes: DataFrame, grid: Grid, level: int, k: int,
     return near.groupBy("px", "py", "pz").agg(F.slice(each, 1, k).alias("distances"))
 
 
-def nearest_distances(nodes: DataFrame, k: int, *, finest: float = FINEST, crowd: int = CROWD) -> DataFrame | None:
+def crowd_for(k: int) -> int:
+    """Places in a cell beyond which it is split: enough that the cells around mostly hold the ``k`` nearest."""
+    return max(8, 2 * k)
+
+
+def nearest_distances(nodes: DataFrame, k: int, *, finest: float = FINEST, crowd: int | None = None) -> DataFrame | None:
     """px, py, pz, distances (to the ``k`` nearest points, smallest first; fewer if there are no more) for all places.
 
     Exact for any grid. A place looks through the 27 cells around it, so whatever lies within the side of a
     cell is found; if the k-th distance is larger, it goes on with cells of twice the side. Searches begin
     in small cells where points are dense, so that the number of places met stays about the same.
     """
+    crowd = crowd or crowd_for(k)
     grid = grid_of(nodes, finest, crowd)
     if grid is None:
         return None
@@ -149,7 +154,7 @@ def nearest_distances(nodes: DataFrame, k: int, *, finest: float = FINEST, crowd
 
 
 def neighbour_distance(df: DataFrame, k: int = 8, *, axes: Sequence[str] = AXES, name: str = "neighbour_distance",
-                       finest: float = FINEST, crowd: int = CROWD) -> DataFrame:
+                       finest: float = FINEST, crowd: int | None = None) -> DataFrame:
     """Add the mean distance from each point to its ``k`` nearest other points.
 
     Points at the same place are neighbours at distance 0; they are counted, and searched for once. NULL
@@ -167,7 +172,7 @@ def neighbour_distance(df: DataFrame, k: int = 8, *, axes: Sequence[str] = AXES,
 
 
 def drop_neighbour_outliers(df: DataFrame, k: int = 8, deviations: float = 3.0, *, axes: Sequence[str] = AXES,
-                            finest: float = FINEST, crowd: int = CROWD) -> DataFrame:
+                            finest: float = FINEST, crowd: int | None = None) -> DataFrame:
     """Points whose mean distance to their ``k`` nearest neighbours is at most ``deviations`` standard deviations
     above the mean of all; points without such a distance are left to the missing-value operators."""
     measured = stored(neighbour_distance(df, k, axes=axes, finest=finest, crowd=crowd), "measured")
