@@ -31,7 +31,7 @@ def placed(rows):
     return [r for r in rows if all(c is not None and math.isfinite(c) for c in r[1:])]
 
 
-@pytest.mark.parametrize("k, finest, crowd", [(5, 0.002, 8), (30, 0.5, 1000), (700, 1.0, 64)])
+@pytest.mark.parametrize("k, finest, crowd", [(5, 0.002, 8), (30, 0.5, 1000), (300, 50.0, 64)])
 def test_neighbour_distances_are_exact(spark, cloud, k, finest, crowd):
     own = placed(cloud)
     expected = {}
