@@ -31,7 +31,7 @@ def block_folds(df: DataFrame, folds: int, side: float, label: str = "Classifica
         F.col("leading").alias("of"), (F.sum("blocks").over(Window.partitionBy(F.lit(0)).orderBy("leading")) - F.col("blocks")).alias("start")
     )
     place = F.row_number().over(Window.partitionBy("leading").orderBy(F.desc("n"), "block_x", "block_y")) - 1
-    placed = blocks.withColumn("place", place).join(F.broadcast(starts), F.col("leading") == F.col("of"))
+    placed = blocks.withColumn("place", place).join(starts, F.col("leading") == F.col("of"))
     turn = F.pmod(F.col("place") + F.col("start"), F.lit(2 * folds))
     fold = F.when(turn < folds, turn).otherwise(2 * folds - 1 - turn)
     return placed.select("block_x", "block_y", fold.cast("int").alias("fold"))

@@ -49,11 +49,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         open_ = bounds.where("low < high")
         if open_.isEmpty():
             return found.select(*by, "column_name", "probability", F.col("low").alias("value"))
-        # A few rows a group; joined with the values by hash, not by range.
+        # One row for each quantile of a group; Spark sends it to all tasks if it is small.
         sought = open_.select(*[F.col(c).alias(f"of_{i}") for i, c in enumerate(by)], F.col("column_name").alias("of_column"), "probability", "low", "high", "rank")
         # Halves keep the width of the widest range finite.
         place = F.floor((F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * bins)
-        inside = values.join(F.broadcast(sought), _same_group(by)).where("v between low and high")
+        inside = values.join(sought, _same_group(by)).where("v between low and high")
         key = [*by, "column_name", "probability", "rank"]
         counted = inside.groupBy(*key, F.least(place, F.lit(bins - 1)).alias("bin")).agg(
             F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")

@@ -45,18 +45,18 @@ def class_estimate(spark: SparkSession, path: str, draws: int, label: str = "Cla
     file = F.col("_metadata.file_path")
     counted = points.where(file.isin(names)).groupBy(file.alias("of"), F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("y"))
     files = spark.createDataFrame([(r.path, int(r.draws), float(r.share)) for r in chosen], "path string, draws long, share double")
-    sizes = counted.groupBy("of").agg(F.sum("y").alias("n"))
-    classes = counted.select("label").distinct()
-    # A row for each drawn file and class, also where the class is absent: bounded by draws and classes.
-    every = files.join(sizes, F.col("path") == F.col("of"), "left").drop("of").select("path", "draws", "share", F.coalesce("n", F.lit(0)).alias("n"), F.lit(0).alias("one"))
-    grid = every.join(classes.withColumn("one", F.lit(0)), "one")
-    met = grid.join(counted.withColumnRenamed("label", "of_label"), (F.col("path") == F.col("of")) & F.col("label").eqNullSafe(F.col("of_label")), "left")
-    values = met.select("label", "draws", (F.coalesce("y", F.lit(0)) / F.col("share")).alias("y"), (F.col("n") / F.col("share")).alias("n"))
-    m = F.sum("draws")
-    sums = values.groupBy("label").agg(
-        m.alias("m"), (F.sum(F.col("draws") * F.col("y")) / m).alias("count"), (F.sum(F.col("draws") * F.col("n")) / m).alias("all"),
-        *[F.sum(F.col("draws") * F.col(a) * F.col(b)).alias(f"{a}{b}") for a, b in ("yy", "yn", "nn")],
+    drawn = counted.join(files, F.col("path") == F.col("of"))
+    # What all draws have in common is one row; a class that a file does not hold adds nothing to the sums of its own.
+    weight = F.col("draws") * F.col("n") / F.col("share")
+    whole = drawn.groupBy("path", "draws", "share").agg(F.sum("y").alias("n")).agg(
+        F.struct((F.sum(weight) / draws).alias("all"), F.sum(weight * F.col("n") / F.col("share")).alias("nn"))
     )
+    y, n = F.col("y") / F.col("share"), F.sum("y").over(Window.partitionBy("path")) / F.col("share")
+    values = drawn.select("label", "draws", y.alias("y"), n.alias("n"))
+    common = whole.scalar()
+    sums = values.groupBy("label").agg(
+        (F.sum(F.col("draws") * F.col("y")) / draws).alias("count"), *[F.sum(F.col("draws") * F.col("y") * F.col(c)).alias(f"y{c}") for c in ("y", "n")]
+    ).withColumns({"m": F.lit(draws), "all": common["all"], "nn": common["nn"]})
     share = F.col("count") / F.col("all")
     spread = F.greatest(F.lit(0.0), F.col("yy") - F.col("m") * F.col("count") * F.col("count"))
     residual = F.greatest(F.lit(0.0), F.col("yy") - 2 * share * F.col("yn") + share * share * F.col("nn"))

@@ -13,7 +13,7 @@ from point_queries import catalog
 DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 # What fits a model runs Spark's own Python-side algorithms before the plan is made.
-MODELS = {"label_index", "rf_predict_counts", "model_round_trip", "holdout_search", "test_score", "cv_search", "sampled_features"}
+MODELS = {"label_index", "rf_predict_counts", "model_round_trip", "holdout_search", "test_score", "cv_search", "sampled_features", "halving_search"}
 TABLES = os.environ.get("CHECK_SF_DIR", SF_DIR)
 
 
