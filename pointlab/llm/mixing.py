@@ -5,28 +5,35 @@ source. The running sum of expected copies over an ordered source, shifted by on
 source, crosses integers; a document is emitted once per integer that it crosses. Documents are
 ordered by size class first, so that the words taken follow the target closely.
 
-The running sum is the rank times the expected copies. Ranks are made in two levels, so that a source
-may hold any share of the rows: counts of small buckets are summed up per source, and rows are
-ranked inside their bucket only.
+The running sum is the rank times the expected copies. Ranks are made in levels, so that a source may
+hold any share of the rows: counts of buckets are summed up per source, counts of sizes and further
+digits per bucket, and only inside those are documents ranked. Rows that agree in source, size and
+doc_id are one document with a count there, so neither ids that repeat nor missing ones fill a task;
+where they differ in other columns, a hash of these deals them to parts that are counted in the same
+way. Whole rows are shuffled once, copies of one combined before.
 
 Rows whose source is null form a source of their own, the last one. Texts that are null or without
 words have size 0; a source without words has target 0 and emits nothing. Equal rows are ranked one
 after the other, so each may be taken. Input columns that carry the name of a result column are
-replaced; other columns are kept. An empty table gives an empty result.
+replaced; other columns are kept, of any type that Spark hashes. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pointlab.llm.shared import WORD, text_or_empty
+from pointlab.llm.shared import WORD, text_or_empty, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5  # of all words
 LIMIT = 2.0  # copies of a source at most
 SEED = 7
 RESULTS = ("source_size", "target", "copies", "taken")
+KEY = ["source", "size", "doc_id"]
+PARTS = 256  # of rows that agree in KEY but not in other columns
+CHUNK = 4096  # copies of a row written out at once
 
 
 def word_count(text: str = "text") -> Column:
@@ -76,32 +83,79 @@ def source_targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, limit
     return level.select("source", "source_size", F.coalesce(capped, F.lit(0.0)).alias("target"))
 
 
-def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = SEED) -> DataFrame:
-    """``rows`` (doc_id, source, size, and any others) with source_size, target, copies and taken."""
-    kept = [c for c in rows.columns if c.lower() not in RESULTS]
-    keyed = (
-        rows.select(*kept)
-        .withColumn("__order", _order("doc_id", seed))
-        .withColumn("__class", _size_class())
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """``left`` with the further columns of ``right``; nulls of the keys are equal."""
+    other = right.select(*[F.col(k).alias(f"__of_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    return left.join(other, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys]).drop(*[f"__of_{k}" for k in keys])
+
+
+def _marked(column: Column, kind: T.DataType) -> list[Column]:
+    """What to hash of a column. Nulls leave a hash as it is, so they are marked."""
+    if isinstance(kind, T.StructType):
+        return [column.isNull()] + [x for f in kind.fields for x in _marked(column[f.name], f.dataType)]
+    nulls = F.to_json(column, {"ignoreNullFields": "false"}) if isinstance(kind, T.ArrayType) else column.isNull()
+    return [column, nulls]
+
+
+def _before(counts: DataFrame, inside: list[str], order: list[str], name: str) -> DataFrame:
+    """``name``: the sum of __n over earlier rows of the same ``inside``."""
+    return counts.withColumn(name, F.sum("__n").over(Window.partitionBy(*inside).orderBy(*order)) - F.col("__n"))
+
+
+def _starts(counts: DataFrame, seed: int) -> DataFrame:
+    """KEY and __start, the number of rows of the source before, for each document of ``counts`` (KEY, __n)."""
+    documents = counts.groupBy(*KEY).agg(F.sum("__n").alias("__n")).withColumn("__order", _order("doc_id", seed))
+    placed = (
+        documents.withColumn("__class", _size_class())
         .withColumn("__bucket", F.substring("__order", 1, 1))
+        .withColumn("__digits", F.substring("__order", 2, 3))
     )
-    inside = ["source", "__class", "__bucket"]
-    running = Window.partitionBy("source").orderBy("__class", "__bucket")
+    coarse, fine = ["source", "__class", "__bucket"], ["source", "__class", "__bucket", "size", "__digits"]
+    fines = placed.groupBy(*fine).agg(F.sum("__n").alias("__n"))
     # Rows of one source in one task here are its buckets: at most 16 for each size class.
-    buckets = (
-        keyed.groupBy(*inside).agg(F.count(F.lit(1)).alias("__n"), F.sum("size").alias("size"))
-        .withColumn("__before", F.sum("__n").over(running) - F.col("__n"))
-    )
-    targets = source_targets(buckets.select("source", "size"), weights, share, limit).withColumnRenamed("source", "__source")
-    steps = buckets.join(targets, F.col("source").eqNullSafe(F.col("__source"))).select(
-        *[F.col(c).alias(f"__of{i}") for i, c in enumerate(inside)], "__before", "source_size", "target",
+    coarses = _before(fines.groupBy(*coarse).agg(F.sum("__n").alias("__n")), ["source"], ["__class", "__bucket"], "__a").drop("__n")
+    fines = _joined(_before(fines, coarse, ["size", "__digits"], "__b").drop("__n"), coarses, coarse)
+    ranked = _joined(_before(placed, fine, ["__order", "doc_id"], "__c"), fines, fine)
+    return ranked.select(*KEY, (F.col("__a") + F.col("__b") + F.col("__c")).alias("__start"))
+
+
+def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = SEED) -> DataFrame:
+    """``rows`` (doc_id, source, size, and any others) with source_size, target, copies and taken."""
+    kept = [c for c in rows.columns if c.lower() not in RESULTS]
+    others = [c for c in kept if c not in KEY]
+    # Two hashes name a row.
+    marked = [x for c in kept for x in _marked(F.col(c), rows.schema[c].dataType)]
+    name = {f"__h{i}": F.xxhash64(F.lit(i), *marked) for i in range(2)} if others else {}
+    named = rows.select(*KEY, *[h.alias(c) for c, h in name.items()], *([F.struct(*others).alias("__row")] if others else []))
+    counts = written(named.groupBy(*KEY, *name).agg(F.count(F.lit(1)).alias("__n")), "counts")
+    starts = _starts(counts, seed)
+    if others:
+        parts = counts.withColumn("__part", F.pmod("__h0", F.lit(PARTS)))
+        inside = [*KEY, "__part"]
+        sums = _before(parts.groupBy(*inside).agg(F.sum("__n").alias("__n")), KEY, ["__part"], "__d").drop("__n")
+        numbered = _joined(_before(parts, inside, [*name], "__e"), sums, inside)
+        starts = _joined(numbered, starts, KEY).withColumn("__start", F.col("__start") + F.col("__d") + F.col("__e"))
+    else:
+        starts = _joined(counts, starts, KEY)
+    sizes = counts.select("source", (F.col("size") * F.col("__n")).alias("size"))
+    targets = source_targets(sizes, weights, share, limit)
+    chunks = (
+        _joined(starts.select(*KEY, *name, "__start", "__n"), targets, ["source"])
+        .withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / CHUNK))))
+        .withColumn("__start", F.col("__start") + F.col("__chunk") * CHUNK)
+        .withColumn("__n", F.least(F.lit(CHUNK), F.col("__n") - F.col("__chunk") * CHUNK))
     )
-    joined = keyed.join(steps, [F.col(c).eqNullSafe(F.col(f"__of{i}")) for i, c in enumerate(inside)])
-    rank = F.col("__before") + F.row_number().over(Window.partitionBy(*inside).orderBy("size", "__order", "doc_id"))
+    if others:
+        whole = named.groupBy(*name).agg(F.first("__row").alias("__row"))
+        chunks = whole.join(chunks, [*name]).select("*", *[F.col("__row")[c].alias(c) for c in others])
+    else:  # the copies of one document are dealt to tasks by their chunk
+        chunks = chunks.repartition("doc_id", "size", "__chunk")
+    rank = F.col("__start") + F.col("__rank")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    crossed = F.floor(F.col("__rank") * F.col("__rate") + F.col("__u")) - F.floor((F.col("__rank") - 1) * F.col("__rate") + F.col("__u"))
+    crossed = F.floor(rank * F.col("__rate") + F.col("__u")) - F.floor((rank - 1) * F.col("__rate") + F.col("__u"))
     return (
-        joined.withColumn("__rank", rank).withColumn("__rate", rate).withColumn("__u", _offset("source", seed))
+        chunks.withColumn("__rate", rate).withColumn("__u", _offset("source", seed))
+        .withColumn("__rank", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
         .withColumn("copies", crossed.cast("int"))
         .withColumn("taken", F.col("copies") * F.col("size"))
         .select(*kept, *RESULTS)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointlab.llm import alignment, bpe, cws, langid, licenses, linededup, mixing, repetition, sharding, simhash, spelling, tokencount, vptree
-from pointlab.llm.shared import table, written
+from pointlab.llm.shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 OTHER_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -25,7 +25,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = written(docs.select("doc_id", "source", mixing.word_count().alias("size")), "sizes")
+    sized = docs.select("doc_id", "source", mixing.word_count().alias("size"))
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
