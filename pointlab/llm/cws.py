@@ -12,8 +12,9 @@ fingerprints, are shuffled, never words. The order of documents is made from a r
 table of ids, written once, with the first id of each partition passed on to the one before.
 
 Null texts count as empty. Texts without words have fingerprint zero in all positions and are alike
-(1.0) only to one another. Rows that repeat doc_id and text are one document in the order and are
-answered alike, each row once. A null doc_id comes last in descending order. The only document is its
+(1.0) only to one another. Rows that repeat doc_id and text are one document in the order, with a count
+made before its text is shuffled, and are answered alike, each row once. A null doc_id comes last in
+descending order, after every number. The only document is its
 own next. Extra columns are not read.
 """
 
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from pointlab.llm.shared import text_or_empty, written
 
 SAMPLES = 32
-NO_ID = -(2**63)
+KEY = ["no", "id", "t"]  # without an id, the id, a hash of the text
+CHUNK = 4096  # copies of a row written out at once
 STEP = 1 << 21
 
 
@@ -75,23 +77,26 @@ def hex_of(sig: Column) -> Column:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = text_or_empty()
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("t"), text.alias("text"))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(
+        doc_id.isNull().cast("int").alias("no"), F.coalesce(doc_id, F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("t"), text.alias("text")
+    )
 
 
 def following(docs: DataFrame) -> DataFrame:
-    """id, t, next_id, next_t, n_chars: every document and the next one in descending order of ids."""
-    order = [F.col("id").desc(), F.col("t").asc()]
-    ids = _keyed(docs).select("id", "t", F.char_length("text").cast("long").alias("n_chars")).distinct()
+    """KEY, next_no, next_id, next_t, n_chars: every document and the next one in descending order of ids."""
+    order = [F.col("no").asc(), F.col("id").desc(), F.col("t").asc()]
+    ids = _keyed(docs).select(*KEY, F.char_length("text").cast("long").alias("n_chars")).distinct()
     ranged = ids.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     ranged = written(ranged, "order")
     inside = Window.partitionBy("part").orderBy(*order)
-    placed = ranged.withColumn("next", F.lead(F.struct("id", "t")).over(inside)).withColumn("nth", F.row_number().over(inside))
+    placed = ranged.withColumn("next", F.lead(F.struct(*KEY)).over(inside)).withColumn("nth", F.row_number().over(inside))
     # One row for each partition of the range.
-    firsts = placed.where("nth = 1").select("part", F.struct("id", "t").alias("first"))
+    firsts = placed.where("nth = 1").select("part", F.struct(*KEY).alias("first"))
     parts = Window.partitionBy().orderBy("part")
     after = firsts.select("part", F.coalesce(F.lead("first").over(parts), F.first("first").over(parts)).alias("after"))
     return placed.join(after, "part").withColumn("next", F.coalesce("next", "after")).select(
-        "id", "t", "n_chars", F.col("next.id").alias("next_id"), F.col("next.t").alias("next_t")
+        *KEY, "n_chars", *[F.col("next")[c].alias(f"next_{c}") for c in KEY]
     )
 
 
@@ -99,21 +104,18 @@ def fingerprint_documents(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each
     row of ``docs``. The edited text has the last half of its characters replaced by the first
     characters, as many or all, of the next document."""
-    key = ["id", "t"]
+    key, nexts_key = KEY, [f"next_{c}" for c in KEY]
     order = written(following(docs), "following")
-    own = Window.partitionBy(*key)
-    texts = (
-        _keyed(docs).withColumn("copies", F.count(F.lit(1)).over(own))
-        .withColumn("again", F.lag(F.lit(1)).over(own.orderBy(F.lit(0)))).where("again is null").drop("again")
-    )
+    # Equal rows are combined before they are shuffled.
+    texts = _keyed(docs).groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    ends = texts.alias("x").join(order.alias("o"), (F.col("x.id") == F.col("o.next_id")) & (F.col("x.t") == F.col("o.next_t"))).select(
-        F.col("o.id").alias("id"), F.col("o.t").alias("t"), "n_chars", "next_id", "next_t", F.substring("text", F.lit(1), half).alias("end"),
+    ends = texts.alias("x").join(order.alias("o"), [F.col(f"x.{c}") == F.col(f"o.next_{c}") for c in key]).select(
+        *[F.col(f"o.{c}").alias(c) for c in key], "n_chars", *nexts_key, F.substring("text", F.lit(1), half).alias("end"),
     )
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), "end")
     pairs = texts.join(ends, key).withColumn("edited", edited).withColumn("sha", F.sha2("edited", 256))
     # What else is known of a document goes along as numbers, so that texts are put together once.
-    facts = {c: F.col(c).cast("string") for c in ("copies", "n_chars", "next_id", "next_t")}
+    facts = {c: F.col(c).cast("string") for c in ("copies", "n_chars", *nexts_key)}
     facts |= {f"sha{i}": F.conv(F.substring("sha", 16 * i + 1, 16), 16, -10) for i in range(4)}
     kinds = [F.col("text"), F.col("edited"), *facts.values()]
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), text.alias("text")) for k, text in enumerate(kinds)])
@@ -125,13 +127,15 @@ def fingerprint_documents(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     empty = F.array_repeat(F.lit(0).cast("long"), samples)
     sha = F.concat(*[F.lower(F.lpad(F.hex(f"sha{i}"), 16, "0")) for i in range(4)])
     known = written(wide.select(
-        *key, "copies", "n_chars", "next_id", "next_t", sha.alias("edited_sha256"),
+        *key, "copies", "n_chars", *nexts_key, sha.alias("edited_sha256"),
         F.coalesce("sig0", empty).alias("sig0"), F.coalesce("sig1", empty).alias("sig1"),
     ), "signatures")
-    nexts = known.select(F.col("id").alias("next_id"), F.col("t").alias("next_t"), F.col("sig0").alias("sig_next"))
-    rows = known.join(nexts, ["next_id", "next_t"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    nexts = known.select(*[F.col(c).alias(f"next_{c}") for c in key], F.col("sig0").alias("sig_next"))
+    chunks = known.join(nexts, nexts_key).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / CHUNK))))
+    left = F.least(F.lit(CHUNK), F.col("copies") - F.col("chunk") * CHUNK)
+    rows = chunks.withColumn("copy", F.explode(F.sequence(F.lit(1), left.cast("int"))))
     return rows.select(
-        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256",
+        F.when(F.col("no") == 0, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256",
         hex_of(F.col("sig0")).alias("fingerprint"), hex_of(F.col("sig1")).alias("edited_fingerprint"),
         likeness(F.col("sig0"), F.col("sig1"), samples).alias("near_edited"), likeness(F.col("sig0"), F.col("sig_next"), samples).alias("near_next"),
     )

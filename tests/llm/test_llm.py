@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import brute
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,13 @@ def some_docs(spark):
     return spark.read.parquet(f"{SF_DIR}/documents.parquet")
 
 
+def duckdb_rows(docs, sql, names):
+    """The SQL's rows over ``docs``."""
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    return con.sql(f"SELECT {', '.join(names)} FROM ({sql})").fetchall()
+
+
 def collect(df, *names):
     return [tuple(r[n] for n in names) for r in df.collect()]
 
@@ -228,6 +236,24 @@ def test_mixing_follows_targets(spark, odd_docs, no_docs):
     assert mixing.mix(no_docs.withColumn("size", mixing.word_count())).count() == 0
 
 
+def test_mixing_equals_its_sql_with_hot_ids(spark):
+    """Half of the rows have no id, many repeat one; copies of whole rows and rows that differ in other columns."""
+    rows = [(None if i % 2 else (7 if i % 5 == 0 else i), "w " * (i % 3), None, f"s{i % 2}" if i % 7 else None, i % 9) for i in range(6000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sized = docs.withColumn("size", mixing.word_count())
+    names = ("doc_id", "size", "source_size", "target", "taken")
+    expected = duckdb_rows(docs, mixing.ORACLE, names)
+    slim = mixing.mix(sized.select("doc_id", "source", "size"))
+    whole = mixing.mix(sized.select("doc_id", "source", "size", F.struct("text", "n_chars").alias("row")))
+    for got in (slim, whole):
+        assert Counter(collect(got, *names)) == Counter(expected)
+    kept = Counter((r.doc_id, r.row.text, r.source, r.row.n_chars) for r in whole.collect())
+    assert kept == Counter((i, t, s, n) for i, t, _, s, n in rows)
+    # A null in one column is not the same value in another.
+    two = spark.createDataFrame([(1, "s", 1, "x", None), (1, "s", 1, None, "x")], "doc_id long, source string, size long, a string, b string")
+    assert {(r.row.a, r.row.b) for r in mixing.mix(two.select("doc_id", "source", "size", F.struct("a", "b").alias("row"))).collect()} == {("x", None), (None, "x")}
+
+
 # Lines
 
 
@@ -534,6 +560,9 @@ def test_fingerprints(spark, odd_docs, no_docs):
         assert [r.fingerprint, r.edited_fingerprint] == prints[:2]
         alike = lambda a, b: sum(a[i : i + 8] == b[i : i + 8] for i in range(0, 64, 8)) / 8
         assert (r.near_edited, r.near_next) == (alike(prints[0], prints[1]), alike(prints[0], prints[2]))
+    least = spark.createDataFrame([(-(2**63), "a b"), (None, "c d"), (None, "c d"), (5, "e f")], "doc_id long, text string")
+    found = {r.doc_id: r.edited_sha256 for r in cws.fingerprint_documents(least).collect()}
+    assert found == {5: brute.sha(b"e a"), -(2**63): brute.sha(b"a c"), None: brute.sha(b"c e")}
     assert cws.fingerprint_documents(odd_docs).count() == odd_docs.count()
     assert cws.fingerprint_documents(no_docs).count() == 0
     assert cws.fingerprint_documents(docs.limit(1)).first().near_next == 1.0
