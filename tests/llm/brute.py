@@ -249,3 +249,15 @@ def alignments(texts, a_path, b_path):
         )
         for groups, links in rows
     ]
+
+
+def common(a, b) -> int:
+    """Length of the longest common subsequence."""
+    row, known = [0] * (len(b) + 1), set(b)
+    for x in a:
+        if x not in known:
+            continue
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1]

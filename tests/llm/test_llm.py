@@ -194,6 +194,69 @@ def test_license_scan(spark, no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
 
 
+def test_license_scan_of_odd_rows(spark, odd_docs):
+    mit = licenses.TEMPLATES["MIT"]
+    docs = odd_docs.withColumn("license", F.lit("clash")).withColumn("coverage", F.lit("clash"))
+    more = spark.createDataFrame([(100, mit), (100, mit), (None, mit)], "doc_id long, text string")
+    got = licenses.scan_licenses(docs.select("doc_id", "text", "license", "coverage").unionByName(more, allowMissingColumns=True)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.license, r.coverage) for r in got) == [(False, 100, "MIT", 1.0)] * 2 + [(True, 0, "MIT", 1.0)]
+
+
+@pytest.mark.parametrize("a, b", [("abcbdab", "bdcaba"), ("aaaa", "aa"), ("xyz", "abc"), ("a" * 40, "ba" * 9)])
+def test_gap_without_anchors_takes_a_longest_common_subsequence(a, b):
+    pairs = licenses._common([ord(x) for x in a], [ord(x) for x in b])
+    assert len(pairs) == brute.common(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+
+
+def test_license_templates_find_themselves():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    for name, text in licenses.TEMPLATES.items():
+        n = len(licenses.WORDS.findall(text.lower()))
+        assert (name, 0, n, n, n) in scanner.scan(text)
+
+
+def test_licenses_spread_over_other_text():
+    """Coverage is never above that of the longest common subsequence, and at most 0.05 below it; 0.1 if words are
+    missing, beside text of which every third word is one of a license."""
+    rng = random.Random(11)
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    common = [w for t in licenses.TEMPLATES.values() for w in licenses.WORDS.findall(t.lower())]
+
+    def foreign(n):
+        """Other words, a third of them words of templates."""
+        return [rng.choice(common) if rng.random() < 0.33 else f"w{rng.randrange(5000)}" for _ in range(n)]
+
+    for name in ("MIT", "ISC", "BSD-3-Clause", "Zlib", "BSL-1.0", "Unlicense", "Apache-2.0", "GPL-3.0"):
+        own = licenses.WORDS.findall(licenses.TEMPLATES[name].lower())
+        half, third = len(own) // 2, len(own) // 3
+        texts = {
+            "middle": own[:half] + foreign(500) + own[half:],
+            "two places": own[:third] + foreign(3000) + own[third : 2 * third] + foreign(200) + own[2 * third :],
+            "every word": [x for w in own for x in (w, "x1")],
+            "every second": [x for i, w in enumerate(own) for x in ([w] if i % 2 else [w, "x1", "x2", "x3"])],
+            "edited": [w for w in own[:half] + foreign(800) + own[half:] if rng.random() > 0.03],
+        }
+        for kind, words in texts.items():
+            got = [r for r in scanner.scan(" ".join(words)) if r[0] == name]
+            best = brute.common(words, own)
+            assert len(got) == 1, (name, kind, got)
+            below = 0.1 if kind == "edited" else 0.05
+            assert best - below * len(own) <= got[0][3] <= best, (name, kind, got, best)
+        for words in (own[:half] + foreign(2000), foreign(20000), rng.sample(own, len(own)), own[:half] + foreign(300) + own[:half]):
+            assert not [r for r in scanner.scan(" ".join(words)) if r[0] == name], name
+
+
+def test_license_scan_of_a_long_text():
+    """More than three million characters around and between the two halves of a license."""
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    own = licenses.WORDS.findall(licenses.TEMPLATES["MIT"].lower())
+    words = ["the", "software", "of"] * 100_000 + own[:80] + ["and", "this", "w"] * 100_000 + own[80:] + ["the"] * 100_000
+    (got,) = [r for r in scanner.scan(" ".join(words)) if r[0] == "MIT"]
+    assert got[1] >= 299_900 and got[2] <= 600_000 + len(own) + 100 and got[3] >= 0.95 * len(own)
+
+
 # Mixing
 
 
