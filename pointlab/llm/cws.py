@@ -106,8 +106,8 @@ def fingerprint_documents(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     characters, as many or all, of the next document."""
     key, nexts_key = KEY, [f"next_{c}" for c in KEY]
     order = written(following(docs), "following")
-    # Equal rows are combined before they are shuffled.
-    texts = _keyed(docs).groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
+    # Equal rows are combined before they are shuffled. The filter keeps the count in both uses, so that they share one shuffle.
+    texts = _keyed(docs).groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text")).where("copies > 0")
     half = F.floor(F.col("n_chars") / 2).cast("int")
     ends = texts.alias("x").join(order.alias("o"), [F.col(f"x.{c}") == F.col(f"o.next_{c}") for c in key]).select(
         *[F.col(f"o.{c}").alias(c) for c in key], "n_chars", *nexts_key, F.substring("text", F.lit(1), half).alias("end"),
