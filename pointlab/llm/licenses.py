@@ -18,7 +18,7 @@ row for copies that are entangled in it, and a compact find does not take in fra
 Templates are a parameter, bounded by the user, and go to every task. Each text is scanned where it
 lies; nothing is shuffled. Null and empty texts, and those without a license, give no row; a text with
 several gives one row for each, also if licenses that share their wording cover the same words. Repeated
-rows give repeated results. Extra columns are not read. A very long text takes about 200 bytes of memory
+rows give repeated results. Extra columns are not read. A very long text takes up to about 200 bytes of memory
 a word.
 """
 
