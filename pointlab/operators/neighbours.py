@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointlab.operators.features import table_statistics
@@ -15,7 +14,7 @@ from pointlab.session import stored
 
 AXES = ("x", "y", "z")
 FINEST = 0.001  # side of the smallest cells, in the unit of the coordinates
-_AROUND = list(itertools.product((-1, 0, 1), repeat=3))
+BLOCK = 2  # a block has 2**BLOCK cells a side where many places ask
 
 
 def has_place(axes: Sequence[str] = AXES) -> Column:
@@ -31,16 +30,25 @@ def places(df: DataFrame, axes: Sequence[str], finest: float) -> DataFrame:
     """Distinct coordinates px, py, pz with the number n of points there, and their smallest cells cx, cy, cz."""
     coordinates = [F.col(a).cast("double").alias(f"p{name}") for a, name in zip(axes, AXES)]
     found = df.where(has_place(axes)).select(*coordinates).groupBy("px", "py", "pz").agg(F.count(F.lit(1)).alias("n"))
-    return found.select("*", *[F.floor(F.col(f"p{a}") / finest).alias(f"c{a}") for a in AXES])
+    return found.select("*", *smallest_cells(finest))
+
+
+def smallest_cells(finest: float) -> list[Column]:
+    return [F.floor(F.col(f"p{a}") / finest).alias(f"c{a}") for a in AXES]
 
 
 @dataclass(frozen=True)
 class Grid:
-    """Cells of side ``finest * 2**level``; levels from 0 to ``top``, where any two places are in neighbouring cells."""
+    """Cells of side ``finest * 2**level``; levels from 0 to ``top``, where any two places are in neighbouring cells.
+
+    ``low`` and ``high`` are the outermost smallest cells with places, by axis.
+    """
 
     finest: float
     start: int
     top: int
+    low: tuple[int, ...]
+    high: tuple[int, ...]
 
     def side(self, level: int) -> float:
         return self.finest * 2**level
@@ -59,7 +67,8 @@ def grid_of(nodes: DataFrame, finest: float, crowd: int) -> Grid | None:
     spans = [row[f"high_{a}"] - row[f"low_{a}"] + 1 for a in AXES]
     top = math.ceil(math.log2(max(spans)))
     even = math.sqrt(spans[0] * spans[1] * crowd / row.n)
-    return Grid(finest, min(top, max(0, math.floor(math.log2(max(even, 1))))), top)
+    low, high = (tuple(row[f"{end}_{a}"] for a in AXES) for end in ("low", "high"))
+    return Grid(finest, min(top, max(0, math.floor(math.log2(max(even, 1))))), top, low, high)
 
 
 def start_levels(nodes: DataFrame, grid: Grid, crowd: int) -> dict[int, DataFrame]:
@@ -81,34 +90,72 @@ def start_levels(nodes: DataFrame, grid: Grid, crowd: int) -> dict[int, DataFram
     return found
 
 
+def _ranges(level: int, block: int, grid: Grid) -> list[Column]:
+    """By axis, the blocks of ``2**block`` cells a side that hold a place's cell or one next to it, and that may hold places."""
+    out = []
+    for a, low, high in zip(AXES, grid.low, grid.high):
+        cell, ends = F.shiftright(f"c{a}", level), (low >> level + block, high >> level + block)
+        before, after = F.shiftright(cell - 1, block), F.shiftright(cell + 1, block)
+        out.append(F.sequence(F.greatest(before, F.lit(ends[0])), F.least(after, F.lit(ends[1]))))
+    return out
+
+
+def _around(df: DataFrame, columns: Sequence[str], ranges: Sequence[Column]) -> DataFrame:
+    """``columns`` of each row once for every block x, y, z of its ranges."""
+    out = df.select(*columns, *[r.alias(f"{a}s") for a, r in zip(AXES, ranges)])
+    for i, a in enumerate(AXES):
+        out = out.select(*columns, *AXES[:i], F.explode(f"{a}s").alias(a), *[f"{b}s" for b in AXES[i + 1:]])
+    return out
+
+
 def _nearest(asks: DataFrame, nodes: DataFrame, grid: Grid, level: int, k: int, crowd: int) -> DataFrame:
-    """px, py, pz, distances: up to ``k`` smallest distances from each place asked to points in the 27 cells around it.
+    """px, py, pz, n, distances: the places asked, with up to ``k`` smallest distances to points around, all of those within a side of a cell.
 
-    No key of the join holds more than about ``crowd`` places: a fuller cell is dealt into parts, and who
-    asks for it asks for every part. Of all that is found only the ``k`` nearest reach the last shuffle.
+    Places are gathered by blocks of cells, each with the cells around it, so a place is shuffled a few
+    times at most where many ask; pairs are met within a row and never shuffled. Where few ask, a block is one cell and
+    places far from all who ask stay out. A block whose places could be more than a crowd in each of its
+    cells is dealt into parts, and who asks in it asks in every part.
     """
-    held = nodes.select(F.col("px").alias("qx"), F.col("py").alias("qy"), F.col("pz").alias("qz"), F.col("n").alias("copies"), *grid.cell(level))
-    full = (
-        held.groupBy(*AXES).agg(F.count(F.lit(1)).alias("places")).where(F.col("places") > crowd)
-        .select(*AXES, F.ceil(F.col("places") / crowd).alias("parts"))
+    few = asks.count() * 8 < nodes.count()
+    block = 0 if few else BLOCK
+    place, home = ["px", "py", "pz"], Grid.cell(level + block)
+    if few:
+        touched = _around(asks, [], _ranges(level, 0, grid)).distinct()
+        near_asks = nodes.select(*place, "n", *Grid.cell(level)).join(touched, list(AXES), "left_semi").drop(*AXES)
+        nodes = stored(near_asks, "touched").select("*", *smallest_cells(grid.finest))
+    most = crowd * 4**3
+    dense = nodes.groupBy(*Grid.cell(level + block)).agg(F.count(F.lit(1)).alias("places")).where(F.col("places") > most)
+    wide = [F.sequence(F.col(a) - 1, F.col(a) + 1) for a in AXES]
+    parts = stored(
+        _around(dense.withColumn("parts", F.ceil(F.col("places") / most).cast("int")), ["parts"], wide).groupBy(*AXES).agg(F.max("parts").alias("parts")), "parts"
     )
-    full = stored(full, "parts")
-    parts = F.coalesce("parts", F.lit(1))
-    held = held.join(full, list(AXES), "left").withColumn("part", F.pmod(F.xxhash64("qx", "qy", "qz"), parts)).drop("parts")
-    own = [F.shiftright(f"c{a}", level) for a in AXES]
-    around = F.array(*[F.struct(*[(c + d).alias(a) for c, d, a in zip(own, step, AXES)]) for step in _AROUND])
-    asked = asks.select("px", "py", "pz", F.explode(around).alias("cell")).select("px", "py", "pz", "cell.*")
-    asked = asked.join(full, list(AXES), "left").select("px", "py", "pz", *AXES, F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    squares = [(F.col(f"p{a}") - F.col(f"q{a}")) * (F.col(f"p{a}") - F.col(f"q{a}")) for a in AXES]
-    itself = (F.col("px") == F.col("qx")) & (F.col("py") == F.col("qy")) & (F.col("pz") == F.col("qz"))
-    met = asked.join(held, [*AXES, "part"]).select(
-        "px", "py", "pz", F.sqrt(squares[0] + squares[1] + squares[2]).alias("distance"), (F.col("copies") - itself.cast("int")).alias("copies")
-    ).where("copies > 0")
-    rank = F.row_number().over(Window.partitionBy("px", "py", "pz").orderBy("distance"))
-    near = met.withColumn("rank", rank).where(F.col("rank") <= k)
-    by_distance = F.array_sort(F.collect_list(F.struct("distance", "copies")))
-    each = F.flatten(F.transform(by_distance, lambda p: F.array_repeat(p["distance"], F.least(p["copies"], F.lit(k)).cast("int"))))
-    return near.groupBy("px", "py", "pz").agg(F.slice(each, 1, k).alias("distances"))
+    need = asks.select(*home).distinct()
+    held = _around(nodes, [*place, "n"], _ranges(level, block, grid)).join(need, list(AXES), "left_semi")
+    asked, keys = asks.select(*place, "n", *home), list(AXES)
+    dealt = not parts.isEmpty()
+    if dealt:
+        count = F.coalesce("parts", F.lit(1))
+        held = held.join(parts, list(AXES), "left").withColumn("part", F.pmod(F.xxhash64(*place), count)).drop("parts")
+        asked = asked.join(parts, list(AXES), "left").withColumn("part", F.explode(F.sequence(F.lit(0), count - 1)).cast("long")).drop("parts")
+        keys.append("part")
+    # Of a place with many copies, as many as can matter; one of them is the asking point itself.
+    others = F.collect_list(F.struct(*[F.col(f"p{a}").alias(f"q{a}") for a in AXES], F.least("n", F.lit(k + 1)).cast("int").alias("copies")))
+    lists = held.groupBy(*keys).agg(others.alias("others"))
+    lists = lists.withColumn("others", F.flatten(F.transform("others", lambda q: F.array_repeat(q, q["copies"]))))
+
+    def square(q: Column) -> Column:
+        apart = [F.col(f"p{a}") - q[f"q{a}"] for a in AXES]
+        return apart[0] * apart[0] + apart[1] * apart[1] + apart[2] * apart[2]
+
+    def within(q: Column) -> Column:
+        return (F.abs(F.col("px") - q["qx"]) <= grid.side(level)) & (F.abs(F.col("py") - q["qy"]) <= grid.side(level))
+
+    # What lies farther than a side settles nothing, but where there are no wider rings.
+    met = F.col("others") if level == grid.top else F.filter("others", within)
+    near = asked.join(lists, keys).select(*place, "n", F.slice(F.sort_array(F.transform(met, square)), 1, k + 1).alias("squares"))
+    if dealt:
+        near = near.groupBy(*place, "n").agg(F.slice(F.sort_array(F.flatten(F.collect_list("squares"))), 1, k + 1).alias("squares"))
+    return near.select(*place, "n", F.transform(F.slice("squares", 2, k), F.sqrt).alias("distances"))
 
 
 def crowd_for(k: int) -> int:
@@ -133,11 +180,11 @@ def nearest_distances(nodes: DataFrame, k: int, *, finest: float = FINEST, crowd
         asks = starts.pop(level, None)
         if waiting is not None:
             asks = waiting if asks is None else asks.unionByName(waiting)
-        found = asks.join(_nearest(asks, nodes, grid, level, k, crowd), ["px", "py", "pz"], "left")
+        found = _nearest(asks, nodes, grid, level, k, crowd)
         inside = F.lit(level == grid.top) | F.coalesce((F.size("distances") >= k) & (F.get("distances", F.lit(k - 1)) <= grid.side(level)), F.lit(False))
         found = stored(found.withColumn("settled", inside), "nearest")
         done.append(found.where("settled").select("px", "py", "pz", "distances"))
-        waiting = found.where("not settled").drop("distances", "settled")
+        waiting = found.where("not settled").select("px", "py", "pz", "n", *smallest_cells(finest))
         if waiting.isEmpty():
             waiting = None
             if not starts:

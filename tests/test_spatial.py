@@ -64,6 +64,21 @@ def test_outliers_by_neighbours(spark, cloud):
     assert [r.neighbour_distance for r in neighbours.neighbour_distance(rows.where("id = 0")).collect()] == [None]
 
 
+def test_pairs_of_neighbours_are_not_shuffled(spark, event_log):
+    rng = random.Random(9)
+    rows = [(i, rng.uniform(0, 1000), rng.uniform(0, 1000), rng.uniform(0, 5)) for i in range(4000)]
+    df = spark.createDataFrame(rows, XYZ).repartition(4).cache()
+    df.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with measured() as meter:
+            assert neighbours.neighbour_distance(df, 4, finest=1.0).where("neighbour_distance is null").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = task_metrics(event_log(), meter.begin_ms, meter.end_ms).first().shuffleRecordsWritten
+    assert shuffled < 25 * len(rows)
+
+
 # Repeated within a distance
 
 
