@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
 
@@ -12,8 +11,9 @@ from pyspark.sql import functions as F
 from pointlab.operators.neighbours import AXES, has_place
 from pointlab.session import stored
 
-# Half of the 27 blocks around a block, itself first: each two blocks meet once.
-_FORWARD = [step for step in itertools.product((-1, 0, 1), repeat=3) if step >= (0, 0, 0)]
+# Cells have sides of the distance over the root of 3, so who is near lies at most 2 cells away.
+REACH = 2
+BLOCK = 2
 _CELL = [f"c{a}" for a in AXES]
 
 
@@ -40,10 +40,11 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def _boxes(nodes: DataFrame, side: float, level: int, name: str) -> DataFrame:
-    """Cells of side ``side / 2**level`` in struct ``name``, their cell of level 0 and the bounds of their places."""
+    """Cells of side ``side / 2**level`` in struct ``name`` and the bounds of their places."""
     bounds = [f(f"p{a}").alias(f"{end}{a}") for a in AXES for f, end in ((F.min, "low"), (F.max, "high"))]
-    cell = F.struct(*[F.floor(F.col(f"p{a}") / side * 2**level).alias(f"c{a}") for a in AXES])
-    return nodes.groupBy(cell.alias(name)).agg(F.struct(*bounds).alias(f"box_{name}"))
+    cell = [F.floor(F.col(f"p{a}") / side * 2**level).alias(f"c{a}") for a in AXES]
+    found = nodes.groupBy(*cell).agg(*bounds)
+    return found.select(F.struct(*_CELL).alias(name), F.struct(*[f"{end}{a}" for a in AXES for end in ("low", "high")]).alias(f"box_{name}"))
 
 
 def _gap(a: Column, b: Column) -> Column:
@@ -62,6 +63,31 @@ def _up(cell: Column, levels: int) -> Column:
     return F.struct(*[F.shiftright(cell[c], levels).alias(c) for c in _CELL])
 
 
+def _met(cells: DataFrame) -> DataFrame:
+    """Pairs a, box_a, b, box_b of different cells at most ``REACH`` apart along each axis, each pair once.
+
+    A cell goes to its own block of ``2**BLOCK`` cells a side and to those before it that it can reach into. Only
+    blocks with company are looked at, so that where cells lie apart little more than their names is shuffled.
+    """
+    axes = [F.sequence(F.shiftright(F.col("a")[c] - REACH, BLOCK), F.shiftright(F.col("a")[c], BLOCK)) for c in _CELL]
+
+    def sent(*columns: str) -> DataFrame:
+        out = cells.select(*columns, *[s.alias(f"{x}s") for s, x in zip(axes, AXES)])
+        for i, x in enumerate(AXES):
+            out = out.select(*columns, *AXES[:i], F.explode(f"{x}s").alias(x), *[f"{y}s" for y in AXES[i + 1:]])
+        return out.select(*columns, F.xxhash64(*AXES).alias("block"))
+
+    shared = stored(sent().groupBy("block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "shared")
+    held = sent("a", "box_a").join(shared, "block", "left_semi")
+    other = held.toDF("block", "b", "box_b")
+    # Two cells meet in the block where the lower of them lies, axis by axis.
+    lower = F.xxhash64(*[F.shiftright(F.least(F.col("a")[c], F.col("b")[c]), BLOCK) for c in _CELL])
+    near = F.lit(True)
+    for c in _CELL:
+        near = near & (F.abs(F.col("a")[c] - F.col("b")[c]) <= REACH)
+    return held.join(other, "block").where((F.col("a") < F.col("b")) & near & (F.col("block") == lower)).drop("block")
+
+
 def linked_cells(nodes: DataFrame, distance: float, side: float) -> DataFrame:
     """a, b: cells that hold two places at most ``distance`` apart, one in each.
 
@@ -69,13 +95,7 @@ def linked_cells(nodes: DataFrame, distance: float, side: float) -> DataFrame:
     split in eight and judged again, until no pair of cells is undecided. A box of one place is a place, so the
     last word is an exact distance, and of two full cells few parts are ever looked at.
     """
-    cells = stored(_boxes(nodes, side, 0, "a"), "cells")
-    block = _up(F.col("a"), 1)
-    steps = F.array(*[F.struct(*[(block[c] + d).alias(c) for c, d in zip(_CELL, step)]) for step in _FORWARD])
-    # A block holds eight cells at most, so no key is hot whatever the cells hold.
-    asks = cells.select("a", "box_a", block.alias("own"), F.explode(steps).alias("block"))
-    held = cells.select(F.col("a").alias("b"), F.col("box_a").alias("box_b"), block.alias("block"))
-    first = asks.join(held, "block").where((F.col("own") != F.col("block")) | (F.col("a") < F.col("b")))
+    first = _met(stored(_boxes(nodes, side, 0, "a"), "cells"))
     a, b = F.col("box_a"), F.col("box_b")
     judged = stored(
         first.where(_gap(a, b) <= distance).select("a", "b", F.col("a").alias("part_a"), F.col("b").alias("part_b"), (_reach(a, b) <= distance).alias("linked")),
@@ -88,7 +108,10 @@ def linked_cells(nodes: DataFrame, distance: float, side: float) -> DataFrame:
         if open_.isEmpty():
             return links.distinct()
         level += 1
-        parts = stored(_boxes(nodes.join(_members(open_), _CELL, "left_semi"), side, level, "sub"), "parts")
+        nodes = nodes.join(_members(open_), _CELL, "left_semi")
+        if level == 1:
+            nodes = stored(nodes, "places")
+        parts = stored(_boxes(nodes, side, level, "sub"), "parts")
         of_a = parts.select(_up(F.col("sub"), 1).alias("part_a"), F.col("sub").alias("sub_a"), F.col("box_sub").alias("box_a"))
         of_b = parts.select(_up(F.col("sub"), 1).alias("part_b"), F.col("sub").alias("sub_b"), F.col("box_sub").alias("box_b"))
         finer = open_.join(of_a, "part_a").join(of_b, "part_b").where(_gap(a, b) <= distance)
@@ -113,12 +136,15 @@ def merge_near_points(df: DataFrame, distance: float, order_by: Sequence[str], *
     side = distance / math.sqrt(3) * (1 - 1e-6)
     place = [F.col(x).cast("double").alias(f"p{a}") for x, a in zip(axes, AXES)]
     known = df.where(has_place(axes))
-    cell = lambda x: F.floor(F.col(x) / side)
-    nodes = known.select(*place).distinct().select("*", *[cell(f"p{a}").alias(f"c{a}") for a in AXES])
-    named = connected(linked_cells(stored(nodes, "places"), distance, side))
-    own = F.struct(*[cell(x).alias(c) for x, c in zip(axes, _CELL)])
-    row = F.struct(*order_by, F.struct(*df.columns).alias("row"))
-    # Per cell first: what is joined with the clusters is one row a cell.
-    firsts = known.groupBy(own.alias("node")).agg(F.min(row).alias("first"), F.count(F.lit(1)).alias(merged))
-    clusters = firsts.join(named, "node", "left").groupBy(F.coalesce("component", "node").alias("cluster")).agg(F.min("first").alias("first"), F.sum(merged).alias(merged))
-    return clusters.select("first.row.*", merged).unionByName(df.where(~has_place(axes)).withColumn(merged, F.lit(1).cast("long")))
+    cell = [F.floor(F.col(x).cast("double") / side).alias(c) for x, c in zip(axes, _CELL)]
+    nodes = known.select(*place, *cell)
+    named = stored(connected(linked_cells(nodes, distance, side)), "named")
+    rest = [c for c in df.columns if c not in order_by]
+    row = F.struct(*order_by, *rest)
+    # Per cell first: rows are shuffled once, by the cell that also finds its cluster, and only linked cells are grouped again.
+    cells = known.select(*cell, row.alias("first")).groupBy(*_CELL).agg(F.min("first").alias("first"), F.count(F.lit(1)).alias(merged))
+    firsts = stored(cells.join(named.select("node.*", "component"), _CELL, "left").select("component", "first", merged), "firsts")
+    alone = firsts.where("component is null").select("first", merged)
+    clusters = firsts.where("component is not null").groupBy("component").agg(F.min("first").alias("first"), F.sum(merged).alias(merged)).select("first", merged)
+    columns = [F.col("first")[c].alias(c) for c in df.columns]
+    return alone.unionByName(clusters).select(*columns, merged).unionByName(df.where(~has_place(axes)).withColumn(merged, F.lit(1).cast("long")))

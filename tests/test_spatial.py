@@ -125,6 +125,20 @@ def test_a_chain_is_one_cluster(spark):
         overlap.merge_near_points(got, 0.0, ["id"])
 
 
+def test_lonely_points_are_shuffled_a_few_times_only(spark, event_log):
+    rng = random.Random(10)
+    rows = [(i, rng.uniform(0, 1e5), rng.uniform(0, 1e5), rng.uniform(0, 5)) for i in range(4000)]
+    df = spark.createDataFrame(rows, XYZ).repartition(4).cache()
+    df.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with measured() as meter:
+            assert overlap.merge_near_points(df, 20.0, ["id"]).agg(F.sum("merged")).first()[0] == len(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert task_metrics(event_log(), meter.begin_ms, meter.end_ms).first().shuffleRecordsWritten < 15 * len(rows)
+
+
 # Ground
 
 
