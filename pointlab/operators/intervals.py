@@ -39,6 +39,17 @@ def replicate_number(key: Column, replicate: Column, hasher: str = "xxhash64") -
     raise ValueError(f"hasher must be xxhash64 or md5, got {hasher}")
 
 
+def weight_of_digest(digest: Column) -> Column:
+    """``poisson_weight`` of the number that a digest in base 16 begins with, without making it a number.
+
+    Digits of one length sort as their numbers do, and a longer text is not below one that it begins with.
+    """
+    out = F.lit(len(poisson_bounds()))
+    for k, bound in reversed(list(enumerate(poisson_bounds()))):
+        out = F.when(digest < f"{bound:0{HASH_BITS // 4}x}", k).otherwise(out)
+    return out
+
+
 def bootstrap_confusion(df: DataFrame, key: Column, replicates: int, label: str = "Classification", prediction: str = "prediction",
                         by: Sequence[str] = (), hasher: str = "xxhash64") -> DataFrame:
     """by, replicate, label, prediction, n: confusion counts of every replicate, replicate 0 being the rows as they are.
@@ -46,13 +57,23 @@ def bootstrap_confusion(df: DataFrame, key: Column, replicates: int, label: str
     In the others each row counts a Poisson number of times that comes from its own key and the replicate. One
     pass; a task sends one row for each replicate and pair of classes.
     """
+    if hasher not in ("xxhash64", "md5"):
+        raise ValueError(f"hasher must be xxhash64 or md5, got {hasher}")
+    # The texts of ``replicate_number``, written once for each row and each replicate and not for each pair of them.
+    begin = F.coalesce(F.concat(key.cast("string"), F.lit("|")), F.lit(""))
+    ends = F.array(*[F.lit(str(r)) for r in range(replicates + 1)])
     rows = df.where(F.col(label).isNotNull()).select(
         *by, F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction"), key.alias("row_key"),
-        F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("replicate"),
+        begin.alias("row_text"), F.posexplode(ends).alias("replicate", "replicate_text"),
     )
-    number = replicate_number(F.col("row_key"), F.col("replicate"), hasher)
-    weight = F.when(F.col("replicate") == 0, F.lit(1)).otherwise(poisson_weight(F.col("number")))
-    counted = rows.withColumn("number", F.explode(F.array(number))).groupBy(*by, "replicate", "label", "prediction").agg(F.sum(weight).alias("n"))
+    if hasher == "md5":
+        number, weigh = F.md5(F.concat("row_text", "replicate_text")), weight_of_digest
+    else:
+        number, weigh = replicate_number(F.col("row_key"), F.col("replicate"), hasher), poisson_weight
+    # Through a generator, so that the bounds do not compute it once more each; the rows as they are draw nothing.
+    drawn = F.when(F.col("replicate") > 0, number)
+    weight = F.when(F.col("replicate") == 0, F.lit(1)).otherwise(weigh(F.col("number")))
+    counted = rows.withColumn("number", F.explode(F.array(drawn))).groupBy(*by, "replicate", "label", "prediction").agg(F.sum(weight).alias("n"))
     return counted.where("n > 0")
 
 

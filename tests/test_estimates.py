@@ -206,6 +206,24 @@ def test_files_are_drawn_by_their_bytes(spark, uneven):
         files_by_size(spark, path, 1)
 
 
+def test_weights_of_digests_are_those_of_their_numbers(spark):
+    edges = [f"{b + d:08x}" + rest for b in intervals.poisson_bounds() for d in (-1, 0, 1) for rest in ("", "0" * 24, "f" * 24)]
+    df = spark.createDataFrame([(e,) for e in [*edges, "0" * 32, "f" * 32]], "digest string")
+    number = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
+    got = df.select(intervals.weight_of_digest(F.col("digest")).alias("a"), intervals.poisson_weight(number).alias("b")).collect()
+    assert all(r.a == r.b for r in got) and {r.a for r in got} == set(range(13))
+
+
+def test_digests_are_drawn_from_the_texts_of_replicate_number(spark):
+    df = spark.range(300).select(F.when(F.col("id") > 4, F.col("id")).alias("id"), (F.col("id") % 3).alias("Classification"), (F.col("id") % 2).alias("prediction"))
+    got = intervals.bootstrap_confusion(df, F.col("id"), 6, hasher="md5")
+    pairs = df.crossJoin(spark.range(7).select(F.col("id").cast("int").alias("replicate")))
+    weight = F.when(F.col("replicate") == 0, 1).otherwise(intervals.poisson_weight(intervals.replicate_number(F.col("id"), F.col("replicate"), "md5")))
+    wanted = pairs.groupBy("replicate", "Classification", "prediction").agg(F.sum(weight).alias("n")).where("n > 0")
+    assert {tuple(map(int, r)) for r in got.collect()} == {tuple(map(int, r)) for r in wanted.collect()}
+    assert "conv(" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 # Layout of equal rows
 
 
