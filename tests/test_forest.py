@@ -95,6 +95,13 @@ def test_cross_validation_over_a_grid(cloud):
     assert [type(s).__name__ for s in model.bestModel.stages] == ["VectorAssembler", "RandomForestClassificationModel"]
 
 
+def test_cross_validated_forests_have_a_fixed_seed(cloud):
+    train = forest.with_class_label(build_features(cloud.where(in_split("train"))))
+    for params, seed in (({}, forest.SEED), ({"seed": 7}, 7)):
+        model = forest.cross_validate(train, {"numTrees": (1,)}, folds=2, **params)
+        assert model.bestModel.stages[-1].getOrDefault("seed") == seed
+
+
 def test_class_count_follows_the_mapping(make_points):
     df = make_points([point(code=c, z=i, green=c * 100) for i in range(20) for c in (2, 40)])
     mapping = {2: 3, 40: 12}
