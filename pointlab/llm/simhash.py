@@ -19,6 +19,10 @@ looked-up fingerprint is verified against the smallest and the largest stored on
 joins most of a group of copies in one pass. Only keys whose fingerprints are then still in different
 components are joined pair by pair, for pairs in different components, so no link is lost.
 
+Joins that Spark would judge by files or by rows before they are multiplied are by sorting. It goes by the
+bytes of packed files and takes a function to return as many rows as it reads; a fingerprint has about fifty
+keys, so what it holds small enough to broadcast may be more than the driver's memory.
+
 Null texts and texts without words have fingerprint zero, linked like any other. Rows with the same
 doc_id are separate rows with the same or different fingerprints. A component without any doc_id has a
 null id. Extra columns are not read.
@@ -156,7 +160,7 @@ def links(nodes: DataFrame, most: int = MOST) -> DataFrame:
     # Written, so that the join has a shuffle of its own on either side, which can be split.
     stored = written(stored, "stored")
     # Looked-up fingerprints whose key holds some other one.
-    met = written(keyed(nodes, True).join(stored, "key").where("low <> fp or high <> fp"), "met")
+    met = written(keyed(nodes, True).join(stored.hint("merge"), "key").where("low <> fp or high <> fp"), "met")
     hubs = met.where(near("fp", "low")).select(F.col("fp").alias("a"), F.col("low").alias("b")).union(
         met.where(near("fp", "high")).select(F.col("fp").alias("a"), F.col("high").alias("b"))
     )
@@ -164,10 +168,10 @@ def links(nodes: DataFrame, most: int = MOST) -> DataFrame:
     named = components(first)
     active = met.select("fp").distinct()
     labels = written(
-        active.join(named, active.fp == named.node, "left").select("fp", F.coalesce("component", "fp").alias("component")), "labels"
+        active.join(named.hint("merge"), active.fp == named.node, "left").select("fp", F.coalesce("component", "fp").alias("component")), "labels"
     )
-    looked = met.select("key", "fp").join(labels, "fp")
-    kept = keyed(labels, False).join(labels, "fp").select("key", F.col("fp").alias("other"), F.col("component").alias("of_other"))
+    looked = met.select("key", "fp").join(labels.hint("merge"), "fp")
+    kept = keyed(labels, False).join(labels.hint("merge"), "fp").select("key", F.col("fp").alias("other"), F.col("component").alias("of_other"))
     mixed = (
         looked.select("key", "component").union(kept.select("key", "of_other"))
         .groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
@@ -185,13 +189,13 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST, carry: tu
     fps = written(fingerprints(docs, shingle, carry), "fps")
     nodes = fps.select("fp").distinct()
     linked = written(links(nodes, most), "components")
-    return fps, nodes.join(linked, nodes.fp == linked.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
+    return fps, nodes.join(linked.hint("merge"), nodes.fp == linked.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id of its component) for each row of ``docs``."""
     fps, of = classes(docs, shingle, most)
-    labelled = fps.groupBy("fp").agg(F.min("doc_id").alias("first")).join(of, "fp")
+    labelled = fps.groupBy("fp").agg(F.min("doc_id").alias("first")).join(of.hint("merge"), "fp")
     first = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
     by_fp = labelled.join(first, "component").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return fps.join(by_fp.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -8,6 +8,7 @@ import brute
 import duckdb
 import numpy as np
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -65,6 +66,24 @@ def collect(df, *names):
 # Tokens
 
 
+def _broadcasts(df):
+    """What the plan sends to all tasks for joins: the uppermost node of each such table."""
+    plan = plan_of(df).split("== Physical Plan ==")[1].splitlines()
+    return [plan[i + 1] for i, line in enumerate(plan) if "BroadcastExchange" in line]
+
+
+def _kept_frames(monkeypatch, module):
+    """Each table that the module writes from now on, by name, in order."""
+    frames = defaultdict(list)
+
+    def keep(df, name, written=module.written):
+        frames[name].append(df)
+        return written(df, name)
+
+    monkeypatch.setattr(module, "written", keep)
+    return frames
+
+
 def test_both_libraries_agree_on_every_character(vocabulary):
     own = encoder.Encoder(vocabulary)
     assert own.fast is not None
@@ -418,6 +437,19 @@ def test_simhash_of_close_fingerprints(spark):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
 
 
+def test_simhash_broadcasts_no_keys(spark, monkeypatch):
+    """A fingerprint has about fifty keys to look up, which Spark takes for one row: some KB here, and megabytes in truth."""
+    of_simhash, of_components = _kept_frames(monkeypatch, simhash), _kept_frames(monkeypatch, components)
+    rng = random.Random(12)
+    fps = {rng.getrandbits(63) for _ in range(1500)}
+    fps |= {f ^ 1 << rng.randrange(63) for f in sorted(fps)[:500]}
+    linked = simhash.links(spark.createDataFrame([(f,) for f in sorted(fps)], "fp long").repartition(2))
+    assert linked.count() == 1000
+    frames = [linked, *of_simhash["met"], *of_simhash["labels"], *of_components["names"], *of_components["edges"]]
+    assert len(frames) >= 7
+    assert [_broadcasts(df) for df in frames] == [[]] * len(frames)
+
+
 def test_components(spark):
     rng = random.Random(10)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(50)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7)]
