@@ -48,7 +48,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     fps, classes = simhash.classes(keyed, simhash.SHINGLE, simhash.MOST, carry=tuple(key))
     # The first of each fingerprint, then of each class: a fingerprint that many share is never joined.
     own = fps.groupBy("fp").agg(F.min(F.struct(*key)).alias("first"))
-    first = own.join(classes, "fp").groupBy("component").agg(F.min("first").alias("first")).select("first.*")
+    first = own.join(classes.hint("merge"), "fp").groupBy("component").agg(F.min("first").alias("first")).select("first.*")
     # Repeated rows share a key, of which one row stays.
     return keyed.join(first, key, "left_semi").dropDuplicates(key).select(*docs.columns)
 

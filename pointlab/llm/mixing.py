@@ -83,9 +83,13 @@ def source_targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, limit
     return level.select("source", "source_size", F.coalesce(capped, F.lit(0.0)).alias("target"))
 
 
-def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """``left`` with the further columns of ``right``; nulls of the keys are equal."""
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], large: bool = False) -> DataFrame:
+    """``left`` with the further columns of ``right``; nulls of the keys are equal.
+
+    With ``large``, for tables that both grow with the corpus, by sorting: Spark judges them by the packed file of the
+    counts, a few bytes a row, and keeps to a broadcast that turns out too large if sorting takes more shuffles."""
     other = right.select(*[F.col(k).alias(f"__of_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    other = other.hint("merge") if large else other
     return left.join(other, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys]).drop(*[f"__of_{k}" for k in keys])
 
 
@@ -115,7 +119,7 @@ def _starts(counts: DataFrame, seed: int) -> DataFrame:
     # Rows of one source in one task here are its buckets: at most 16 for each size class.
     coarses = _before(fines.groupBy(*coarse).agg(F.sum("__n").alias("__n")), ["source"], ["__class", "__bucket"], "__a").drop("__n")
     fines = _joined(_before(fines, coarse, ["size", "__digits"], "__b").drop("__n"), coarses, coarse)
-    ranked = _joined(_before(placed, fine, ["__order", "doc_id"], "__c"), fines, fine)
+    ranked = _joined(_before(placed, fine, ["__order", "doc_id"], "__c"), fines, fine, large=True)
     return ranked.select(*KEY, (F.col("__a") + F.col("__b") + F.col("__c")).alias("__start"))
 
 
@@ -133,10 +137,10 @@ def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = L
         parts = counts.withColumn("__part", F.pmod("__h0", F.lit(PARTS)))
         inside = [*KEY, "__part"]
         sums = _before(parts.groupBy(*inside).agg(F.sum("__n").alias("__n")), KEY, ["__part"], "__d").drop("__n")
-        numbered = _joined(_before(parts, inside, [*name], "__e"), sums, inside)
+        numbered = _joined(_before(parts, inside, [*name], "__e"), sums, inside, large=True)
         starts = _joined(numbered, starts, KEY).withColumn("__start", F.col("__start") + F.col("__d") + F.col("__e"))
     else:
-        starts = _joined(counts, starts, KEY)
+        starts = _joined(counts, starts, KEY, large=True)
     sizes = counts.select("source", (F.col("size") * F.col("__n")).alias("size"))
     targets = source_targets(sizes, weights, share, limit)
     chunks = (

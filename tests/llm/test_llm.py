@@ -339,6 +339,16 @@ def test_mixing_equals_its_sql_with_hot_ids(spark):
 # Lines
 
 
+@pytest.mark.parametrize("other", [True, False])
+def test_mixing_broadcasts_no_ranks(spark, other):
+    """The file of the counts takes a few bytes a row, by which Spark finds counts and ranks of documents small enough."""
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('s', id % 3) as source", "id % 700 as size", *(["id * 7 as more"] if other else []))
+    mixed = mixing.mix(docs)
+    assert mixed.count() == 3000
+    sent = _broadcasts(mixed)
+    assert sent and not [x for x in sent if "doc_id#" in x or "digits#" in x]
+
+
 def test_line_dedup(spark, odd_docs, no_docs):
     rng = random.Random(5)
     lines = ["", " ", *[f"line {i}" for i in range(12)]]
@@ -717,6 +727,12 @@ def test_stages_against_brute_force(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, near, "").collect()) == [4, 7]
 
 
+def test_near_copies_broadcast_no_fingerprints(spark):
+    """Fingerprints with the row they stand for, which Spark judges by the file they are read from."""
+    docs = spark.createDataFrame([(i, f"line {i} of the text {i * 7}") for i in range(2000)], "doc_id long, text string")
+    assert not [x for x in _broadcasts(corpus_pipeline.near_copies(spark, docs, "")) if "fp#" in x]
+
+
 def test_near_copies_stage_is_the_simhash_operator(spark, some_docs):
     rng = random.Random(31)
     rows = [(r.doc_id, r.text) for r in some_docs.collect()]
